@@ -1,0 +1,317 @@
+"""Commit ledger: versions and branches of tables as rows of a DataFrame.
+
+One row per commit. ``live_commits`` names the commits whose rows a reader of that version sees,
+``lineage`` the commit and all its ancestors. Data rows carry the commit that wrote them, so a
+version is a filter on ``commit_id``, which prunes partitions. Rolling back, branching and
+publishing add one row here and copy no data. The ledger grows with the number of commits, never
+with the rows of a table.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+LEDGER_SCHEMA = (
+    "table_name string, branch string, commit_id bigint, parent_id bigint, "
+    "committed_at timestamp, operation string, live_commits array<bigint>, "
+    "lineage array<bigint>, summary map<string,string>"
+)
+LEDGER_COLUMNS = tuple(field.split()[0] for field in LEDGER_SCHEMA.split(", "))
+
+MAIN = "main"
+
+# Operations after which two moved branches can still be published: they only add rows.
+_ADDING = ("append", "branch", "publish")
+
+_NEWEST = ("committed_at", "commit_id")
+
+
+def _row() -> Column:
+    return F.struct(*LEDGER_COLUMNS)
+
+
+def _newest(rows: Column) -> Column:
+    """Newest ledger row among ``rows``, as an aggregate; NULL when there is none."""
+    return F.max_by(_row(), F.when(rows, F.struct(*_NEWEST)))
+
+
+def _on_branch(branch: str) -> Column:
+    return F.col("branch") == branch
+
+
+def summary_number(key: str, name: str) -> Column:
+    return F.col("summary")[key].cast("bigint").alias(name)
+
+
+# --- reading the ledger ------------------------------------------------------------------------
+
+
+def of_table(ledger: DataFrame, table: str) -> DataFrame:
+    return ledger.where(F.col("table_name") == table)
+
+
+def branch_heads(ledger: DataFrame) -> DataFrame:
+    """The current row of every branch of every table; a dropped branch has none."""
+    heads = ledger.groupBy("table_name", "branch").agg(_newest(F.lit(True)).alias("head"))
+    return heads.select("head.*").where(F.col("operation") != "drop")
+
+
+def head(ledger: DataFrame, branch: str = MAIN) -> DataFrame:
+    """The current row of one branch of one table."""
+    return branch_heads(ledger.where(_on_branch(branch)))
+
+
+def version(ledger: DataFrame, commit_id: int) -> DataFrame:
+    return ledger.where(F.col("commit_id") == commit_id)
+
+
+def version_at(ledger: DataFrame, timestamp: str | datetime, branch: str = MAIN) -> DataFrame:
+    """The row that was current on a branch at a moment."""
+    moment = F.lit(timestamp).cast("timestamp")
+    return head(ledger.where(F.col("committed_at") <= moment), branch)
+
+
+def live_commits(chosen: DataFrame) -> list[int]:
+    """Commits visible in the chosen version. Fetches one ledger row, as any versioned reader does."""
+    row = chosen.select("live_commits").first()
+    if row is None:
+        raise LookupError("no such version or branch")
+    return list(row.live_commits)
+
+
+def as_of(data: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows of ``data`` in the chosen version."""
+    return data.where(F.col("commit_id").isin(live_commits(chosen)))
+
+
+def history(ledger: DataFrame, branch: str = MAIN) -> DataFrame:
+    """Versions of one table, newest first, and whether the branch descends from each."""
+    current = ledger.agg(_newest(_on_branch(branch)).alias("head")).select("head.lineage").first()
+    ancestors = current.lineage if current and current.lineage else []
+    return ledger.select(
+        F.col("committed_at").alias("made_current_at"),
+        F.col("commit_id").alias("snapshot_id"),
+        "parent_id",
+        F.col("commit_id").isin(list(ancestors)).alias("is_current_ancestor"),
+    ).orderBy(F.desc("made_current_at"), F.desc("snapshot_id"))
+
+
+def snapshots(ledger: DataFrame) -> DataFrame:
+    return ledger.select(
+        "committed_at",
+        F.col("commit_id").alias("snapshot_id"),
+        "parent_id",
+        "operation",
+        "summary",
+    ).orderBy(F.desc("committed_at"), F.desc("snapshot_id"))
+
+
+def snapshot_report(ledger: DataFrame) -> DataFrame:
+    """What each commit added and what the table held after it."""
+    return ledger.select(
+        "table_name",
+        "committed_at",
+        F.col("commit_id").alias("snapshot_id"),
+        "operation",
+        summary_number("added-records", "added_records"),
+        summary_number("total-records", "total_records"),
+        summary_number("added-files-size", "added_file_size"),
+    ).orderBy("table_name", F.desc("committed_at"), F.desc("snapshot_id"))
+
+
+def latest_version(ledger: DataFrame) -> DataFrame:
+    """Latest snapshot of every table, on whichever branch."""
+    return ledger.groupBy("table_name").agg(
+        F.max_by("commit_id", F.struct(*_NEWEST)).alias("snapshot_id")
+    )
+
+
+def previous_version(ledger: DataFrame) -> DataFrame:
+    """The second newest snapshot of every table: where a rollback by one step goes."""
+    newest_first = Window.partitionBy("table_name").orderBy(*(F.desc(c) for c in _NEWEST))
+    return (
+        ledger.withColumn("age", F.row_number().over(newest_first))
+        .where(F.col("age") == 2)
+        .select("table_name", F.col("commit_id").alias("snapshot_id"))
+    )
+
+
+def commit_log(ledger: DataFrame, branch: str = MAIN) -> DataFrame:
+    """Commits the branch descends from, newest first."""
+    log = history(ledger, branch).where("is_current_ancestor").select("snapshot_id")
+    return (
+        snapshot_report(ledger.join(log, F.col("commit_id") == F.col("snapshot_id"), "left_semi"))
+        .drop("added_file_size")
+        .orderBy(F.desc("committed_at"), F.desc("snapshot_id"))
+    )
+
+
+def records_added(ledger: DataFrame) -> DataFrame:
+    """Change in a table's row count from each commit's parent to the commit."""
+    totals = ledger.select("table_name", "commit_id", "parent_id", summary_number("total-records", "total"))
+    before = totals.select(
+        "table_name", F.col("commit_id").alias("parent_id"), F.col("total").alias("total_before")
+    )
+    return totals.join(before, ["table_name", "parent_id"], "left").select(
+        "table_name",
+        F.col("commit_id").alias("snapshot_id"),
+        "parent_id",
+        (F.col("total") - F.coalesce("total_before", F.lit(0))).alias("records_added"),
+    )
+
+
+# --- new ledger rows ---------------------------------------------------------------------------
+# Each takes the ledger of one table and returns its next row; the caller adds it to the ledger.
+
+
+def _next_row(
+    state: DataFrame,
+    branch: str,
+    commit_id: int,
+    at: datetime | Column,
+    operation: str,
+    parent: Column,
+    live: Column,
+    lineage: Column,
+    added: int = 0,
+    added_bytes: int = 0,
+) -> DataFrame:
+    """One row from ``state``, which holds ``table_name`` and ``entries`` (commit and rows added)."""
+    visible = F.filter("entries", lambda e: F.array_contains(live, e.commit_id))
+    total = F.aggregate(visible, F.lit(added).cast("bigint"), lambda n, e: n + e.added)
+    summary = {
+        "added-records": F.lit(added),
+        "total-records": total,
+        "added-files-size": F.lit(added_bytes),
+    }
+    pairs = [part for key, value in summary.items() for part in (F.lit(key), value.cast("string"))]
+    moment = at if isinstance(at, Column) else F.lit(at)
+    return state.select(
+        "table_name",
+        F.lit(branch).alias("branch"),
+        F.lit(commit_id).cast("bigint").alias("commit_id"),
+        parent.alias("parent_id"),
+        moment.cast("timestamp").alias("committed_at"),
+        F.lit(operation).alias("operation"),
+        live.alias("live_commits"),
+        F.array_append(lineage, F.lit(commit_id).cast("bigint")).alias("lineage"),
+        F.create_map(*pairs).alias("summary"),
+    )
+
+
+def _state(ledger: DataFrame, table: str, **rows: Column) -> DataFrame:
+    """The named ledger rows side by side, and all commits with what they added and did."""
+    entry = F.struct(
+        "commit_id", "operation", summary_number("added-records", "added").alias("added")
+    )
+    return ledger.agg(
+        F.lit(table).alias("table_name"),
+        F.collect_list(entry).alias("entries"),
+        *(_newest(condition).alias(name) for name, condition in rows.items()),
+    )
+
+
+def _ids(column: str) -> Column:
+    return F.coalesce(F.col(column), F.array().cast("array<bigint>"))
+
+
+def append_row(ledger, table, commit_id, at, added, added_bytes=0, branch=MAIN) -> DataFrame:
+    """Rows were written under ``commit_id`` and join what the branch already shows."""
+    this = F.lit(commit_id).cast("bigint")
+    return _next_row(
+        _state(ledger, table, head=_on_branch(branch)), branch, commit_id, at, "append",
+        F.col("head.commit_id"), F.array_append(_ids("head.live_commits"), this),
+        _ids("head.lineage"), added, added_bytes,
+    )
+
+
+def overwrite_row(ledger, table, commit_id, at, added, added_bytes=0, branch=MAIN) -> DataFrame:
+    """Rows were written under ``commit_id`` and replace what the branch shows."""
+    return _next_row(
+        _state(ledger, table, head=_on_branch(branch)), branch, commit_id, at, "overwrite",
+        F.col("head.commit_id"), F.array(F.lit(commit_id).cast("bigint")),
+        _ids("head.lineage"), added, added_bytes,
+    )
+
+
+def rollback_row(ledger, table, commit_id, at, to, branch=MAIN) -> DataFrame:
+    """The branch shows again what version ``to`` showed."""
+    state = _state(ledger, table, head=_on_branch(branch), target=F.col("commit_id") == to)
+    live = F.coalesce(F.col("target.live_commits"), F.raise_error(F.lit(f"no version {to}")))
+    return _next_row(
+        state, branch, commit_id, at, "rollback",
+        F.col("head.commit_id"), live, _ids("head.lineage"),
+    )
+
+
+def branch_row(ledger, table, commit_id, at, branch, source=MAIN, version=None) -> DataFrame:
+    """A new branch that shows what ``source``, or a given version, shows."""
+    chosen = _on_branch(source) if version is None else F.col("commit_id") == version
+    state = _state(ledger, table, start=chosen, existing=_on_branch(branch))
+    taken = F.col("existing").isNotNull() & (F.col("existing.operation") != "drop")
+    live = (
+        F.when(taken, F.raise_error(F.lit(f"branch {branch} already exists")))
+        .when(F.col("start").isNull(), F.raise_error(F.lit("nothing to branch from")))
+        .otherwise(F.col("start.live_commits"))
+    )
+    return _next_row(
+        state, branch, commit_id, at, "branch",
+        F.col("start.commit_id"), live, _ids("start.lineage"),
+    )
+
+
+def drop_branch_row(ledger, table, commit_id, at, branch) -> DataFrame:
+    """The branch is gone; its name may be used again."""
+    return _next_row(
+        _state(ledger, table, head=_on_branch(branch)), branch, commit_id, at, "drop",
+        F.col("head.commit_id"), F.array().cast("array<bigint>"), _ids("head.lineage"),
+    )
+
+
+def publish_row(ledger, table, commit_id, at, source, target=MAIN) -> DataFrame:
+    """``target`` takes over what ``source`` shows.
+
+    A fast-forward when ``source`` descends from the head of ``target``. When both moved on and
+    since then only added rows, the union of both; otherwise the publication is refused.
+    """
+    state = _state(ledger, table, source=_on_branch(source), target=_on_branch(target))
+    fast_forward = F.array_contains(F.col("source.lineage"), F.col("target.commit_id"))
+    apart = F.array_union(
+        F.array_except("source.lineage", "target.lineage"),
+        F.array_except("target.lineage", "source.lineage"),
+    )
+    only_added = ~F.exists(
+        F.col("entries"),
+        lambda e: F.array_contains(apart, e.commit_id) & ~e.operation.isin(*_ADDING),
+    )
+    refused = F.raise_error(F.lit(f"{source} and {target} diverged by more than appended rows"))
+    live = (
+        F.when(fast_forward, F.col("source.live_commits"))
+        .when(only_added, F.array_union("target.live_commits", "source.live_commits"))
+        .otherwise(refused)
+    )
+    return _next_row(
+        state, target, commit_id, at, "publish",
+        F.col("target.commit_id"), live, F.array_union("target.lineage", "source.lineage"),
+    )
+
+
+# --- comparing versions ------------------------------------------------------------------------
+
+
+def compare_branches(data: DataFrame, ledger: DataFrame, left: str, right: str = MAIN) -> DataFrame:
+    """Row counts of two branches and their difference, from one scan of the data."""
+    sides = {side: live_commits(head(ledger, side)) for side in (left, right)}
+    touched = sorted({c for ids in sides.values() for c in ids})
+    counts = [
+        F.count_if(F.col("commit_id").isin(ids)).alias(f"{side}_records")
+        for side, ids in sides.items()
+    ]
+    return (
+        data.where(F.col("commit_id").isin(touched))
+        .agg(*counts)
+        .withColumn("difference", F.col(f"{left}_records") - F.col(f"{right}_records"))
+    )

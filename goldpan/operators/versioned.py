@@ -1,0 +1,125 @@
+"""A table with versions and branches: parquet folders per commit, and a ledger beside them."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from goldpan.operators import ledger as lg
+from goldpan.sources.files import data_files
+
+
+class VersionedTable:
+    """``root/data/commit_id=N`` holds what commit N wrote, ``root/ledger`` one row per commit.
+
+    A commit becomes visible with its ledger row, after its files are complete: a job that dies
+    earlier leaves files no version refers to. A replaced version stays readable. Each commit
+    reads the ledger, which is metadata, on the driver; rows stay on the executors. Writers must
+    take turns: two that start at once pick the same number and the second one fails.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        name: str,
+        partition_by: Sequence[str] = (),
+        clock: Callable[[], datetime] = datetime.now,
+    ):
+        self.spark = spark
+        self.name = name
+        self.partition_by = tuple(partition_by)
+        self.clock = clock
+        self._data = f"{root.rstrip('/')}/data"
+        self._ledger = f"{root.rstrip('/')}/ledger"
+
+    # reading
+
+    def exists(self) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._ledger)
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+    def ledger(self) -> DataFrame:
+        if not self.exists():
+            return self.spark.createDataFrame([], lg.LEDGER_SCHEMA)
+        return self.spark.read.schema(lg.LEDGER_SCHEMA).parquet(self._ledger)
+
+    def read(
+        self,
+        branch: str = lg.MAIN,
+        version: int | None = None,
+        timestamp: str | datetime | None = None,
+    ) -> DataFrame:
+        """The table as a branch shows it now, as a version showed it, or as it was at a moment.
+
+        Only the folders of visible commits are listed and scanned.
+        """
+        ledger = self.ledger()
+        if version is not None:
+            chosen = lg.version(ledger, version)
+        elif timestamp is not None:
+            chosen = lg.version_at(ledger, timestamp, branch)
+        else:
+            chosen = lg.head(ledger, branch)
+        return self.rows_of(lg.live_commits(chosen)).drop("commit_id")
+
+    def rows_of(self, commits: Sequence[int]) -> DataFrame:
+        """What the given commits wrote, with ``commit_id``."""
+        if not commits:
+            return self.spark.read.parquet(self._data).where(F.lit(False))
+        folders = [f"{self._data}/commit_id={c}" for c in commits]
+        return self.spark.read.option("basePath", self._data).parquet(*folders)
+
+    def data_files(self, branch: str = lg.MAIN) -> DataFrame:
+        live = lg.live_commits(lg.head(self.ledger(), branch))
+        return data_files(self.rows_of(live), ("commit_id", *self.partition_by))
+
+    # writing
+
+    def append(self, df: DataFrame, branch: str = lg.MAIN) -> int:
+        commit_id = self._next_id()
+        rows, size = self._write(df, commit_id)
+        return self._commit(lg.append_row, commit_id, rows, size, branch=branch)
+
+    def replace(self, df: DataFrame, branch: str = lg.MAIN) -> int:
+        """Show only these rows from now on. ``df`` may read this very table."""
+        commit_id = self._next_id()
+        rows, size = self._write(df, commit_id)
+        return self._commit(lg.overwrite_row, commit_id, rows, size, branch=branch)
+
+    def rollback(self, to: int, branch: str = lg.MAIN) -> int:
+        return self._commit(lg.rollback_row, self._next_id(), to, branch=branch)
+
+    def create_branch(self, branch: str, source: str = lg.MAIN, version: int | None = None) -> int:
+        return self._commit(lg.branch_row, self._next_id(), branch, source, version)
+
+    def drop_branch(self, branch: str) -> None:
+        """Drop the branch if there is one."""
+        if lg.head(self.ledger(), branch).first() is not None:
+            self._commit(lg.drop_branch_row, self._next_id(), branch)
+
+    def publish(self, source: str, target: str = lg.MAIN) -> int:
+        return self._commit(lg.publish_row, self._next_id(), source, target)
+
+    def _next_id(self) -> int:
+        return (self.ledger().agg(F.max("commit_id")).first()[0] or 0) + 1
+
+    def _write(self, df: DataFrame, commit_id: int) -> tuple[int, int]:
+        """Write one commit's folder and take its row count and size from the finished files."""
+        folder = f"{self._data}/commit_id={commit_id}"
+        writer = df.write.mode("errorifexists")
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.parquet(folder)
+        written = self.spark.read.schema(StructType(df.schema.fields)).parquet(folder)
+        totals = data_files(written).agg(F.sum("record_count"), F.sum("file_size_in_bytes")).first()
+        return totals[0] or 0, totals[1] or 0
+
+    def _commit(self, make_row: Callable[..., DataFrame], commit_id: int, *args, **kwargs) -> int:
+        row = make_row(self.ledger(), self.name, commit_id, self.clock(), *args, **kwargs)
+        row.coalesce(1).write.mode("append").parquet(self._ledger)
+        return commit_id

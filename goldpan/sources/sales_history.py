@@ -1,0 +1,170 @@
+"""Versions of the sales tables: the supplied batches as commits, and the ledger over them.
+
+Bronze goes through three appends, a rollback to batch 2, a branch, batch 3 again on the branch,
+and the publication of the branch. Silver appends each batch cleaned by itself, Gold is recomputed
+after each batch, and both roll back with Bronze. Times and counts are taken from the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from goldpan.operators.ledger import LEDGER_COLUMNS
+from goldpan.sources import sales_view
+
+BRONZE = "bronze.sales"
+SILVER = "silver.sales"
+GOLD = "gold.sales_by_category_region"
+GOLD_KEYS = {
+    GOLD: ("category", "region"),
+    "gold.sales_by_segment": ("segment",),
+    "gold.top_products": ("category", "sub_category", "product_name"),
+}
+
+# The commits as VALUES rows: id, branch, parent, operation, batch written, live commits, lineage,
+# hours between the last batch's arrival and a commit that writes no batch.
+_BRONZE_COMMITS = """
+    (1, 'main', null, 'append',   1,    array(1),       array(1),                   0),
+    (2, 'main', 1,    'append',   2,    array(1, 2),    array(1, 2),                0),
+    (3, 'main', 2,    'append',   3,    array(1, 2, 3), array(1, 2, 3),             0),
+    (4, 'main', 3,    'rollback', null, array(1, 2),    array(1, 2, 3, 4),          1),
+    (5, 'dev',  4,    'branch',   null, array(1, 2),    array(1, 2, 3, 4, 5),       2),
+    (6, 'dev',  5,    'append',   3,    array(1, 2, 6), array(1, 2, 3, 4, 5, 6),    3),
+    (7, 'main', 4,    'publish',  null, array(1, 2, 6), array(1, 2, 3, 4, 5, 6, 7), 4)
+"""
+_SILVER_COMMITS = """
+    (1, 'main', null, 'append',   1,    array(1),       array(1),          0),
+    (2, 'main', 1,    'append',   2,    array(1, 2),    array(1, 2),       0),
+    (3, 'main', 2,    'append',   3,    array(1, 2, 3), array(1, 2, 3),    0),
+    (4, 'main', 3,    'rollback', null, array(1, 2),    array(1, 2, 3, 4), 1)
+"""
+_GOLD_COMMITS = """
+    (1, 'main', null, 'overwrite', 1,    array(1), array(1),          0),
+    (2, 'main', 1,    'overwrite', 2,    array(2), array(1, 2),       0),
+    (3, 'main', 2,    'overwrite', 3,    array(3), array(1, 2, 3),    0),
+    (4, 'main', 3,    'rollback',  null, array(2), array(1, 2, 3, 4), 1)
+"""
+_COMMITS = {BRONZE: _BRONZE_COMMITS, SILVER: _SILVER_COMMITS}
+
+
+def versioned_bronze(spark: SparkSession, sf_dir: str, *raw_columns: str) -> DataFrame:
+    """Bronze rows with the commit that wrote them; batch 3 was written twice, by 3 and by 6."""
+    rows = sales_view.bronze(spark, sf_dir, *raw_columns, keep=("batch_no",))
+    batch = F.col("batch_no")
+    commits = F.when(batch == 3, F.array(batch, F.lit(6))).otherwise(F.array(batch))
+    return rows.select("*", F.explode(commits).alias("commit_id")).drop("batch_no")
+
+
+def _batches(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("batch_no").agg(
+        F.count("*").alias("added"), F.max("ingestion_ts").alias("arrived_at")
+    )
+
+
+def _bronze_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sales_view.bronze(spark, sf_dir, "Order ID", keep=("batch_no",))
+    return _batches(rows).withColumn("table_name", F.lit(BRONZE))
+
+
+def _batch_number() -> Column:
+    return F.regexp_extract("batch_id", r"(\d+)$", 1).cast("int").alias("batch_no")
+
+
+def _silver_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sales_view.silver_by_batch(spark, sf_dir, "batch_id", "ingestion_ts")
+    counts = _batches(rows.select(_batch_number(), "ingestion_ts"))
+    return counts.withColumn("table_name", F.lit(SILVER))
+
+
+def _gold_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each Gold table after each batch: its groups seen by then.
+
+    Grouping sets find the first batch of every group of all tables in one pass; a group counts
+    for its first batch and every later one.
+    """
+    columns = sorted({key for keys in GOLD_KEYS.values() for key in keys})
+    rows = sales_view.silver_by_batch(spark, sf_dir, "batch_id", "ingestion_ts", *columns)
+    sets = [list(keys) for keys in GOLD_KEYS.values()]
+    # The grouping id has one bit per column, set where the column is rolled up.
+    ids = {
+        sum(2 ** (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys): table
+        for table, keys in GOLD_KEYS.items()
+    }
+    table = F.element_at(F.create_map(*(F.lit(x) for pair in ids.items() for x in pair)), F.col("level"))
+    groups = (
+        rows.select(*columns, _batch_number(), "ingestion_ts")
+        .groupingSets(sets, *columns)
+        .agg(F.grouping_id().cast("int").alias("level"), F.min("batch_no").alias("first_batch"))
+        .select(table.alias("table_name"), "first_batch")
+    )
+    later = F.explode(F.sequence("first_batch", F.lit(sales_view.BATCHES))).alias("batch_no")
+    counts = groups.select("table_name", later).groupBy("table_name", "batch_no")
+    arrivals = _batches(sales_view.bronze(spark, sf_dir, "Order ID", keep=("batch_no",)))
+    return counts.agg(F.count("*").alias("added")).join(
+        arrivals.select("batch_no", "arrived_at"), "batch_no", "left"
+    )
+
+
+def ledger(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
+    """The ledger of the named tables (default Bronze)."""
+    tables = tables or (BRONZE,)
+    sources = [_bronze_batches(spark, sf_dir)] if BRONZE in tables else []
+    if SILVER in tables:
+        sources.append(_silver_batches(spark, sf_dir))
+    if set(tables) & set(GOLD_KEYS):
+        sources.append(_gold_batches(spark, sf_dir))
+    batches = sources[0]
+    for source in sources[1:]:
+        batches = batches.unionByName(source)
+    # One row per table and batch, so the joins below can be dropped where a reader needs no counts.
+    batches = batches.groupBy("table_name", "batch_no").agg(
+        F.sum("added").alias("added"), F.max("arrived_at").alias("arrived_at")
+    )
+    return _with_totals(_commits(spark, tables), batches)
+
+
+def _commits(spark: SparkSession, tables: tuple[str, ...]) -> DataFrame:
+    selects = [
+        f"select '{table}' as table_name, * from values {_COMMITS.get(table, _GOLD_COMMITS)} as t"
+        "(commit_id, branch, parent_id, operation, batch_no, live_commits, lineage, hours)"
+        for table in tables
+    ]
+    commits = spark.sql(" union all ".join(selects))
+    return commits.withColumns(
+        {
+            "commit_id": F.col("commit_id").cast("bigint"),
+            "parent_id": F.col("parent_id").cast("bigint"),
+            "live_commits": F.col("live_commits").cast("array<bigint>"),
+            "lineage": F.col("lineage").cast("array<bigint>"),
+        }
+    )
+
+
+def _with_totals(commits: DataFrame, batches: DataFrame) -> DataFrame:
+    """Put times and row counts of the written batches into the ledger rows."""
+    written = commits.select("table_name", "commit_id", "batch_no").join(
+        batches, ["table_name", "batch_no"]
+    )
+    live = commits.select("table_name", F.explode("live_commits").alias("commit_id"), F.col("commit_id").alias("version"))
+    totals = (
+        live.join(written.select("table_name", "commit_id", "added"), ["table_name", "commit_id"])
+        .groupBy("table_name", F.col("version").alias("commit_id"))
+        .agg(F.sum("added").alias("total"))
+    )
+    last = batches.groupBy("table_name").agg(F.max("arrived_at").alias("last_arrival"))
+    complete = (
+        commits.join(batches, ["table_name", "batch_no"], "left")
+        .join(totals, ["table_name", "commit_id"], "left")
+        .join(last, "table_name", "left")
+    )
+    at = F.when(F.col("hours") == 0, F.col("arrived_at")).otherwise(
+        F.timestamp_add("HOUR", F.col("hours"), F.col("last_arrival"))
+    )
+    summary = F.create_map(
+        F.lit("added-records"),
+        F.coalesce("added", F.lit(0)).cast("string"),
+        F.lit("total-records"),
+        F.col("total").cast("string"),
+    )
+    return complete.withColumns({"committed_at": at, "summary": summary}).select(*LEDGER_COLUMNS)
