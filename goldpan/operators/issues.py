@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldpan.schema import RAW_COLUMNS
-from goldpan.sources.csv_batches import write_sales_csv
+from goldpan.sources.csv_batches import FOLDER_NAME, write_batches
 
 # The replacements for a valid discount or quantity.
 INVALID_DISCOUNTS = (1.5, -0.1, 2.0)
@@ -83,12 +83,8 @@ def generate_batches(
     issue_rate: float = 0.05,
     spread: Column | None = None,
 ) -> list[str]:
-    """Write ``sales_batch_NNN.csv`` folders of dirtied rows and return their paths."""
+    """Write the dirtied rows as CSV, a folder per batch, in one pass. Returns the folders."""
     batches = assign_batches(source, key, num_batches)
     dirty = introduce_quality_issues(batches, issue_rate, spread=spread)
-    paths = []
-    for number in range(1, num_batches + 1):
-        path = f"{folder}/sales_batch_{number:03d}.csv"
-        write_sales_csv(dirty.where(F.col("batch_no") == number).select(*RAW_COLUMNS), path)
-        paths.append(path)
-    return paths
+    write_batches(dirty.select(*RAW_COLUMNS, "batch_no"), folder)
+    return [f"{folder}/{FOLDER_NAME.format(n)}" for n in range(1, num_batches + 1)]

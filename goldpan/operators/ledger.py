@@ -26,16 +26,16 @@ MAIN = "main"
 # Operations after which two moved branches can still be published: they only add rows.
 _ADDING = ("append", "branch", "publish")
 
-_NEWEST = ("committed_at", "commit_id")
-
-
 def _row() -> Column:
     return F.struct(*LEDGER_COLUMNS)
 
 
 def _newest(rows: Column) -> Column:
-    """Newest ledger row among ``rows``, as an aggregate; NULL when there is none."""
-    return F.max_by(_row(), F.when(rows, F.struct(*_NEWEST)))
+    """Newest ledger row among ``rows``, as an aggregate; NULL when there is none.
+
+    Commits are numbered in order, so this does not depend on the writers' clocks.
+    """
+    return F.max_by(_row(), F.when(rows, F.col("commit_id")))
 
 
 def _on_branch(branch: str) -> Column:
@@ -49,10 +49,6 @@ def summary_number(key: str, name: str) -> Column:
 # --- reading the ledger ------------------------------------------------------------------------
 
 
-def of_table(ledger: DataFrame, table: str) -> DataFrame:
-    return ledger.where(F.col("table_name") == table)
-
-
 def branch_heads(ledger: DataFrame) -> DataFrame:
     """The current row of every branch of every table; a dropped branch has none."""
     heads = ledger.groupBy("table_name", "branch").agg(_newest(F.lit(True)).alias("head"))
@@ -124,14 +120,12 @@ def snapshot_report(ledger: DataFrame) -> DataFrame:
 
 def latest_version(ledger: DataFrame) -> DataFrame:
     """Latest snapshot of every table, on whichever branch."""
-    return ledger.groupBy("table_name").agg(
-        F.max_by("commit_id", F.struct(*_NEWEST)).alias("snapshot_id")
-    )
+    return ledger.groupBy("table_name").agg(F.max("commit_id").alias("snapshot_id"))
 
 
 def previous_version(ledger: DataFrame) -> DataFrame:
     """The second newest snapshot of every table: where a rollback by one step goes."""
-    newest_first = Window.partitionBy("table_name").orderBy(*(F.desc(c) for c in _NEWEST))
+    newest_first = Window.partitionBy("table_name").orderBy(F.desc("commit_id"))
     return (
         ledger.withColumn("age", F.row_number().over(newest_first))
         .where(F.col("age") == 2)
@@ -171,7 +165,7 @@ def _next_row(
     state: DataFrame,
     branch: str,
     commit_id: int,
-    at: datetime | Column,
+    at: datetime | str,
     operation: str,
     parent: Column,
     live: Column,
@@ -188,13 +182,12 @@ def _next_row(
         "added-files-size": F.lit(added_bytes),
     }
     pairs = [part for key, value in summary.items() for part in (F.lit(key), value.cast("string"))]
-    moment = at if isinstance(at, Column) else F.lit(at)
     return state.select(
         "table_name",
         F.lit(branch).alias("branch"),
         F.lit(commit_id).cast("bigint").alias("commit_id"),
         parent.alias("parent_id"),
-        moment.cast("timestamp").alias("committed_at"),
+        F.lit(at).cast("timestamp").alias("committed_at"),
         F.lit(operation).alias("operation"),
         live.alias("live_commits"),
         F.array_append(lineage, F.lit(commit_id).cast("bigint")).alias("lineage"),

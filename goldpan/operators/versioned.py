@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,6 +14,10 @@ from goldpan.operators import ledger as lg
 from goldpan.sources.files import data_files
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
 class VersionedTable:
     """``root/data/commit_id=N`` holds what commit N wrote, ``root/ledger`` one row per commit.
 
@@ -28,7 +33,7 @@ class VersionedTable:
         root: str,
         name: str,
         partition_by: Sequence[str] = (),
-        clock: Callable[[], datetime] = datetime.now,
+        clock: Callable[[], datetime] = utc_now,
     ):
         self.spark = spark
         self.name = name
@@ -39,14 +44,17 @@ class VersionedTable:
 
     # reading
 
-    def exists(self) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._ledger)
-        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
-
     def ledger(self) -> DataFrame:
-        if not self.exists():
+        """All commits so far; empty before the first one."""
+        try:
+            return self.spark.read.schema(lg.LEDGER_SCHEMA).parquet(self._ledger)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], lg.LEDGER_SCHEMA)
-        return self.spark.read.schema(lg.LEDGER_SCHEMA).parquet(self._ledger)
+
+    def exists(self) -> bool:
+        return not self.ledger().isEmpty()
 
     def read(
         self,
@@ -78,6 +86,21 @@ class VersionedTable:
         live = lg.live_commits(lg.head(self.ledger(), branch))
         return data_files(self.rows_of(live), ("commit_id", *self.partition_by))
 
+    def history(self, branch: str = lg.MAIN) -> DataFrame:
+        return lg.history(self.ledger(), branch)
+
+    def snapshots(self) -> DataFrame:
+        return lg.snapshots(self.ledger())
+
+    def snapshot_report(self) -> DataFrame:
+        return lg.snapshot_report(self.ledger())
+
+    def branches(self) -> DataFrame:
+        return lg.branch_heads(self.ledger())
+
+    def commit_log(self, branch: str = lg.MAIN) -> DataFrame:
+        return lg.commit_log(self.ledger(), branch)
+
     # writing
 
     def append(self, df: DataFrame, branch: str = lg.MAIN) -> int:

@@ -584,7 +584,7 @@ _RUNS_AND_TEST_BATCHES = {
             SELECT CAST(l_orderkey AS VARCHAR) AS "Order ID",
                    CASE WHEN kind = 1 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS "Product ID",
                    CASE WHEN kind = 0 THEN NULL ELSE l_extendedprice END AS "Sales",
-                   CASE WHEN kind = 4 THEN -choice ELSE CAST(l_quantity AS INTEGER) END AS "Quantity",
+                   CASE WHEN kind = 4 THEN CAST(-choice AS INTEGER) ELSE CAST(l_quantity AS INTEGER) END AS "Quantity",
                    CASE WHEN kind = 3 THEN CASE choice WHEN 0 THEN 1.5 WHEN 1 THEN -0.1 ELSE 2.0 END
                         ELSE l_discount END AS "Discount",
                    copy_slot

@@ -1,0 +1,30 @@
+"""Shuffle sizing from the size of the input."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+_SETTING = "spark.sql.shuffle.partitions"
+
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+MOST_PARTITIONS = 32_768
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files behind a frame, as the optimizer estimates it from the listing."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def fit_shuffle_partitions(df: DataFrame) -> int:
+    """Raise the session's shuffle partitions until a full shuffle of ``df`` has moderate tasks.
+
+    Never lowers the setting: where a shuffle turns out small, adaptive execution merges its
+    partitions. The upper end keeps the number of shuffle blocks in bounds; tasks that are larger
+    then sort with spilling.
+    """
+    session = df.sparkSession
+    wanted = min(input_bytes(df) // BYTES_PER_PARTITION, MOST_PARTITIONS)
+    current = int(session.conf.get(_SETTING))
+    if wanted > current:
+        session.conf.set(_SETTING, str(wanted))
+    return max(wanted, current)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +22,17 @@ from goldpan.operators.silver import (
     transform_batches_to_silver,
 )
 from goldpan.plans import medallion
+from goldpan.plans.sizing import fit_shuffle_partitions
 from goldpan.schema import LINEAGE_COLUMNS, NATURAL_KEY, RAW_COLUMNS
 from goldpan.sources import sales_history as past
 from goldpan.sources import sales_view as view
-from goldpan.sources.csv_batches import batch_inventory, read_sales_csv, write_sales_csv
+from goldpan.sources.csv_batches import (
+    FOLDER_NAME,
+    batch_inventory,
+    read_sales_csv,
+    write_batches,
+    write_sales_csv,
+)
 from goldpan.sources.files import data_files, files_per_partition, landed_files, partitions
 from goldpan.storage import fresh_path, materialize
 
@@ -42,6 +48,7 @@ def query(function: Query) -> Query:
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fit_shuffle_partitions(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
         result = function(spark, sf_dir)
         dates = [f.name for f in result.schema.fields if isinstance(f.dataType, DateType)]
         return result.withColumns({d: F.col(d).cast("string") for d in dates}) if dates else result
@@ -81,15 +88,12 @@ def _first_rows_order(order_id: str, product_id: str, *more: str) -> list:
 def _landed_batches(spark, sf_dir, *raw_columns) -> str:
     """The supplied batches written as CSV drops; returns the landing folder."""
     folder = fresh_path(spark, "landing")
-    rows = view.bronze(spark, sf_dir, *raw_columns, keep=("batch_no",))
-    for number in range(1, view.BATCHES + 1):
-        batch = rows.where(F.col("batch_no") == number).select(*(raw_columns or RAW_COLUMNS))
-        write_sales_csv(batch, f"{folder}/sales_batch_{number:03d}.csv")
+    write_batches(view.bronze(spark, sf_dir, *raw_columns, keep=("batch_no",)).drop(*LINEAGE_COLUMNS), folder)
     return folder
 
 
 def _batch_paths(folder: str) -> list[str]:
-    return [f"{folder}/sales_batch_{n:03d}.csv" for n in range(1, view.BATCHES + 1)]
+    return [f"{folder}/{FOLDER_NAME.format(n)}" for n in range(1, view.BATCHES + 1)]
 
 
 def _batch(spark, sf_dir, number: int) -> DataFrame:
@@ -108,7 +112,7 @@ def scan_csv_batch(spark, sf_dir):
 @query
 def scan_batch_inventory(spark, sf_dir):
     folder = _landed_batches(spark, sf_dir, "Order ID", "Product ID", "Sales")
-    return batch_inventory(spark, _batch_paths(folder))
+    return batch_inventory(spark, folder)
 
 
 @query
@@ -635,7 +639,7 @@ def aggregate_evolution(spark, sf_dir):
 def rollback_to_version(spark, sf_dir):
     """Main after three appends, rolled back to the second."""
     before = _ledger_until(spark, sf_dir, 3)
-    row = lg.rollback_row(before, past.BRONZE, 4, datetime(2024, 1, 1, 17), to=2)
+    row = lg.rollback_row(before, past.BRONZE, 4, "2024-01-01 17:00:00", to=2)
     rows = past.versioned_bronze(spark, sf_dir, "Order ID")
     return reports.records_by_batch(lg.as_of(rows, lg.head(before.unionByName(row))))
 
@@ -648,7 +652,7 @@ def branch_heads(spark, sf_dir):
 @query
 def branch_create(spark, sf_dir):
     before = _ledger_until(spark, sf_dir, 4)
-    return _new_commit(lg.branch_row(before, past.BRONZE, 5, datetime(2024, 1, 1, 18), "dev"))
+    return _new_commit(lg.branch_row(before, past.BRONZE, 5, "2024-01-01 18:00:00", "dev"))
 
 
 @query
@@ -666,7 +670,7 @@ def commit_log(spark, sf_dir):
 def publish_branch(spark, sf_dir):
     """Main after dev, which appended batch 3 again, has been published to it."""
     before = _ledger_until(spark, sf_dir, 6)
-    row = lg.publish_row(before, past.BRONZE, 7, datetime(2024, 1, 1, 20), source="dev")
+    row = lg.publish_row(before, past.BRONZE, 7, "2024-01-01 20:00:00", source="dev")
     rows = past.versioned_bronze(spark, sf_dir, "Order ID")
     return reports.records_by_batch(lg.as_of(rows, lg.head(before.unionByName(row))))
 
@@ -683,7 +687,7 @@ def _landed_lake(spark, sf_dir) -> medallion.Medallion:
     lake = _lake(spark)
     folder = _landed_batches(spark, sf_dir)
     for number in range(1, view.BATCHES + 1):
-        medallion.run_bronze(lake, folder, number)
+        medallion.run_bronze(lake, folder, number, FOLDER_NAME)
     return lake
 
 
@@ -706,13 +710,13 @@ def run_gold(spark, sf_dir):
 
 @query
 def run_layers(spark, sf_dir):
-    return medallion.run_layers(_lake(spark), _landed_batches(spark, sf_dir))
+    return medallion.run_layers(_lake(spark), _landed_batches(spark, sf_dir), naming=FOLDER_NAME)
 
 
 @query
 def gold_after_batch(spark, sf_dir):
     lake = _lake(spark)
-    medallion.run_batch_by_batch(lake, _landed_batches(spark, sf_dir))
+    medallion.run_batch_by_batch(lake, _landed_batches(spark, sf_dir), naming=FOLDER_NAME)
     return lake.gold["sales_by_category_region"].read()
 
 

@@ -7,7 +7,7 @@ after each batch, and both roll back with Bronze. Times and counts are taken fro
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from goldpan.operators.ledger import LEDGER_COLUMNS
@@ -56,72 +56,70 @@ def versioned_bronze(spark: SparkSession, sf_dir: str, *raw_columns: str) -> Dat
     return rows.select("*", F.explode(commits).alias("commit_id")).drop("batch_no")
 
 
-def _batches(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("batch_no").agg(
-        F.count("*").alias("added"), F.max("ingestion_ts").alias("arrived_at")
-    )
-
-
 def _bronze_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and arrival of every batch in Bronze."""
     rows = sales_view.bronze(spark, sf_dir, "Order ID", keep=("batch_no",))
-    return _batches(rows).withColumn("table_name", F.lit(BRONZE))
-
-
-def _batch_number() -> Column:
-    return F.regexp_extract("batch_id", r"(\d+)$", 1).cast("int").alias("batch_no")
-
-
-def _silver_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sales_view.silver_by_batch(spark, sf_dir, "batch_id", "ingestion_ts")
-    counts = _batches(rows.select(_batch_number(), "ingestion_ts"))
-    return counts.withColumn("table_name", F.lit(SILVER))
+    counts = rows.groupBy("batch_no").agg(
+        F.count("*").alias("added"), F.max("ingestion_ts").alias("arrived_at")
+    )
+    return counts.select(F.lit(BRONZE).alias("table_name"), "batch_no", "added", "arrived_at")
 
 
-def _gold_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each Gold table after each batch: its groups seen by then.
+def _later_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each batch put into Silver and Gold, from one pass over Silver.
 
-    Grouping sets find the first batch of every group of all tables in one pass; a group counts
-    for its first batch and every later one.
+    Grouping sets count the rows of each batch, for Silver, and find the first batch of every
+    group of each Gold table: Gold holds the group after that batch and every later one.
     """
-    columns = sorted({key for keys in GOLD_KEYS.values() for key in keys})
-    rows = sales_view.silver_by_batch(spark, sf_dir, "batch_id", "ingestion_ts", *columns)
-    sets = [list(keys) for keys in GOLD_KEYS.values()]
-    # The grouping id has one bit per column, set where the column is rolled up.
-    ids = {
-        sum(2 ** (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys): table
-        for table, keys in GOLD_KEYS.items()
+    keys = sorted({key for table_keys in GOLD_KEYS.values() for key in table_keys})
+    batch_no = F.regexp_extract("batch_id", r"(\d+)$", 1).cast("int")
+    rows = sales_view.silver_by_batch(spark, sf_dir, "batch_id", *keys).select(
+        batch_no.alias("batch_no"), batch_no.alias("seen_in"), *keys
+    )
+    sets = {SILVER: ["batch_no"], **{table: list(columns) for table, columns in GOLD_KEYS.items()}}
+    grouped = ["batch_no", *keys]
+    # The grouping id has a bit per column, first column highest, set where it is rolled up.
+    tables = {
+        sum(1 << i for i, column in enumerate(reversed(grouped)) if column not in columns): table
+        for table, columns in sets.items()
     }
-    table = F.element_at(F.create_map(*(F.lit(x) for pair in ids.items() for x in pair)), F.col("level"))
-    groups = (
-        rows.select(*columns, _batch_number(), "ingestion_ts")
-        .groupingSets(sets, *columns)
-        .agg(F.grouping_id().cast("int").alias("level"), F.min("batch_no").alias("first_batch"))
-        .select(table.alias("table_name"), "first_batch")
+    table = F.element_at(
+        F.create_map(*(F.lit(part) for pair in tables.items() for part in pair)), F.col("level")
     )
-    later = F.explode(F.sequence("first_batch", F.lit(sales_view.BATCHES))).alias("batch_no")
-    counts = groups.select("table_name", later).groupBy("table_name", "batch_no")
-    arrivals = _batches(sales_view.bronze(spark, sf_dir, "Order ID", keep=("batch_no",)))
-    return counts.agg(F.count("*").alias("added")).join(
-        arrivals.select("batch_no", "arrived_at"), "batch_no", "left"
+    in_silver = F.col("batch_no").isNotNull()
+    until = F.when(in_silver, F.col("batch_no")).otherwise(sales_view.BATCHES)
+    return (
+        rows.groupingSets(list(sets.values()), *grouped)
+        .agg(
+            F.grouping_id().cast("int").alias("level"),
+            F.count("*").alias("rows"),
+            F.min("seen_in").alias("first"),
+        )
+        .select(
+            table.alias("table_name"),
+            F.explode(F.sequence(F.col("first"), until)).alias("batch_no"),
+            F.when(in_silver, F.col("rows")).otherwise(1).alias("added"),
+        )
+        .groupBy("table_name", "batch_no")
+        .agg(F.sum("added").alias("added"))
+        .withColumn("arrived_at", F.lit(None).cast("timestamp"))
     )
 
 
 def ledger(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
     """The ledger of the named tables (default Bronze)."""
     tables = tables or (BRONZE,)
-    sources = [_bronze_batches(spark, sf_dir)] if BRONZE in tables else []
-    if SILVER in tables:
-        sources.append(_silver_batches(spark, sf_dir))
-    if set(tables) & set(GOLD_KEYS):
-        sources.append(_gold_batches(spark, sf_dir))
-    batches = sources[0]
-    for source in sources[1:]:
-        batches = batches.unionByName(source)
-    # One row per table and batch, so the joins below can be dropped where a reader needs no counts.
-    batches = batches.groupBy("table_name", "batch_no").agg(
-        F.sum("added").alias("added"), F.max("arrived_at").alias("arrived_at")
+    batches = _bronze_batches(spark, sf_dir)
+    if set(tables) - {BRONZE}:
+        batches = batches.unionByName(_later_batches(spark, sf_dir))
+    # A batch reaches the later layers when it arrives. One row per table and batch.
+    arrival = F.max("arrived_at").over(Window.partitionBy("batch_no"))
+    batches = (
+        batches.withColumn("arrived_at", arrival)
+        .groupBy("table_name", "batch_no")
+        .agg(F.sum("added").alias("added"), F.max("arrived_at").alias("arrived_at"))
     )
-    return _with_totals(_commits(spark, tables), batches)
+    return _with_counts(_commits(spark, tables).join(batches, ["table_name", "batch_no"], "left"))
 
 
 def _commits(spark: SparkSession, tables: tuple[str, ...]) -> DataFrame:
@@ -141,30 +139,23 @@ def _commits(spark: SparkSession, tables: tuple[str, ...]) -> DataFrame:
     )
 
 
-def _with_totals(commits: DataFrame, batches: DataFrame) -> DataFrame:
-    """Put times and row counts of the written batches into the ledger rows."""
-    written = commits.select("table_name", "commit_id", "batch_no").join(
-        batches, ["table_name", "batch_no"]
-    )
-    live = commits.select("table_name", F.explode("live_commits").alias("commit_id"), F.col("commit_id").alias("version"))
-    totals = (
-        live.join(written.select("table_name", "commit_id", "added"), ["table_name", "commit_id"])
-        .groupBy("table_name", F.col("version").alias("commit_id"))
-        .agg(F.sum("added").alias("total"))
-    )
-    last = batches.groupBy("table_name").agg(F.max("arrived_at").alias("last_arrival"))
-    complete = (
-        commits.join(batches, ["table_name", "batch_no"], "left")
-        .join(totals, ["table_name", "commit_id"], "left")
-        .join(last, "table_name", "left")
-    )
-    at = F.when(F.col("hours") == 0, F.col("arrived_at")).otherwise(
-        F.timestamp_add("HOUR", F.col("hours"), F.col("last_arrival"))
-    )
+def _with_counts(commits: DataFrame) -> DataFrame:
+    """Complete the ledger rows: times, and row counts of each commit and of what it shows."""
+    table = Window.partitionBy("table_name")
+    added = F.coalesce("added", F.lit(0))
+    entries = F.collect_list(F.struct("commit_id", added.alias("added"))).over(table)
+    visible = F.filter(entries, lambda e: F.array_contains(F.col("live_commits"), e.commit_id))
+    total = F.aggregate(visible, F.lit(0).cast("bigint"), lambda n, e: n + e.added)
+    later = F.timestamp_add("HOUR", F.col("hours"), F.max("arrived_at").over(table))
     summary = F.create_map(
         F.lit("added-records"),
-        F.coalesce("added", F.lit(0)).cast("string"),
+        added.cast("string"),
         F.lit("total-records"),
-        F.col("total").cast("string"),
+        total.cast("string"),
     )
-    return complete.withColumns({"committed_at": at, "summary": summary}).select(*LEDGER_COLUMNS)
+    return commits.withColumns(
+        {
+            "committed_at": F.when(F.col("hours") == 0, F.col("arrived_at")).otherwise(later),
+            "summary": summary,
+        }
+    ).select(*LEDGER_COLUMNS)

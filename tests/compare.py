@@ -43,3 +43,22 @@ def duck_bag(connection, sql):
     result = connection.execute(sql)
     columns = [c[0] for c in result.description]
     return sorted(columns), _bag(columns, result.fetchall())
+
+
+_SPARK_TYPE = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp",
+}
+
+
+def spark_types(df):
+    return {name: kind.removesuffix("_ntz") for name, kind in df.dtypes}
+
+
+def duck_types(connection, sql):
+    described = connection.execute(f"DESCRIBE {sql}").fetchall()
+    return {name: _SPARK_TYPE.get(kind, kind) for name, kind, *_ in described}

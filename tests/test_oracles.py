@@ -5,7 +5,7 @@ import os
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
-from tests.compare import connect, duck_bag, spark_bag
+from tests.compare import connect, duck_bag, duck_types, spark_bag, spark_types
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -27,7 +27,9 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_same_rows(spark, duck, name):
-    columns, rows = spark_bag(queries()[name](spark, SF_DIR))
+    result = queries()[name](spark, SF_DIR)
+    assert spark_types(result) == duck_types(duck, oracle_sql()[name])
+    columns, rows = spark_bag(result)
     expected_columns, expected = duck_bag(duck, oracle_sql()[name])
     assert columns == expected_columns
     assert rows == expected
