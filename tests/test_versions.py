@@ -1,0 +1,179 @@
+"""Versioned tables: the demo sequence on real files, random histories, refusals."""
+
+import random
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from goldpan.operators import ledger as lg
+from goldpan.operators.versioned import VersionedTable
+from goldpan.sources import sales_history as past
+from goldpan.sources import sales_view as view
+
+
+class Clock:
+    """One hour per commit, from a fixed start."""
+
+    def __init__(self):
+        self.now = datetime(2024, 1, 1, 7, tzinfo=timezone.utc)
+
+    def __call__(self):
+        self.now += timedelta(hours=1)
+        return self.now
+
+
+def numbers(spark, *values):
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, values))).alias("value"))
+
+
+def values(df):
+    return sorted(r.value for r in df.collect())
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return VersionedTable(spark, str(tmp_path / "t"), "t", clock=Clock())
+
+
+def test_demo_sequence_on_files(spark, tiny, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "b"), past.BRONZE, ("ingestion_date",), Clock())
+    rows = view.bronze(spark, tiny, "Order ID", "Sales", keep=("batch_no",))
+    batch = {n: rows.where(F.col("batch_no") == n).drop("batch_no") for n in (1, 2, 3)}
+    for n in (1, 2, 3):
+        assert table.append(batch[n]) == n
+    assert table.rollback(to=2) == 4
+    assert table.create_branch("dev") == 5
+    assert table.append(batch[3], branch="dev") == 6
+    assert table.read("dev").count() == 6054
+    assert table.read().count() == 4018
+    assert table.publish("dev") == 7
+    counts = {n: table.read(version=n).count() for n in range(1, 8)}
+    assert counts == {1: 1940, 2: 4018, 3: 6054, 4: 4018, 5: 4018, 6: 6054, 7: 6054}
+    assert table.read(timestamp="2024-01-01 09:30:00").count() == 4018
+
+    stored = table.ledger().select("commit_id", "branch", "parent_id", "operation", "live_commits", "lineage")
+    derived = past.ledger(spark, tiny).select(*stored.columns)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, derived.collect()))
+    report = {r.snapshot_id: r for r in table.snapshot_report().collect()}
+    assert [report[n].total_records for n in range(1, 8)] == list(counts.values())
+    assert [report[n].added_records for n in range(1, 8)] == [1940, 2078, 2036, 0, 0, 2036, 0]
+    assert report[1].added_file_size > 0
+    assert [r.commit_id for r in table.branches().orderBy("branch").collect()] == [6, 7]
+    assert "ingestion_date" in str(table.read().inputFiles()[0])
+
+
+def test_only_visible_commits_are_scanned(spark, table):
+    for n in range(3):
+        table.append(numbers(spark, n))
+    assert {f.split("commit_id=")[1].split("/")[0] for f in table.read(version=2).inputFiles()} == {"1", "2"}
+
+
+def test_replacing_a_table_with_a_query_on_itself(spark, table):
+    table.append(numbers(spark, 1, 2, 3))
+    table.replace(table.read().where("value > 1"))
+    assert values(table.read()) == [2, 3]
+    assert values(table.read(version=1)) == [1, 2, 3]
+
+
+def test_rollback_moves_no_data(spark, table):
+    table.append(numbers(spark, 1))
+    table.append(numbers(spark, 2))
+    before = set(spark.read.parquet(table._data).inputFiles())
+    table.rollback(to=1)
+    assert values(table.read()) == [1]
+    assert set(spark.read.parquet(table._data).inputFiles()) == before
+
+
+def test_files_without_a_ledger_row_stay_invisible(spark, table):
+    """A writer that dies between its files and its ledger row leaves no trace for readers."""
+    table.append(numbers(spark, 1))
+    table._write(numbers(spark, 99), 2)
+    assert values(table.read()) == [1]
+
+
+def test_diverged_branches(spark, table):
+    table.append(numbers(spark, 1))
+    table.create_branch("dev")
+    table.append(numbers(spark, 2), "dev")
+    table.append(numbers(spark, 3))
+    table.publish("dev")
+    assert values(table.read()) == [1, 2, 3]
+    assert values(table.read("dev")) == [1, 2]
+
+
+def test_publication_is_refused_after_more_than_appends(spark, table):
+    table.append(numbers(spark, 1))
+    table.create_branch("dev")
+    table.append(numbers(spark, 2), "dev")
+    table.replace(numbers(spark, 7))
+    with pytest.raises(Exception, match="diverged"):
+        table.publish("dev")
+    assert values(table.read()) == [7]
+
+
+def test_branch_names(spark, table):
+    table.append(numbers(spark, 1))
+    table.append(numbers(spark, 2))
+    table.create_branch("old", version=1)
+    assert values(table.read("old")) == [1]
+    with pytest.raises(Exception, match="already exists"):
+        table.create_branch("old")
+    table.drop_branch("old")
+    table.drop_branch("never")
+    with pytest.raises(LookupError):
+        table.read("old")
+    assert [r.branch for r in table.branches().collect()] == ["main"]
+    table.create_branch("old")
+    assert values(table.read("old")) == [1, 2]
+
+
+def test_unknown_versions(spark, table):
+    table.append(numbers(spark, 1))
+    with pytest.raises(LookupError):
+        table.read(version=9)
+    with pytest.raises(LookupError):
+        table.read(timestamp="2020-01-01 00:00:00")
+    with pytest.raises(Exception, match="no version 9"):
+        table.rollback(to=9)
+
+
+def test_history_marks_ancestors(spark, table):
+    table.append(numbers(spark, 1))
+    table.create_branch("dev")
+    table.append(numbers(spark, 2))
+    marks = {r.snapshot_id: r.is_current_ancestor for r in table.history().collect()}
+    assert marks == {1: True, 2: False, 3: True}
+    assert [r.snapshot_id for r in table.commit_log().collect()] == [3, 1]
+    assert lg.previous_version(table.ledger()).first().snapshot_id == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_histories_against_replay(spark, table, seed):
+    draw = random.Random(seed)
+    table.append(numbers(spark, 0))
+    shown = {"main": {0}}
+    at_version = {1: {0}}
+    for step in range(1, 7):
+        branch = draw.choice(sorted(shown))
+        action = draw.choice(["append", "append", "replace", "rollback", "branch"])
+        if action == "append":
+            commit = table.append(numbers(spark, step), branch)
+            shown[branch] = shown[branch] | {step}
+        elif action == "replace":
+            commit = table.replace(numbers(spark, step), branch)
+            shown[branch] = {step}
+        elif action == "rollback":
+            target = draw.choice(sorted(at_version))
+            commit = table.rollback(target, branch)
+            shown[branch] = at_version[target]
+        else:
+            name = f"b{step}"
+            commit = table.create_branch(name, branch)
+            shown[name] = shown[branch]
+            branch = name
+        at_version[commit] = shown[branch]
+    for branch, expected in shown.items():
+        assert values(table.read(branch)) == sorted(expected)
+    totals = {r.snapshot_id: r.total_records for r in table.snapshot_report().collect()}
+    assert totals == {commit: len(expected) for commit, expected in at_version.items()}
