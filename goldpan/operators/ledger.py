@@ -56,8 +56,9 @@ def branch_heads(ledger: DataFrame) -> DataFrame:
 
 
 def head(ledger: DataFrame, branch: str = MAIN) -> DataFrame:
-    """The current row of one branch of one table."""
-    return branch_heads(ledger.where(_on_branch(branch)))
+    """The current row of one branch of one table; none once the branch is dropped."""
+    newest = ledger.where(_on_branch(branch)).orderBy(F.desc("commit_id")).limit(1)
+    return newest.where(F.col("operation") != "drop")
 
 
 def version(ledger: DataFrame, commit_id: int) -> DataFrame:
@@ -85,8 +86,8 @@ def as_of(data: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def history(ledger: DataFrame, branch: str = MAIN) -> DataFrame:
     """Versions of one table, newest first, and whether the branch descends from each."""
-    current = ledger.agg(_newest(_on_branch(branch)).alias("head")).select("head.lineage").first()
-    ancestors = current.lineage if current and current.lineage else []
+    current = head(ledger, branch).select("lineage").first()
+    ancestors = current.lineage if current else []
     return ledger.select(
         F.col("committed_at").alias("made_current_at"),
         F.col("commit_id").alias("snapshot_id"),

@@ -476,12 +476,12 @@ _VERSIONS = {
     ),
     "asof_by_batch": _versions(_BY_BATCH.format("1, 2")),
     "version_history": _ledger(
-        """SELECT committed_at AS made_current_at, commit_id AS snapshot_id, parent_id,
+        """SELECT committed_at AS made_current_at, commit_id AS snapshot_id, CAST(parent_id AS VARCHAR) AS parent_id,
                   TRUE AS is_current_ancestor
         FROM ledger"""
     ),
     "version_snapshots": _ledger(
-        """SELECT committed_at, commit_id AS snapshot_id, parent_id, operation,
+        """SELECT committed_at, commit_id AS snapshot_id, CAST(parent_id AS VARCHAR) AS parent_id, operation,
                   '{"added-records":"' || added_records || '","total-records":"' || total_records || '"}'
                       AS summary
         FROM ledger"""
@@ -524,7 +524,7 @@ _VERSIONS = {
                      ('gold.top_products')) AS x(t)"""
     ),
     "records_added": _ledger(
-        """SELECT 'bronze.sales' AS table_name, c.commit_id AS snapshot_id, c.parent_id,
+        """SELECT 'bronze.sales' AS table_name, c.commit_id AS snapshot_id, CAST(c.parent_id AS VARCHAR) AS parent_id,
                   c.total_records - coalesce(p.total_records, 0) AS records_added
         FROM ledger c LEFT JOIN ledger p ON c.parent_id = p.commit_id"""
     ),
@@ -542,12 +542,14 @@ _VERSIONS = {
     ),
     "rollback_to_version": _versions(_BY_BATCH.format("1, 2")),
     "branch_heads": _ledger(
-        f"""SELECT 'bronze.sales' AS table_name, branch, commit_id, parent_id, operation, {_LIVE_TEXT},
+        f"""SELECT 'bronze.sales' AS table_name, branch, commit_id,
+                   CAST(parent_id AS VARCHAR) AS parent_id, operation, {_LIVE_TEXT},
                    added_records, total_records
         FROM ledger WHERE commit_id IN (6, 7)"""
     ),
     "branch_create": _ledger(
-        f"""SELECT 'bronze.sales' AS table_name, branch, commit_id, parent_id, operation, {_LIVE_TEXT},
+        f"""SELECT 'bronze.sales' AS table_name, branch, commit_id,
+                   CAST(parent_id AS VARCHAR) AS parent_id, operation, {_LIVE_TEXT},
                    added_records, total_records
         FROM ledger WHERE commit_id = 5"""
     ),

@@ -44,14 +44,19 @@ _QUERIES: dict[str, Query] = {}
 def query(function: Query) -> Query:
     """Register under the function's name.
 
-    Dates leave as ISO text, so that clients of different engines print them alike.
+    Dates leave as ISO text and commit parents, which the first commit lacks, as text too, so that
+    clients of different engines print them alike.
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         fit_shuffle_partitions(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
         result = function(spark, sf_dir)
-        dates = [f.name for f in result.schema.fields if isinstance(f.dataType, DateType)]
-        return result.withColumns({d: F.col(d).cast("string") for d in dates}) if dates else result
+        as_text = [
+            f.name
+            for f in result.schema.fields
+            if isinstance(f.dataType, DateType) or f.name == "parent_id"
+        ]
+        return result.withColumns({c: F.col(c).cast("string") for c in as_text}) if as_text else result
 
     _QUERIES[function.__name__] = run
     return function

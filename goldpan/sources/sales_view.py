@@ -24,7 +24,9 @@ from goldpan.schema import (
     SILVER_COLUMNS,
 )
 
-BATCHES = 3
+# When each batch arrives, first batch first.
+ARRIVALS = ("2024-01-01 08:00:00", "2024-01-01 12:00:00", "2024-01-01 16:00:00")
+BATCHES = len(ARRIVALS)
 
 _FROM_REGION = {"Region"}
 _FROM_NATION = {"Country", "State", "City"} | _FROM_REGION
@@ -98,16 +100,17 @@ _RAW_EXPRESSIONS = {
 
 
 def _lineage() -> dict[str, Column]:
-    """Batches 1, 2 and 3 arrive at 08:00, 12:00 and 16:00 of one day."""
-    start = F.lit("2024-01-01 04:00:00").cast("timestamp")
-    arrival = F.timestamp_add("HOUR", F.col("batch_no") * 4, start)
-    batch = F.col("batch_no").cast("string")
+    def by_batch(*values: str, kind: str = "string") -> Column:
+        return F.element_at(F.array(*(F.lit(v).cast(kind) for v in values)), F.col("batch_no"))
+
+    arrival = by_batch(*ARRIVALS, kind="timestamp")
+    numbers = range(1, BATCHES + 1)
     return {
         "ingestion_date": F.to_date(arrival),
         "ingestion_ts": arrival,
-        "source_file": F.concat(F.lit("sales_batch_"), F.lpad(batch, 3, "0"), F.lit(".csv")),
+        "source_file": by_batch(*(f"sales_batch_{n:03d}.csv" for n in numbers)),
         "source_system": F.lit("sales_system"),
-        "batch_id": F.concat(F.lit("batch_"), batch),
+        "batch_id": by_batch(*(f"batch_{n}" for n in numbers)),
     }
 
 
