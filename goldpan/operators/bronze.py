@@ -6,11 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# The lineage of a batch its caller says nothing about.
+DEFAULT_FILE = "superstore_sales.csv"
+DEFAULT_SYSTEM = "superstore_csv"
+DEFAULT_BATCH = "batch_001"
+
+
 def enrich_with_metadata(
     df: DataFrame,
-    source_file: str = "superstore_sales.csv",
-    source_system: str = "superstore_csv",
-    batch_id: str = "batch_001",
+    source_file: str = DEFAULT_FILE,
+    source_system: str = DEFAULT_SYSTEM,
+    batch_id: str = DEFAULT_BATCH,
     arrived_at: Column | None = None,
 ) -> DataFrame:
     """Add the five lineage columns. ``arrived_at`` replaces the clock, for replays and tests."""

@@ -8,7 +8,6 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from goldpan.operators import ledger as lg
 from goldpan.sources.files import data_files
@@ -138,7 +137,7 @@ class VersionedTable:
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(folder)
-        written = self.spark.read.schema(StructType(df.schema.fields)).parquet(folder)
+        written = self.spark.read.schema(df.schema).parquet(folder)
         totals = data_files(written).agg(F.sum("record_count"), F.sum("file_size_in_bytes")).first()
         return totals[0] or 0, totals[1] or 0
 

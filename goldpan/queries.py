@@ -49,7 +49,7 @@ def query(function: Query) -> Query:
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fit_shuffle_partitions(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+        fit_shuffle_partitions(view.table(spark, sf_dir, "lineitem"))
         result = function(spark, sf_dir)
         as_text = [
             f.name
@@ -142,7 +142,7 @@ def silver_sample(spark, sf_dir):
 def file_inventory(spark, sf_dir):
     """Data files of the seven star tables; sizes are left out, they are not a matter of SQL."""
     names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-    files = [data_files(spark.read.parquet(f"{sf_dir}/{name}.parquet")) for name in names]
+    files = [data_files(view.table(spark, sf_dir, name)) for name in names]
     listing = files[0]
     for more in files[1:]:
         listing = listing.unionByName(more)
@@ -730,7 +730,7 @@ def gold_after_batch(spark, sf_dir):
 
 def _clean_lines(spark, sf_dir) -> DataFrame:
     """Order lines without injected issues, with a spread number that SQL can also compute."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = view.table(spark, sf_dir, "lineitem")
     return lines.select(
         F.col("l_orderkey").cast("string").alias("Order ID"),
         F.col("l_partkey").cast("string").alias("Product ID"),

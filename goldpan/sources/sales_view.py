@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from goldpan.operators.silver import drop_incomplete, keep_first_per_key, standardize_sales_columns
 from goldpan.schema import (
@@ -35,8 +36,15 @@ _FROM_ORDERS = {"Order Date", "Ship Mode", "Customer ID", "Postal Code"} | _FROM
 _FROM_PART = {"Category", "Sub-Category", "Product Name", "Profit"}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_schemas: dict[str, StructType] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table. Its schema is looked up once: each lookup is a job that opens a file."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def batch_of(order_key: Column) -> Column:
@@ -53,22 +61,22 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with their batch. Slot 4 lands a second time in the next batch."""
     batch = batch_of(F.col("l_orderkey"))
     landings = F.when(dirt_slot() == 4, F.array(batch, batch % BATCHES + 1)).otherwise(F.array(batch))
-    return _table(spark, sf_dir, "lineitem").select("*", F.explode(landings).alias("batch_no"))
+    return table(spark, sf_dir, "lineitem").select("*", F.explode(landings).alias("batch_no"))
 
 
 def _customers(spark: SparkSession, sf_dir: str, needed: set[str]) -> DataFrame:
-    customers = _table(spark, sf_dir, "customer")
+    customers = table(spark, sf_dir, "customer")
     if needed & _FROM_NATION:
-        nations = _table(spark, sf_dir, "nation")
+        nations = table(spark, sf_dir, "nation")
         if needed & _FROM_REGION:
-            regions = _table(spark, sf_dir, "region")
+            regions = table(spark, sf_dir, "region")
             nations = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left")
         customers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return customers
 
 
 def _orders(spark: SparkSession, sf_dir: str, needed: set[str]) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders")
     if needed & _FROM_CUSTOMER:
         customers = _customers(spark, sf_dir, needed)
         orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
@@ -126,7 +134,7 @@ def bronze(spark: SparkSession, sf_dir: str, *raw_columns: str, keep: tuple[str,
         orders = _orders(spark, sf_dir, needed)
         rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if needed & _FROM_PART:
-        parts = _table(spark, sf_dir, "part")
+        parts = table(spark, sf_dir, "part")
         rows = rows.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
     return rows.select(
         *(_RAW_EXPRESSIONS[name]().alias(name) for name in wanted),
