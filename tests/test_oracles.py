@@ -4,7 +4,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from goldpan.oracles import all_oracles as oracle_sql
+from goldpan.queries import all_queries as queries
 from tests.compare import connect, duck_bag, duck_types, spark_bag, spark_types
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
