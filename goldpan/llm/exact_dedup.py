@@ -25,21 +25,31 @@ from pyspark.sql import functions as F
 from goldpan.llm.common import id_and_text, whole_text
 from goldpan.storage import fresh_path
 
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk, and a store is open only while its task runs: thousands of idle ones would hold
+# files and memory on every executor.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 _LOCATOR = ("locator_file", "locator_row")
 
 
 @contextmanager
-def _session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _state_settings(spark: SparkSession) -> Iterator[None]:
+    """Hold the settings while a streaming query starts, then put the session's own back."""
+    before = {key: spark.conf.get(key, None) for key in _STATE}
+    for key, value in _STATE.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def with_locator(docs: DataFrame) -> DataFrame:
@@ -74,7 +84,7 @@ def update_state(stream: DataFrame, checkpoint: str) -> None:
     held = stream.groupBy("digest").agg(
         F.max(F.struct("doc_id", *_LOCATOR)).alias("keeper"), F.count(F.lit(1)).alias("group_size")
     )
-    with _session_setting(stream.sparkSession, "spark.sql.streaming.stateStore.providerClass", _ROCKS):
+    with _state_settings(stream.sparkSession):
         (
             held.writeStream.format("noop")
             .outputMode("update")
