@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from goldpan.llm import decontaminate, exact_dedup, mixing, token_counts
+from goldpan.llm import (
+    decontaminate,
+    exact_dedup,
+    mixing,
+    near_dedup,
+    substring_dedup,
+    token_counts,
+)
 from goldpan.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +31,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -35,8 +46,19 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(substring_dedup.remove_repeated(table(spark, sf_dir, "documents")))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_exact_dedup, op2_decontaminate, op4_mix, op7_token_counts)
+        for f in (
+            op1_exact_dedup,
+            op2_decontaminate,
+            op3_near_dedup,
+            op4_mix,
+            op7_token_counts,
+            op8_substring_dedup,
+        )
     }
