@@ -9,10 +9,12 @@
 3. The sketch of the union, made from both sketches, estimates the similarity and filters.
 4. What is left is compared on the full sets, next to each other in the tasks.
 
-Short lists give all their pairs. A long list gives stars: in each round its members outside the
-list's largest component meet one member inside it. What is still outside after ``rounds`` meets every
+Short lists give all their pairs. Classes that meet in a long list are listed anew by their full
+sets, where two linked sets share one of the quarter of their rarest shingles: that leaves few lists long, and
+their members are mostly linked. Those give stars: every member meets ``PIVOTS`` others, then
+members outside the list's largest component meet as many inside it. What is still outside meets every
 member of other components of its lists, so that no link is lost, and a list whose members are linked costs
-one comparison a member. Components come from alternating large and small stars over written tables.
+some comparisons a member. Components come from alternating large and small stars over written tables.
 
 Defined results: a null or wordless text has an empty set, is linked with nothing and is kept; fewer
 than five words are one shingle; repeated rows are equal texts and all rows that carry the smallest id are
@@ -23,6 +25,7 @@ empty table gives an empty result; columns not asked for are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -31,12 +34,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import as_bytes, id_and_text, per_document
+from goldpan.llm.common import as_bytes, id_and_text, per_document, whole_text
 from goldpan.storage import materialize
 
 WORDS = 5
 K, LEAST = 64, 27
 SHORT_LIST = 32
+PIVOTS = 3
 PER_CHUNK = 64
 _WEIGHTS = np.array([xxhash.xxh64_intdigest(b"position %d" % j) | 1 for j in range(WORDS)], np.uint64)
 
@@ -87,28 +91,50 @@ def sketches(docs: DataFrame) -> DataFrame:
     return per_document(rows, schema, _sketcher, keep=("text_hash",))
 
 
-def inverted_lists(classes: DataFrame) -> DataFrame:
-    """value, class_key, n_shingles, length: the lists of two classes and more."""
-    held = classes.select("class_key", "n_shingles", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
+def inverted_lists(held: DataFrame, room: Column) -> DataFrame:
+    """value, class_key, n_shingles, length: lists of two classes and more.
+
+    ``held``: class_key, n_shingles, k and each of a class's ``k`` values. Of those the ``room``
+    rarest are listed. Values that one class alone holds are the rarest and only take up room.
+    """
     shared = held.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
-    both = held.join(shared, "value")
-    # A class's values held by no other come first in the order by rarity; the shared ones follow.
-    room = F.col("k") - F.when(F.col("k") <= K * 3 // 4, F.ceil(F.col("k") * 3 / 4)).otherwise(LEAST) + 1
-    per_class = both.groupBy("class_key", "n_shingles", "k").agg(
-        F.array_sort(F.collect_list(F.struct("length", "value"))).alias("found")
-    )
-    listed = per_class.select(
-        "class_key",
-        "n_shingles",
-        F.explode(
-            F.slice("found", F.lit(1), F.greatest(F.lit(0), room - (F.col("k") - F.size("found"))).cast("int"))
-        ).alias("entry"),
+    per_class = (
+        held.join(shared, "value")
+        .groupBy("class_key", "n_shingles", "k")
+        .agg(F.array_sort(F.collect_list(F.struct("length", "value"))).alias("found"))
     )
-    listed = listed.select("class_key", "n_shingles", "entry.value")
+    left = F.greatest(F.lit(0), room - (F.col("k") - F.size("found"))).cast("int")
+    listed = per_class.select("class_key", "n_shingles", F.explode(F.slice("found", F.lit(1), left)["value"]).alias("value"))
     lengths = listed.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
     return listed.join(lengths, "value")
 
 
+def sketch_lists(classes: DataFrame) -> DataFrame:
+    held = classes.select("class_key", "n_shingles", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
+    # A set of at most 3/4 K values only links with sets whose sketches are whole, too.
+    shared = F.when(F.col("k") <= K * 3 // 4, F.ceil(F.col("k") * 3 / 4)).otherwise(LEAST)
+    return inverted_lists(held, F.col("k") - shared + 1)
+
+
+def full_lists(texts: DataFrame) -> DataFrame:
+    """The same from full sets: a set of n shingles shares at least 3n/4 with one that it is linked with."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles()
+        for batch in batches:
+            for key, text in zip(batch.column("class_key").to_pylist(), as_bytes(batch.column("text")), strict=True):
+                s = shingles(text).view(np.int64)
+                n = pa.array(np.full(len(s), len(s)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(s), pa.binary()), n, n, pa.array(s)], ["class_key", "n_shingles", "k", "value"]
+                )
+
+    held = texts.select("class_key", F.encode("text", "UTF-8").alias("text")).mapInArrow(
+        run, "class_key binary, n_shingles long, k long, value long"
+    )
+    return inverted_lists(held, F.col("k") - F.ceil(F.col("k") * 3 / 4) + 1)
+
+
 def _sizes_allow(a: str, b: str) -> Column:
     return (4 * F.col(a) >= 3 * F.col(b)) & (4 * F.col(b) >= 3 * F.col(a))
 
@@ -252,45 +278,44 @@ def _placed(lists: DataFrame, places: DataFrame | None) -> tuple[DataFrame, Data
     return at, at.filter("component != largest")
 
 
-def link_classes(lists: DataFrame, members: DataFrame, texts: DataFrame, rounds: int) -> DataFrame | None:
+def link_classes(lists: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame | None:
     """class_key and component of all classes that have a link; None where there is none."""
 
     def found(pairs: DataFrame) -> DataFrame:
         return confirmed(materialize(estimated(_ordered(pairs), members), "candidates"), texts)
 
     short, long_ = lists.filter(F.col("length") <= SHORT_LIST), lists.filter(F.col("length") > SHORT_LIST)
-    first = _against(long_, long_.groupBy("value").agg(_pivot(0)))
-    places = _joined(None, found(short_pairs(short).unionByName(first)))
-    for turn in range(1, rounds + 1):
-        at, outside = _placed(long_, places)
-        if outside.isEmpty():
-            return places
-        pivots = at.filter("component = largest").groupBy("value").agg(_pivot(turn))
-        places = _joined(places, found(_against(outside, pivots)))
+    long_ = materialize(long_, "long-lists")
+    stars = (_against(long_, long_.groupBy("value").agg(_pivot(turn))) for turn in range(PIVOTS))
+    places = _joined(None, found(reduce(DataFrame.unionByName, stars, short_pairs(short))))
+    at, outside = _placed(long_, places)
+    if outside.isEmpty():
+        return places
+    inside = at.filter("component = largest")
+    stars = (_against(outside, inside.groupBy("value").agg(_pivot(PIVOTS + turn))) for turn in range(PIVOTS))
+    places = _joined(places, found(reduce(DataFrame.unionByName, stars)))
     at, outside = _placed(long_, places)
     if outside.isEmpty():
         return places
-    sketch = members.select("class_key", "sketch")
     listed = at.groupBy("class_key").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    whole = at.join(sketch, "class_key").join(listed, "class_key")
+    whole = at.join(listed, "class_key")
     left, right = whole.filter("component != largest").alias("l"), whole.alias("r")
     met = left.join(
         right,
         (F.col("l.value") == F.col("r.value"))
         & (F.col("l.component") != F.col("r.component"))
         & _sizes_allow("l.n_shingles", "r.n_shingles")
-        & (F.array_min(F.array_intersect("l.values", "r.values")) == F.col("l.value"))
-        & _union_sketch_allows("l.sketch", "r.sketch"),
+        & (F.array_min(F.array_intersect("l.values", "r.values")) == F.col("l.value")),
     )
     return _joined(places, found(met.select(F.col("l.class_key").alias("x"), F.col("r.class_key").alias("y"))))
 
 
-def near_dedup(docs: DataFrame, rounds: int = 2) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+def near_dedup(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, text_hash."""
     seen = materialize(sketches(docs), "sketches")
     known = seen.filter("class_key is not null")
     classes = known.select("class_key", "n_shingles", "sketch").dropDuplicates(["class_key"])
-    lists = materialize(inverted_lists(classes), "lists")
+    lists = materialize(sketch_lists(classes), "lists")
     listed = lists.select("class_key").distinct()
     members = materialize(classes.join(listed, "class_key"), "listed")
     wanted = (
@@ -304,19 +329,29 @@ def near_dedup(docs: DataFrame, rounds: int = 2) -> DataFrame:
     )
     texts = rows.join(wanted.hint("shuffle_hash"), ["id", "text_hash"]).select("class_key", "text")
     texts = materialize(texts.dropDuplicates(["class_key"]), "texts")
-    places = link_classes(lists, members, texts, rounds)
+    busy = lists.filter(F.col("length") > SHORT_LIST).select("class_key").distinct()
+    lists = lists.filter(F.col("length") <= SHORT_LIST).unionByName(full_lists(texts.join(busy, "class_key")))
+    places = link_classes(lists, members, texts)
     smallest = known.groupBy("class_key").agg(F.min("doc_id").alias("smallest"))
     if places is not None:
         rooted = smallest.join(places, "class_key", "left").withColumn("component", F.coalesce("component", "class_key"))
         per_component = rooted.groupBy("component").agg(F.min("smallest").alias("smallest"))
         smallest = rooted.select("class_key", "component").join(per_component, "component").select("class_key", "smallest")
-    judged = seen.select("doc_id", "n_shingles", "class_key").join(smallest, "class_key", "left")
+    judged = seen.select("doc_id", "text_hash", "n_shingles", "class_key").join(smallest, "class_key", "left")
     component = F.when(F.col("class_key").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
     return judged.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "text_hash",
     )
 
 
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """The rows that stay, with all their columns."""
+    stays = near_dedup(docs).filter("kept").select(F.struct("doc_id", "text_hash").alias("kept_row")).distinct()
+    row = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("text_hash"))
+    return docs.join(stays.hint("shuffle_hash"), row == F.col("kept_row"), "left_semi")
+
+
