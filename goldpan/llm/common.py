@@ -57,6 +57,18 @@ def per_document(
     return rows.select(*head_names, F.encode("text", "UTF-8").alias("text")).mapInArrow(run, out_schema)
 
 
+def filter_texts(docs: DataFrame, make: Callable[[], Callable[[bytes], bool]], text_col: str = "text") -> DataFrame:
+    """The rows whose text the function accepts, with all their columns, whatever their names."""
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        accepts = make()
+        for batch in batches:
+            yield batch.filter(pa.array([accepts(t) for t in as_bytes(batch.column(place))], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _with_columns(head: DataFrame, schema: str) -> StructType:
     return StructType([*head.schema.fields, *StructType.fromDDL(schema).fields])
 

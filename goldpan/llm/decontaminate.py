@@ -15,13 +15,14 @@ empty string; an empty benchmark finds nothing; repeated documents get a row eac
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from math import ceil
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import per_document, whole_text
+from goldpan.llm.common import filter_texts, per_document, whole_text
 
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -92,6 +93,18 @@ def searcher(search: list[WuManber]) -> Callable[[bytes], tuple]:
     return run
 
 
+def sent_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Broadcast]:
+    """Blocks of distinct items (id as text, text), each about ``block_bytes`` long; one block at least."""
+    asked = benchmark.select(
+        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), whole_text().alias("text")
+    ).distinct()
+    size = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, ceil(size / block_bytes))
+    for k in range(blocks):
+        part = asked.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
+        yield benchmark.sparkSession.sparkContext.broadcast([(r.item, r.text.encode()) for r in part.collect()])
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -100,20 +113,13 @@ def decontaminate(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, n_words, hit (word positions), items (ids as text), and the columns in ``keep``."""
-    spark = docs.sparkSession
-    asked = benchmark.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), whole_text().alias("text")
-    ).distinct()
-    size = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, ceil(size / block_bytes))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), *keep
     )
     schema = "n_words long, hit array<int>, items array<string>"
-    found = None
-    for k in range(blocks):
-        part = asked.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        sent = spark.sparkContext.broadcast([(r.item, r.text.encode()) for r in part.collect()])
+    found, blocks = None, 0
+    for sent in sent_blocks(benchmark, block_bytes):
+        blocks += 1
         hits = per_document(
             rows, schema, lambda sent=sent: searcher(tables(sent.value, window)), keep=keep
         )
@@ -129,6 +135,18 @@ def decontaminate(
     return merged.select(*keys, "hit", "items", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 2_000_000) -> DataFrame:
+    """The rows without any occurrence of a window, with all their columns."""
+    for sent in sent_blocks(benchmark, block_bytes):
+
+        def make(sent: Broadcast = sent) -> Callable[[bytes], bool]:
+            search = tables(sent.value, window)
+            return lambda text: not any(True for t in search for _ in t.find(words(text)))
+
+        docs = filter_texts(docs, make)
+    return docs
+
+
 def report(found: DataFrame) -> DataFrame:
     """The digest columns of a search."""
     n_hit = F.size("hit").cast("long")

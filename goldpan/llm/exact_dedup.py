@@ -181,12 +181,3 @@ def _judge(content: DataFrame, files_per_batch: int, rows_per_check: int) -> Dat
         *_LOCATOR,
     )
     return judged.filter("kept").unionByName(compared)
-
-
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    content = with_locator(docs)
-    stays = exact_dedup_located(content, id_col, text_col, 10_000, 64, docs.sparkSession).filter("kept")
-    return content.join(stays.select(*_LOCATOR).hint("shuffle_hash"), list(_LOCATOR), "left_semi").select(
-        *docs.columns
-    )

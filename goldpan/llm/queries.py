@@ -6,16 +6,22 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from goldpan.llm import (
     decontaminate,
     exact_dedup,
     mixing,
     near_dedup,
+    personal_data,
+    quality,
     substring_dedup,
     token_counts,
+    toxicity,
+    url_filter,
 )
 from goldpan.llm.common import table
+from goldpan.llm.labelled import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +38,7 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +46,16 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return personal_data.report(personal_data.find(docs, personal_data.fit(docs)))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -50,6 +66,20 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(substring_dedup.remove_repeated(table(spark, sf_dir, "documents")))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(5, 0)
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), ~out))
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(4, 2)
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"), ~out))
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -58,7 +88,11 @@ def llm_queries() -> dict[str, Query]:
             op2_decontaminate,
             op3_near_dedup,
             op4_mix,
+            op5_personal_data,
+            op6_url_filter,
             op7_token_counts,
             op8_substring_dedup,
+            op9_toxicity,
+            op10_quality,
         )
     }
