@@ -1 +1 @@
-"""Layer transformations, quality checks, reports, sinks and versioned tables."""
+"""Layer transformations, quality checks, reports, sinks and test batches."""

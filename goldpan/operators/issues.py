@@ -12,14 +12,22 @@ from goldpan.sources.csv_batches import FOLDER_NAME, write_batches
 INVALID_DISCOUNTS = (1.5, -0.1, 2.0)
 INVALID_QUANTITIES = (0, -1, -2)
 
+# The kinds of issue; "duplicate" changes nothing by itself, see below.
 ISSUE_KINDS = ("null_sales", "null_product_id", "duplicate", "invalid_discount", "invalid_quantity")
 
-_SLOTS = 1000
+# Draws are multiples of 1 / _PRIME; each uses a factor of its own, so that one says nothing about another.
+_PRIME = 2_147_483_647
+_FACTORS = {"dirty": 16_807, "kind": 48_271, "choice": 69_621, "copy": 39_373}
 
 
 def row_spread(df: DataFrame) -> Column:
     """A number spread evenly over the rows, from their content alone."""
-    return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(_SLOTS**3))
+    return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(_PRIME))
+
+
+def draw(name: str, spread: str = "_spread") -> Column:
+    """A whole number from 0 to ``_PRIME`` - 1 for each row."""
+    return (F.col(spread) % _PRIME * _FACTORS[name]) % _PRIME
 
 
 def introduce_quality_issues(
@@ -36,11 +44,9 @@ def introduce_quality_issues(
     """
     spread = row_spread(df) if spread is None else spread
     numbered = df.withColumn("_spread", spread.cast("bigint"))
-    slot = F.col("_spread") % _SLOTS
-    copy_slot = F.floor(F.col("_spread") / _SLOTS).cast("bigint") % _SLOTS
-    dirty = slot < round(issue_rate * _SLOTS)
-    kind = slot % len(ISSUE_KINDS)
-    choice = (F.floor(slot / len(ISSUE_KINDS)) % len(INVALID_DISCOUNTS)).cast("int") + 1
+    dirty = draw("dirty") < issue_rate * _PRIME
+    kind = F.floor(draw("kind") * len(ISSUE_KINDS) / _PRIME)
+    choice = F.floor(draw("choice") * len(INVALID_DISCOUNTS) / _PRIME).cast("int") + 1
 
     def has(issue: str) -> Column:
         return dirty & (kind == ISSUE_KINDS.index(issue))
@@ -48,7 +54,7 @@ def introduce_quality_issues(
     def pick(values: tuple) -> Column:
         return F.element_at(F.array(*map(F.lit, values)), choice)
 
-    copies = F.when(copy_slot < round(duplicate_rate * _SLOTS), 2).otherwise(1)
+    copies = F.when(draw("copy") < duplicate_rate * _PRIME, 2).otherwise(1)
     return (
         numbered.withColumns(
             {
@@ -82,9 +88,10 @@ def generate_batches(
     num_batches: int = 3,
     issue_rate: float = 0.05,
     spread: Column | None = None,
+    columns: tuple[str, ...] = RAW_COLUMNS,
 ) -> list[str]:
     """Write the dirtied rows as CSV, a folder per batch, in one pass. Returns the folders."""
     batches = assign_batches(source, key, num_batches)
     dirty = introduce_quality_issues(batches, issue_rate, spread=spread)
-    write_batches(dirty.select(*RAW_COLUMNS, "batch_no"), folder)
+    write_batches(dirty.select(*columns, "batch_no"), folder)
     return [f"{folder}/{FOLDER_NAME.format(n)}" for n in range(1, num_batches + 1)]

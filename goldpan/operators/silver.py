@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldpan.functions.parsing import to_type
@@ -19,6 +20,26 @@ from goldpan.schema import (
 )
 
 
+def _typed(bronze: DataFrame, raw: str, type_name: str) -> Column:
+    return to_type(F.col(f"`{raw}`"), type_name, is_text=dict(bronze.dtypes)[raw] == "string")
+
+
+def type_raw_columns(landed: DataFrame) -> DataFrame:
+    """Landed text under its raw headers, with the declared types; other columns stay text."""
+    typed = {c.raw: _typed(landed, c.raw, c.type) for c in BUSINESS_COLUMNS if c.raw in landed.columns}
+    return landed.withColumns(typed)
+
+
+def unreadable_counts(bronze: DataFrame) -> DataFrame:
+    """Per typed column, how many values were there as text and are NULL once typed."""
+    counters = [
+        F.count_if(F.col(f"`{c.raw}`").isNotNull() & _typed(bronze, c.raw, c.type).isNull()).alias(f"unreadable_{c.name}")
+        for c in BUSINESS_COLUMNS
+        if c.type != "string"
+    ]
+    return bronze.agg(*counters, F.count("*").alias("total_records"))
+
+
 def standardize_sales_columns(
     bronze: DataFrame,
     columns: Sequence[str] = SILVER_COLUMNS,
@@ -33,7 +54,7 @@ def standardize_sales_columns(
     for spec in BUSINESS_COLUMNS:
         if spec.name not in columns:
             continue
-        value = to_type(F.col(f"`{spec.raw}`"), spec.type)
+        value = _typed(bronze, spec.raw, spec.type)
         if trim_text and spec.trimmed:
             value = F.trim(value)
         projected.append(value.alias(spec.name))
@@ -47,8 +68,8 @@ def standardize_without_trim(bronze: DataFrame) -> DataFrame:
 
 
 def drop_incomplete(df: DataFrame, critical: Sequence[str] = CRITICAL_COLUMNS) -> DataFrame:
-    """Drop rows in which a critical column is NULL."""
-    return df.dropna(subset=list(critical))
+    """Drop rows in which a critical column is NULL; a plain filter, which reaches the scan."""
+    return df.where(reduce(Column.__and__, (F.col(c).isNotNull() for c in critical)))
 
 
 def keep_first_per_key(
@@ -58,11 +79,13 @@ def keep_first_per_key(
 ) -> DataFrame:
     """One row per key, the first in arrival order, so that a re-run keeps the same row.
 
-    Order columns the frame does not carry are left out. Spark ranks within each input partition
-    first and ships only the local winner of a key, so a key that holds a third of all rows sends
-    one row per task through the shuffle.
+    All other columns follow the order columns, so rows that still tie are equal in every column.
+    Spark ranks within each input partition first and ships only the local winner of a key, so a
+    key that holds a third of all rows sends one row per task through the shuffle.
     """
-    order = [F.col(c).asc_nulls_first() for c in arrival_order if c in df.columns and c not in key]
+    first = [c for c in arrival_order if c in df.columns and c not in key]
+    rest = [c for c in df.columns if c not in first and c not in key]
+    order = [F.col(f"`{c}`").asc_nulls_first() for c in (*first, *rest)]
     window = Window.partitionBy(*key).orderBy(*order)
     rank = "_arrival_rank"
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)

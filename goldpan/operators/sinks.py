@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+# What Bronze is partitioned by where batches may land again.
+BATCH_PARTITION = ("ingestion_date", "batch_id")
+
 
 def _save(df: DataFrame, target: str, mode: str, partition_by: Sequence[str]) -> None:
     writer = df.write.format("parquet").mode(mode)
@@ -18,7 +22,18 @@ def _save(df: DataFrame, target: str, mode: str, partition_by: Sequence[str]) ->
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target) if "/" in target else spark.table(target)
+    """A table by name or folder; a column that only later files of a folder have is NULL before."""
+    return spark.read.option("mergeSchema", True).parquet(target) if "/" in target else spark.table(target)
+
+
+def table_exists(spark: SparkSession, target: str) -> bool:
+    if "/" not in target:
+        return spark.catalog.tableExists(target)
+    try:
+        spark.read.parquet(target)
+    except AnalysisException:
+        return False
+    return True
 
 
 def create_bronze_table(df: DataFrame, target: str) -> None:
@@ -35,10 +50,27 @@ def create_table(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -
     _save(df, target, "errorifexists", partition_by)
 
 
-def append_to_table(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
-    _save(df, target, "append", partition_by)
-
-
 def create_or_replace_table(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
-    """Create or overwrite. ``df`` must not read the target; versioned tables have no such limit."""
+    """Create or overwrite. ``df`` must not read the target."""
     _save(df, target, "overwrite", partition_by)
+
+
+def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
+    """Put the partitions that ``df`` has in place of their old content and leave the others alone.
+
+    Landing a batch twice, or again after a failed write, leaves it there once.
+    """
+    spark = df.sparkSession
+    named = "/" not in target
+    if named and not table_exists(spark, target):
+        create_table(df, target, partition_by)
+        return
+    path = target
+    if named:
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {target}")
+        path = described.where("col_name = 'Location'").first().data_type
+        df = df.select(*(f"`{c}`" for c in spark.table(target).columns))
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    if named:
+        spark.catalog.recoverPartitions(target)
+        spark.catalog.refreshTable(target)

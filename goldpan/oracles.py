@@ -1,7 +1,7 @@
 """The same queries as SQL over the supplied tables, for comparison by another engine.
 
 The sales view is spelled out here as plain inner joins, deduplication as a window over all rows,
-and commits as literal rows, independently of how the Spark side prunes joins or reads layers.
+independently of how the Spark side prunes joins or reads layers.
 """
 
 from __future__ import annotations
@@ -40,8 +40,8 @@ bronze AS (
            CASE WHEN h = 3 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS "Quantity",
            CASE WHEN h = 2 THEN 1.5::DOUBLE ELSE l_discount END AS "Discount",
            l_extendedprice - l_quantity * p_retailprice AS "Profit",
-           '2024-01-01' AS ingestion_date,
-           TIMESTAMP '2024-01-01 04:00:00' + batch_no * INTERVAL 4 HOUR AS ingestion_ts,
+           CAST(DATE '2023-12-31' + batch_no AS DATE) AS ingestion_date,
+           TIMESTAMP '2023-12-31 08:00:00' + batch_no * INTERVAL 1 DAY AS ingestion_ts,
            'sales_batch_00' || CAST(batch_no AS VARCHAR) || '.csv' AS source_file,
            'sales_system' AS source_system,
            'batch_' || CAST(batch_no AS VARCHAR) AS batch_id,
@@ -103,35 +103,6 @@ gold_products AS (
     FROM silver GROUP BY category, sub_category, product_name
 )"""
 
-_VERSIONED = """
-versioned AS (
-    SELECT *, CAST(batch_no AS BIGINT) AS commit_id FROM bronze
-    UNION ALL
-    SELECT *, CAST(6 AS BIGINT) AS commit_id FROM bronze WHERE batch_no = 3
-)"""
-
-_LEDGER = """
-arrivals AS (
-    SELECT batch_no, count(*) AS added, max(ingestion_ts) AS arrived_at FROM bronze GROUP BY batch_no
-),
-commits(commit_id, branch, parent_id, operation, batch_no, live, hours) AS (
-    VALUES (1::BIGINT, 'main', NULL::BIGINT, 'append', 1, [1], 0),
-           (2, 'main', 1, 'append', 2, [1, 2], 0),
-           (3, 'main', 2, 'append', 3, [1, 2, 3], 0),
-           (4, 'main', 3, 'rollback', NULL, [1, 2], 1),
-           (5, 'dev', 4, 'branch', NULL, [1, 2], 2),
-           (6, 'dev', 5, 'append', 3, [1, 2, 3], 3),
-           (7, 'main', 4, 'publish', NULL, [1, 2, 3], 4)
-),
-ledger AS (
-    SELECT c.*, coalesce(a.added, 0) AS added_records,
-           (SELECT CAST(sum(b.added) AS BIGINT) FROM arrivals b WHERE list_contains(c.live, b.batch_no)) AS total_records,
-           CASE WHEN hours = 0 THEN a.arrived_at
-                ELSE (SELECT max(arrived_at) FROM arrivals) + hours * INTERVAL 1 HOUR END AS committed_at
-    FROM commits c LEFT JOIN arrivals a ON c.batch_no = a.batch_no
-)"""
-
-
 def _with(*parts: str, query: str) -> str:
     return "WITH " + ",".join(parts) + "\n" + query.strip()
 
@@ -152,23 +123,12 @@ def _incremental(query: str) -> str:
     return _with(_BRONZE, _SILVER_BY_BATCH, query=query)
 
 
-def _versions(query: str) -> str:
-    return _with(_BRONZE, _VERSIONED, query=query)
-
-
-def _ledger(query: str) -> str:
-    return _with(_BRONZE, _LEDGER, query=query)
-
-
 _ALL_RAW = ", ".join(f'"{c}"' for c in RAW_COLUMNS)
 _ALL_LINEAGE = ", ".join(LINEAGE_COLUMNS)
 _ALL_SILVER = ", ".join(SILVER_COLUMNS)
 
-_LIVE_TEXT = "CASE commit_id WHEN 5 THEN '1,2' ELSE '1,2,6' END AS live_commits"
-_BY_BATCH = "SELECT batch_id, count(*) AS record_count FROM versioned WHERE commit_id IN ({}) GROUP BY batch_id"
-
 _SCAN_AND_SINK = {
-    "scan_csv_batch": _bronze(f"SELECT {_ALL_RAW} FROM bronze WHERE batch_no = 1"),
+    "scan_csv_batch": _bronze(f"SELECT {_ALL_RAW} FROM bronze"),
     "scan_batch_inventory": _bronze(
         "SELECT source_file AS source, count(*) AS record_count FROM bronze GROUP BY source_file"
     ),
@@ -183,28 +143,32 @@ _SCAN_AND_SINK = {
         f"SELECT {_ALL_SILVER} FROM silver ORDER BY order_id, product_id LIMIT 10"
     ),
     "file_inventory": " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, 'PARQUET' AS file_format, count(*) AS record_count FROM {name}"
+        f"SELECT '{name}.parquet' AS file_name, 'PARQUET' AS file_format, count(*) AS record_count, "
+        f"true AS has_bytes FROM {name}"
         for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
     ),
-    "partition_inventory": _versions(
-        """SELECT CAST(commit_id AS INTEGER) AS commit_id, ingestion_date, count(*) AS record_count
-        FROM versioned GROUP BY commit_id, ingestion_date"""
+    "partition_inventory": _bronze(
+        """SELECT ingestion_date, count(*) AS record_count, true AS has_files
+        FROM bronze GROUP BY ingestion_date"""
+    ),
+    "files_by_partition": _bronze(
+        """SELECT ingestion_date, count(*) AS total_records, true AS has_files, true AS has_bytes
+        FROM bronze GROUP BY ingestion_date"""
     ),
-    "sink_create_partitioned": _bronze(
-        f"SELECT {_ALL_RAW}, {_ALL_LINEAGE} FROM bronze WHERE batch_no = 1"
+    "landing_inventory": _bronze(
+        "SELECT source_file AS batch_file, true AS has_bytes FROM bronze GROUP BY source_file"
     ),
+    "sink_create_partitioned": _bronze(f"SELECT {_ALL_RAW}, {_ALL_LINEAGE} FROM bronze"),
     "sink_append": _bronze(
         "SELECT batch_id, count(*) AS record_count FROM bronze GROUP BY batch_id"
     ),
     "sink_create_or_replace": _gold("SELECT * FROM gold"),
     "sink_create": _gold("SELECT * FROM gold_products"),
-    "sink_csv_batch": _bronze(f"SELECT {_ALL_RAW} FROM bronze WHERE batch_no = 2"),
+    "sink_csv_batch": _bronze(f"SELECT {_ALL_RAW} FROM bronze"),
 }
 
 _PROJECTIONS_AND_FILTERS = {
-    "enrich_lineage": _bronze(
-        f'SELECT "Order ID", "Product ID", "Sales", "Quantity", {_ALL_LINEAGE} FROM bronze WHERE batch_no = 1'
-    ),
+    "enrich_lineage": _bronze(f"SELECT {_ALL_RAW}, {_ALL_LINEAGE} FROM bronze"),
     "standardize": _bronze(f"SELECT {_silver_select(True, LINEAGE_COLUMNS)} FROM bronze"),
     "standardize_min": _bronze(
         f"SELECT {_silver_select(False, ('ingestion_date', 'ingestion_ts', 'batch_id'))} FROM bronze"
@@ -435,6 +399,7 @@ _GOLD_REPORTS = {
                       AS sales_rank_in_category
         FROM gold"""
     ),
+    "gold_point_lookup": _gold("SELECT * FROM gold WHERE category = 'ECONOMY' AND region = 'ASIA'"),
     "executive_kpis": _gold(
         """SELECT round(sum(total_sales), 2) AS global_sales, round(sum(total_profit), 2) AS global_profit,
                   round(100.0::DOUBLE * sum(total_profit) / nullif(sum(total_sales), 0), 2)
@@ -449,152 +414,41 @@ _GOLD_REPORTS = {
     ),
 }
 
-# Silver cleaned batch by batch, and the first batch of each Gold group, behind the other ledgers.
-_OTHER_LEDGERS = """
-silver_arrivals AS (
-    SELECT batch_id, count(*) AS added, max(ingestion_ts) AS arrived_at FROM silver_inc GROUP BY batch_id
+_DIRTY = """
+draws AS (
+    SELECT *, (l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 2147483647 AS s FROM lineitem
+),
+kinds AS (
+    SELECT *, CASE WHEN (s * 16807) % 2147483647 < 0.05::DOUBLE * 2147483647
+                   THEN ((s * 48271) % 2147483647 * 5) // 2147483647 END AS kind,
+           ((s * 69621) % 2147483647 * 3) // 2147483647 AS choice,
+           (s * 39373) % 2147483647 < 0.01::DOUBLE * 2147483647 AS twice
+    FROM draws
 ),
-silver_ledger AS (
-    SELECT CAST(right(batch_id, 1) AS BIGINT) AS commit_id, arrived_at AS committed_at, added,
-           CAST(sum(added) OVER (ORDER BY batch_id) AS BIGINT) AS total
-    FROM silver_arrivals
+once AS (
+    SELECT CAST(l_orderkey AS VARCHAR) AS "Order ID",
+           CASE WHEN kind = 1 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS "Product ID",
+           CASE WHEN kind = 0 THEN NULL ELSE l_extendedprice END AS "Sales",
+           CASE WHEN kind = 4 THEN CAST(-choice AS INTEGER) ELSE CAST(l_quantity AS INTEGER) END AS "Quantity",
+           CASE WHEN kind = 3 THEN CASE choice WHEN 0 THEN 1.5 WHEN 1 THEN -0.1 ELSE 2.0 END
+                ELSE l_discount END AS "Discount",
+           CAST(l_orderkey % 3 + 1 AS INTEGER) AS batch_no, twice
+    FROM kinds
 ),
-gold_ledger AS (
-    SELECT commit_id, committed_at,
-           (SELECT count(DISTINCT (category, region)) FROM silver_inc
-            WHERE CAST(right(batch_id, 1) AS BIGINT) <= commit_id) AS added
-    FROM silver_ledger
+dirty AS (
+    SELECT * EXCLUDE (twice) FROM once
+    UNION ALL
+    SELECT * EXCLUDE (twice) FROM once WHERE twice
 )"""
 
-_VERSIONS = {
-    "asof_version": _versions(
-        f"SELECT {_ALL_RAW}, {_ALL_LINEAGE} FROM versioned WHERE commit_id IN (1, 2)"
-    ),
-    "asof_timestamp": _versions(
-        f"""SELECT "Order ID", "Product ID", "Sales", {_ALL_LINEAGE} FROM versioned
-        WHERE commit_id IN (1, 2)"""
-    ),
-    "asof_by_batch": _versions(_BY_BATCH.format("1, 2")),
-    "version_history": _ledger(
-        """SELECT committed_at AS made_current_at, commit_id AS snapshot_id, CAST(parent_id AS VARCHAR) AS parent_id,
-                  TRUE AS is_current_ancestor
-        FROM ledger"""
-    ),
-    "version_snapshots": _ledger(
-        """SELECT committed_at, commit_id AS snapshot_id, CAST(parent_id AS VARCHAR) AS parent_id, operation,
-                  '{"added-records":"' || added_records || '","total-records":"' || total_records || '"}'
-                      AS summary
-        FROM ledger"""
-    ),
-    "snapshot_report": _with(
-        _BRONZE,
-        _LEDGER,
-        _SILVER_BY_BATCH,
-        _OTHER_LEDGERS,
-        query="""
-        SELECT 'bronze.sales' AS table_name, committed_at, commit_id AS snapshot_id, operation,
-               added_records, total_records
-        FROM ledger
-        UNION ALL
-        SELECT 'silver.sales', committed_at, commit_id, 'append', added, total FROM silver_ledger
-        UNION ALL
-        SELECT 'silver.sales', (SELECT max(committed_at) FROM silver_ledger) + INTERVAL 1 HOUR, 4,
-               'rollback', 0, total
-        FROM silver_ledger WHERE commit_id = 2
-        UNION ALL
-        SELECT 'gold.sales_by_category_region', committed_at, commit_id, 'overwrite', added, added
-        FROM gold_ledger
-        UNION ALL
-        SELECT 'gold.sales_by_category_region', (SELECT max(committed_at) FROM silver_ledger) + INTERVAL 1 HOUR,
-               4, 'rollback', 0, added
-        FROM gold_ledger WHERE commit_id = 2""",
-    ),
-    "latest_version": _ledger(
-        """SELECT 'bronze.sales' AS table_name, max(commit_id) AS snapshot_id FROM ledger
-        UNION ALL
-        SELECT t, (SELECT max(commit_id) FROM ledger WHERE operation IN ('append', 'rollback') AND commit_id <= 4)
-        FROM (VALUES ('silver.sales'), ('gold.sales_by_category_region'), ('gold.sales_by_segment'),
-                     ('gold.top_products')) AS x(t)"""
-    ),
-    "previous_version": _ledger(
-        """SELECT 'bronze.sales' AS table_name, max(commit_id) - 1 AS snapshot_id FROM ledger
-        UNION ALL
-        SELECT t, (SELECT max(commit_id) FROM ledger WHERE operation = 'append' AND commit_id < 4)
-        FROM (VALUES ('silver.sales'), ('gold.sales_by_category_region'), ('gold.sales_by_segment'),
-                     ('gold.top_products')) AS x(t)"""
-    ),
-    "records_added": _ledger(
-        """SELECT 'bronze.sales' AS table_name, c.commit_id AS snapshot_id, CAST(c.parent_id AS VARCHAR) AS parent_id,
-                  c.total_records - coalesce(p.total_records, 0) AS records_added
-        FROM ledger c LEFT JOIN ledger p ON c.parent_id = p.commit_id"""
-    ),
-    "aggregate_evolution": _with(
-        _BRONZE,
-        "first_batch AS (SELECT * FROM bronze WHERE batch_no = 1)",
-        _SILVER.replace("silver AS", "silver_then AS").replace("FROM bronze", "FROM first_batch"),
-        _SILVER.replace("silver AS", "silver_now AS"),
-        query=f"""
-        SELECT n.category, n.region, t.total_sales AS sales_then, n.total_sales AS sales_now,
-               round(n.total_sales - t.total_sales, 2) AS increase
-        FROM ({_gold_select("silver_now")}) n
-        LEFT JOIN ({_gold_select("silver_then")}) t ON n.category = t.category AND n.region = t.region
-        WHERE n.category = 'ECONOMY' AND n.region = 'ASIA'""",
-    ),
-    "rollback_to_version": _versions(_BY_BATCH.format("1, 2")),
-    "branch_heads": _ledger(
-        f"""SELECT 'bronze.sales' AS table_name, branch, commit_id,
-                   CAST(parent_id AS VARCHAR) AS parent_id, operation, {_LIVE_TEXT},
-                   added_records, total_records
-        FROM ledger WHERE commit_id IN (6, 7)"""
-    ),
-    "branch_create": _ledger(
-        f"""SELECT 'bronze.sales' AS table_name, branch, commit_id,
-                   CAST(parent_id AS VARCHAR) AS parent_id, operation, {_LIVE_TEXT},
-                   added_records, total_records
-        FROM ledger WHERE commit_id = 5"""
-    ),
-    "branch_compare": _versions(
-        """SELECT dev AS dev_records, main AS main_records, dev - main AS difference
-        FROM (SELECT count(*) FILTER (commit_id IN (1, 2, 6)) AS dev,
-                     count(*) FILTER (commit_id IN (1, 2)) AS main FROM versioned)"""
-    ),
-    "commit_log": _ledger(
-        """SELECT 'bronze.sales' AS table_name, committed_at, commit_id AS snapshot_id, operation,
-                  added_records, total_records
-        FROM ledger"""
-    ),
-    "publish_branch": _versions(_BY_BATCH.format("1, 2, 6")),
-}
-
 _RUNS_AND_TEST_BATCHES = {
     "run_bronze": _bronze("SELECT batch_id, count(*) AS record_count FROM bronze GROUP BY batch_id"),
     "run_silver": _silver(_QUALITY_CHECKS),
     "run_gold": _GOLD_REPORTS["top5_category_region"],
     "run_layers": _QUALITY["layer_counts"],
     "gold_after_batch": _incremental(_gold_select("silver_inc")),
-    "inject_quality_issues": """
-        WITH lines AS (
-            SELECT *, l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31 AS spread FROM lineitem
-        ),
-        slots AS (
-            SELECT *, spread % 1000 AS slot, (spread // 1000) % 1000 AS copy_slot FROM lines
-        ),
-        kinds AS (
-            SELECT *, CASE WHEN slot < 50 THEN slot % 5 END AS kind, (slot // 5) % 3 AS choice FROM slots
-        ),
-        dirty AS (
-            SELECT CAST(l_orderkey AS VARCHAR) AS "Order ID",
-                   CASE WHEN kind = 1 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS "Product ID",
-                   CASE WHEN kind = 0 THEN NULL ELSE l_extendedprice END AS "Sales",
-                   CASE WHEN kind = 4 THEN CAST(-choice AS INTEGER) ELSE CAST(l_quantity AS INTEGER) END AS "Quantity",
-                   CASE WHEN kind = 3 THEN CASE choice WHEN 0 THEN 1.5 WHEN 1 THEN -0.1 ELSE 2.0 END
-                        ELSE l_discount END AS "Discount",
-                   copy_slot
-            FROM kinds
-        )
-        SELECT * EXCLUDE (copy_slot) FROM dirty
-        UNION ALL
-        SELECT * EXCLUDE (copy_slot) FROM dirty WHERE copy_slot < 10""",
+    "inject_quality_issues": _with(_DIRTY, query="SELECT * EXCLUDE (batch_no) FROM dirty"),
+    "generate_batches": _with(_DIRTY, query="SELECT * FROM dirty"),
     "split_batches": """
         SELECT CAST(l_orderkey % 3 + 1 AS INTEGER) AS batch_no, count(*) AS records,
                min(l_orderkey) AS first_order, max(l_orderkey) AS last_order
@@ -610,6 +464,5 @@ def all_oracles() -> dict[str, str]:
         **_SILVER_REPORTS,
         **_QUALITY,
         **_GOLD_REPORTS,
-        **_VERSIONS,
         **_RUNS_AND_TEST_BATCHES,
     }

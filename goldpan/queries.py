@@ -3,28 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
 
 from goldpan.operators import issues, quality, reports, sinks
-from goldpan.operators import ledger as lg
 from goldpan.operators.bronze import enrich_with_metadata
 from goldpan.operators.gold import (
     create_sales_by_category_region,
     create_sales_by_segment,
     create_top_products,
 )
-from goldpan.operators.silver import (
-    drop_incomplete,
-    standardize_without_trim,
-    transform_batches_to_silver,
-)
+from goldpan.operators.silver import drop_incomplete, standardize_without_trim, type_raw_columns
 from goldpan.plans import medallion
-from goldpan.plans.sizing import fit_shuffle_partitions
 from goldpan.schema import LINEAGE_COLUMNS, NATURAL_KEY, RAW_COLUMNS
-from goldpan.sources import sales_history as past
 from goldpan.sources import sales_view as view
 from goldpan.sources.csv_batches import (
     FOLDER_NAME,
@@ -42,23 +35,8 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    """Register under the function's name.
-
-    Dates leave as ISO text and commit parents, which the first commit lacks, as text too, so that
-    clients of different engines print them alike.
-    """
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fit_shuffle_partitions(view.table(spark, sf_dir, "lineitem"))
-        result = function(spark, sf_dir)
-        as_text = [
-            f.name
-            for f in result.schema.fields
-            if isinstance(f.dataType, DateType) or f.name == "parent_id"
-        ]
-        return result.withColumns({c: F.col(c).cast("string") for c in as_text}) if as_text else result
-
-    _QUERIES[function.__name__] = run
+    """Register under the function's name."""
+    _QUERIES[function.__name__] = function
     return function
 
 
@@ -111,7 +89,8 @@ def _batch(spark, sf_dir, number: int) -> DataFrame:
 
 @query
 def scan_csv_batch(spark, sf_dir):
-    return read_sales_csv(spark, _batch_paths(_landed_batches(spark, sf_dir))[0])
+    """All batches, each with a header of its own, typed as Silver types them."""
+    return type_raw_columns(read_sales_csv(spark, _batch_paths(_landed_batches(spark, sf_dir))))
 
 
 @query
@@ -122,9 +101,7 @@ def scan_batch_inventory(spark, sf_dir):
 
 @query
 def scan_table(spark, sf_dir):
-    path = fresh_path(spark, "bronze")
-    sinks.create_bronze_table(view.bronze(spark, sf_dir), path)
-    return sinks.read_table(spark, path)
+    return _stored_bronze(spark, sf_dir)
 
 
 @query
@@ -140,41 +117,50 @@ def silver_sample(spark, sf_dir):
 
 @query
 def file_inventory(spark, sf_dir):
-    """Data files of the seven star tables; sizes are left out, they are not a matter of SQL."""
+    """Data files of the seven star tables, by path; a size differs by writer, so only that there is one."""
     names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
     files = [data_files(view.table(spark, sf_dir, name)) for name in names]
-    listing = files[0]
-    for more in files[1:]:
-        listing = listing.unionByName(more)
-    file_name = F.regexp_extract("file_path", r"([^/]+)\.parquet", 1)
     return (
-        listing.groupBy(file_name.alias("table_name"), "file_format")
-        .agg(F.sum("record_count").alias("record_count"))
-        .orderBy("table_name")
+        reduce(DataFrame.unionByName, files)
+        .orderBy("file_path")
+        .select(
+            F.regexp_extract("file_path", r"([^/]+\.parquet)(?:/[^/]*)?$", 1).alias("file_name"),
+            "file_format",
+            "record_count",
+            (F.col("file_size_in_bytes") > 0).alias("has_bytes"),
+        )
     )
 
 
+def _stored_bronze(spark, sf_dir, *raw_columns) -> DataFrame:
+    path = fresh_path(spark, "bronze")
+    sinks.create_bronze_table(view.bronze(spark, sf_dir, *raw_columns), path)
+    return sinks.read_table(spark, path)
+
+
 @query
 def partition_inventory(spark, sf_dir):
-    path = fresh_path(spark, "versions")
-    rows = past.versioned_bronze(spark, sf_dir, "Order ID", "Product ID", "Sales")
-    keys = ("commit_id", "ingestion_date")
-    sinks.create_table(rows, path, partition_by=keys)
-    return partitions(sinks.read_table(spark, path), keys).drop("file_count")
+    stored = _stored_bronze(spark, sf_dir, "Order ID", "Product ID", "Sales")
+    listing = partitions(stored, ("ingestion_date",))
+    return listing.select("ingestion_date", "record_count", (F.col("file_count") >= 1).alias("has_files"))
 
 
 @query
 def files_by_partition(spark, sf_dir):
-    path = fresh_path(spark, "bronze")
-    sinks.create_bronze_table(view.bronze(spark, sf_dir, "Order ID", "Product ID", "Sales"), path)
-    files = data_files(sinks.read_table(spark, path), ("ingestion_date",))
-    return files_per_partition(files)
+    stored = _stored_bronze(spark, sf_dir, "Order ID", "Product ID", "Sales")
+    return files_per_partition(data_files(stored, ("ingestion_date",))).select(
+        "ingestion_date",
+        "total_records",
+        (F.col("file_count") >= 1).alias("has_files"),
+        (F.col("total_size_bytes") > 0).alias("has_bytes"),
+    )
 
 
 @query
 def landing_inventory(spark, sf_dir):
     folder = _landed_batches(spark, sf_dir, "Order ID", "Product ID", "Sales")
-    return landed_files(spark, folder, "*.csv")
+    batch = F.regexp_extract("path", r"(sales_batch_[0-9]+\.csv)", 1).alias("batch_file")
+    return landed_files(spark, folder, "*.csv").groupBy(batch).agg((F.sum("size_bytes") > 0).alias("has_bytes"))
 
 
 # --- sinks -------------------------------------------------------------------------------------
@@ -182,9 +168,8 @@ def landing_inventory(spark, sf_dir):
 
 @query
 def sink_create_partitioned(spark, sf_dir):
-    path = fresh_path(spark, "bronze")
-    sinks.create_bronze_table(_batch(spark, sf_dir, 1), path)
-    return sinks.read_table(spark, path)
+    """All batches, which came on several days."""
+    return _stored_bronze(spark, sf_dir)
 
 
 @query
@@ -213,8 +198,8 @@ def sink_create(spark, sf_dir):
 @query
 def sink_csv_batch(spark, sf_dir):
     path = fresh_path(spark, "sales_batch") + ".csv"
-    write_sales_csv(_batch(spark, sf_dir, 2).select(*RAW_COLUMNS), path)
-    return read_sales_csv(spark, path)
+    write_sales_csv(view.bronze(spark, sf_dir).select(*RAW_COLUMNS), path)
+    return type_raw_columns(read_sales_csv(spark, path))
 
 
 # --- projections and filters -------------------------------------------------------------------
@@ -222,9 +207,18 @@ def sink_csv_batch(spark, sf_dir):
 
 @query
 def enrich_lineage(spark, sf_dir):
-    raw = _batch(spark, sf_dir, 1).select("Order ID", "Product ID", "Sales", "Quantity")
-    arrival = F.lit("2024-01-01 08:00:00").cast("timestamp")
-    return enrich_with_metadata(raw, "sales_batch_001.csv", "sales_system", "batch_1", arrival)
+    """Every batch with the lineage of its arrival."""
+    batches = [
+        enrich_with_metadata(
+            _batch(spark, sf_dir, number).select(*RAW_COLUMNS),
+            f"sales_batch_{number:03d}.csv",
+            "sales_system",
+            f"batch_{number}",
+            F.lit(arrival).cast("timestamp"),
+        )
+        for number, arrival in enumerate(view.ARRIVALS, start=1)
+    ]
+    return reduce(DataFrame.unionByName, batches)
 
 
 @query
@@ -335,7 +329,7 @@ def silver_full_refresh(spark, sf_dir):
 
 @query
 def silver_incremental(spark, sf_dir):
-    return transform_batches_to_silver(view.bronze(spark, sf_dir))
+    return standardize_without_trim(view.cleaned(spark, sf_dir, each_batch=True))
 
 
 @query
@@ -550,134 +544,12 @@ def executive_kpis(spark, sf_dir):
     return reports.executive_kpis(_gold(spark, sf_dir))
 
 
-# --- versions and branches ---------------------------------------------------------------------
-
-_EVOLUTION_INPUT = view.raw_inputs(*_GOLD_INPUT)
-_EVERY_TABLE = (past.BRONZE, past.SILVER, *past.GOLD_KEYS)
-
-
-def _ledger_until(spark, sf_dir, commit_id: int) -> DataFrame:
-    return past.ledger(spark, sf_dir).where(F.col("commit_id") <= commit_id)
-
-
-def _new_commit(row: DataFrame) -> DataFrame:
-    """A ledger row with its arrays as text and its summary as columns."""
-    return row.select(
-        "table_name",
-        "branch",
-        "commit_id",
-        "parent_id",
-        "operation",
-        F.array_join("live_commits", ",").alias("live_commits"),
-        lg.summary_number("added-records", "added_records"),
-        lg.summary_number("total-records", "total_records"),
-    )
-
-
-@query
-def asof_version(spark, sf_dir):
-    """Bronze as of the second commit, all columns."""
-    chosen = lg.version(past.ledger(spark, sf_dir), 2)
-    return lg.as_of(past.versioned_bronze(spark, sf_dir), chosen).drop("commit_id")
-
-
-@query
-def asof_timestamp(spark, sf_dir):
-    chosen = lg.version_at(past.ledger(spark, sf_dir), "2024-01-01 13:30:00")
-    columns = ("Order ID", "Product ID", "Sales")
-    rows = lg.as_of(past.versioned_bronze(spark, sf_dir, *columns), chosen)
-    return rows.select(*columns, *LINEAGE_COLUMNS)
-
-
-@query
-def asof_by_batch(spark, sf_dir):
-    chosen = lg.version(past.ledger(spark, sf_dir), 2)
-    return reports.records_by_batch(lg.as_of(past.versioned_bronze(spark, sf_dir, "Order ID"), chosen))
-
-
-@query
-def version_history(spark, sf_dir):
-    return lg.history(past.ledger(spark, sf_dir))
-
-
-@query
-def version_snapshots(spark, sf_dir):
-    listing = lg.snapshots(past.ledger(spark, sf_dir))
-    return listing.withColumn("summary", F.to_json("summary"))
-
-
-@query
-def snapshot_report(spark, sf_dir):
-    """Bronze, Silver and Gold; file sizes are left out, no files back these commits."""
-    tables = (past.BRONZE, past.SILVER, past.GOLD)
-    return lg.snapshot_report(past.ledger(spark, sf_dir, *tables)).drop("added_file_size")
-
-
-@query
-def latest_version(spark, sf_dir):
-    return lg.latest_version(past.ledger(spark, sf_dir, *_EVERY_TABLE))
-
-
 @query
-def previous_version(spark, sf_dir):
-    return lg.previous_version(past.ledger(spark, sf_dir, *_EVERY_TABLE))
-
-
-@query
-def records_added(spark, sf_dir):
-    return lg.records_added(past.ledger(spark, sf_dir))
-
-
-@query
-def aggregate_evolution(spark, sf_dir):
-    """Sales of one category and region in Gold after the first commit and at the head of main."""
-    history = past.ledger(spark, sf_dir)
-    rows = past.versioned_bronze(spark, sf_dir, *_EVOLUTION_INPUT)
-    then, now = (
-        create_sales_by_category_region(view.clean(lg.as_of(rows, chosen), *_GOLD_INPUT))
-        for chosen in (lg.version(history, 1), lg.head(history))
-    )
-    return reports.aggregate_evolution(then, now, category="ECONOMY", region="ASIA")
-
-
-@query
-def rollback_to_version(spark, sf_dir):
-    """Main after three appends, rolled back to the second."""
-    before = _ledger_until(spark, sf_dir, 3)
-    row = lg.rollback_row(before, past.BRONZE, 4, "2024-01-01 17:00:00", to=2)
-    rows = past.versioned_bronze(spark, sf_dir, "Order ID")
-    return reports.records_by_batch(lg.as_of(rows, lg.head(before.unionByName(row))))
-
-
-@query
-def branch_heads(spark, sf_dir):
-    return _new_commit(lg.branch_heads(past.ledger(spark, sf_dir)))
-
-
-@query
-def branch_create(spark, sf_dir):
-    before = _ledger_until(spark, sf_dir, 4)
-    return _new_commit(lg.branch_row(before, past.BRONZE, 5, "2024-01-01 18:00:00", "dev"))
-
-
-@query
-def branch_compare(spark, sf_dir):
-    rows = past.versioned_bronze(spark, sf_dir, "Order ID")
-    return lg.compare_branches(rows, _ledger_until(spark, sf_dir, 6), "dev")
-
-
-@query
-def commit_log(spark, sf_dir):
-    return lg.commit_log(past.ledger(spark, sf_dir))
-
-
-@query
-def publish_branch(spark, sf_dir):
-    """Main after dev, which appended batch 3 again, has been published to it."""
-    before = _ledger_until(spark, sf_dir, 6)
-    row = lg.publish_row(before, past.BRONZE, 7, "2024-01-01 20:00:00", source="dev")
-    rows = past.versioned_bronze(spark, sf_dir, "Order ID")
-    return reports.records_by_batch(lg.as_of(rows, lg.head(before.unionByName(row))))
+def gold_point_lookup(spark, sf_dir):
+    """One combination of a stored Gold table."""
+    path = fresh_path(spark, "gold")
+    sinks.create_table(_gold(spark, sf_dir), path)
+    return reports.gold_point(sinks.read_table(spark, path), category="ECONOMY", region="ASIA")
 
 
 # --- whole runs --------------------------------------------------------------------------------
@@ -698,7 +570,8 @@ def _landed_lake(spark, sf_dir) -> medallion.Medallion:
 
 @query
 def run_bronze(spark, sf_dir):
-    return reports.records_by_batch(_landed_lake(spark, sf_dir).bronze.read())
+    lake = _landed_lake(spark, sf_dir)
+    return reports.records_by_batch(lake.read(lake.bronze))
 
 
 @query
@@ -722,7 +595,10 @@ def run_layers(spark, sf_dir):
 def gold_after_batch(spark, sf_dir):
     lake = _lake(spark)
     medallion.run_batch_by_batch(lake, _landed_batches(spark, sf_dir), naming=FOLDER_NAME)
-    return lake.gold["sales_by_category_region"].read()
+    return lake.read(lake.gold["sales_by_category_region"])
+
+
+_CLEAN_COLUMNS = ("Order ID", "Product ID", "Sales", "Quantity", "Discount")
 
 
 # --- test batches ------------------------------------------------------------------------------
@@ -760,3 +636,16 @@ def split_batches(spark, sf_dir):
         )
         .orderBy("batch_no")
     )
+
+
+@query
+def generate_batches(spark, sf_dir):
+    """The dirtied lines written as batches and read back, each with its batch."""
+    folder = fresh_path(spark, "generated")
+    lines = _clean_lines(spark, sf_dir)
+    issues.generate_batches(lines, folder, F.col("l_orderkey"), spread=F.col("spread"), columns=_CLEAN_COLUMNS)
+    rows = [
+        read_sales_csv(spark, path).select("*", F.lit(number).alias("batch_no"))
+        for number, path in enumerate(_batch_paths(folder), start=1)
+    ]
+    return type_raw_columns(reduce(DataFrame.unionByName, rows))

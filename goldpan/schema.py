@@ -50,7 +50,7 @@ NATURAL_KEY = ("order_id", "product_id")
 CRITICAL_COLUMNS = ("order_id", "product_id", "sales")
 
 # Which copy of a natural key survives: the one that arrived first, then the smallest measures.
-# Together with the key these leave no ties, so a re-run keeps the same row.
+# Every other column follows these, so a re-run keeps the same row.
 ARRIVAL_ORDER = (
     "ingestion_ts",
     "batch_id",

@@ -9,24 +9,15 @@ sort-merge join runs, whose hot keys adaptive execution splits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from goldpan.operators.silver import drop_incomplete, keep_first_per_key, standardize_sales_columns
-from goldpan.schema import (
-    ARRIVAL_ORDER,
-    BUSINESS_COLUMNS,
-    CRITICAL_COLUMNS,
-    LINEAGE_COLUMNS,
-    NATURAL_KEY,
-    RAW_COLUMNS,
-    RAW_NAME,
-    SILVER_COLUMNS,
-)
+from goldpan.operators.silver import standardize_sales_columns
+from goldpan.schema import BUSINESS_COLUMNS, LINEAGE_COLUMNS, RAW_COLUMNS, RAW_NAME, SILVER_COLUMNS
 
 # When each batch arrives, first batch first.
-ARRIVALS = ("2024-01-01 08:00:00", "2024-01-01 12:00:00", "2024-01-01 16:00:00")
+ARRIVALS = ("2024-01-01 08:00:00", "2024-01-02 08:00:00", "2024-01-03 08:00:00")
 BATCHES = len(ARRIVALS)
 
 _FROM_REGION = {"Region"}
@@ -122,14 +113,9 @@ def _lineage() -> dict[str, Column]:
     }
 
 
-def bronze(spark: SparkSession, sf_dir: str, *raw_columns: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Bronze rows of all batches: the named raw columns (default all) and the lineage columns.
-
-    ``keep`` adds further columns of the order lines, or ``batch_no``.
-    """
-    wanted = raw_columns or RAW_COLUMNS
+def _described(spark: SparkSession, sf_dir: str, rows: DataFrame, wanted: tuple[str, ...], keep: tuple[str, ...]) -> DataFrame:
+    """Order lines with the tables joined that the wanted raw columns come from."""
     needed = set(wanted)
-    rows = _lines(spark, sf_dir)
     if needed & _FROM_ORDERS:
         orders = _orders(spark, sf_dir, needed)
         rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
@@ -143,42 +129,60 @@ def bronze(spark: SparkSession, sf_dir: str, *raw_columns: str, keep: tuple[str,
     )
 
 
-def _silver_inputs(columns: tuple[str, ...]) -> tuple[str, ...]:
-    """The Silver columns a cleaned frame must carry to end up with ``columns``.
+def bronze(spark: SparkSession, sf_dir: str, *raw_columns: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Bronze rows of all batches: the named raw columns (default all) and the lineage columns.
 
-    Profit takes part in the arrival order only when it is wanted: here it follows from sales,
-    quantity and product, so it never decides, and without it the part table can stay unread.
+    ``keep`` adds further columns of the order lines, or ``batch_no``.
     """
-    carried = {*columns, *CRITICAL_COLUMNS, *ARRIVAL_ORDER} - ({"profit"} - set(columns))
-    return tuple(c.name for c in BUSINESS_COLUMNS if c.name in carried) + LINEAGE_COLUMNS
+    return _described(spark, sf_dir, _lines(spark, sf_dir), raw_columns or RAW_COLUMNS, keep)
 
 
-def raw_inputs(*columns: str) -> tuple[str, ...]:
-    """The raw columns behind the named Silver columns and the cleaning of their rows."""
-    return tuple(RAW_NAME[c] for c in _silver_inputs(columns or SILVER_COLUMNS) if c in RAW_NAME)
+def _first_lines(spark: SparkSession, sf_dir: str, each_batch: bool) -> DataFrame:
+    """Complete order lines, the first of each natural key, before anything is joined to them.
+
+    Key and order come from the lines alone. The order is that of ``ARRIVAL_ORDER``: within a key the part
+    is one and the same, so at equal sales a smaller profit is a larger quantity as ordered. The line
+    number ends every tie. Lines are dealt by order, which also serves the join with the orders.
+    """
+    complete = _lines(spark, sf_dir).where(
+        F.col("l_orderkey").isNotNull()
+        & F.col("l_partkey").isNotNull()
+        & F.col("l_extendedprice").isNotNull()
+        & ~dirt_slot().isin(0, 1)
+    )
+    key = ["l_orderkey", "l_partkey", *(["batch_no"] if each_batch else [])]
+    order = [
+        F.col("batch_no"),
+        F.col("l_extendedprice"),
+        _RAW_EXPRESSIONS["Quantity"](),
+        _RAW_EXPRESSIONS["Discount"](),
+        F.desc("l_quantity"),
+        F.col("l_shipdate"),
+        F.col("l_linenumber"),
+    ]
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return complete.repartition("l_orderkey").withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def standardized(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Bronze renamed, typed and trimmed, before any row is dropped."""
+def raw_inputs(*columns: str) -> tuple[str, ...]:
+    """The raw columns behind the named Silver columns, in the order of the header."""
     wanted = columns or SILVER_COLUMNS
-    rows = bronze(spark, sf_dir, *raw_inputs(*wanted))
-    return standardize_sales_columns(rows, columns=_silver_inputs(wanted))
+    return tuple(RAW_NAME[c.name] for c in BUSINESS_COLUMNS if c.name in wanted)
 
 
-def clean(rows: DataFrame, *columns: str, key: tuple[str, ...] = NATURAL_KEY) -> DataFrame:
-    """Bronze rows that carry ``raw_inputs(*columns)``, cleaned, with the named Silver columns."""
-    wanted = columns or SILVER_COLUMNS
-    named = standardize_sales_columns(rows, columns=_silver_inputs(wanted))
-    return keep_first_per_key(drop_incomplete(named), key=key).select(*wanted)
+def cleaned(spark: SparkSession, sf_dir: str, *raw_columns: str, each_batch: bool = False) -> DataFrame:
+    """Bronze rows that stay in Silver; with ``each_batch`` copies in other batches stay too."""
+    return _described(spark, sf_dir, _first_lines(spark, sf_dir, each_batch), raw_columns or RAW_COLUMNS, ())
 
 
-def silver(
-    spark: SparkSession, sf_dir: str, *columns: str, key: tuple[str, ...] = NATURAL_KEY
-) -> DataFrame:
-    """Cleaned rows with the named Silver columns (default all 25)."""
-    return clean(bronze(spark, sf_dir, *raw_inputs(*columns)), *columns, key=key)
+def standardized(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Bronze renamed, typed and trimmed, before any row is dropped."""
+    wanted = columns or SILVER_COLUMNS
+    return standardize_sales_columns(bronze(spark, sf_dir, *raw_inputs(*wanted)), columns=wanted)
 
 
-def silver_by_batch(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Silver cleaned batch by batch, so copies that arrive in another batch survive."""
-    return silver(spark, sf_dir, *columns, key=("batch_id", *NATURAL_KEY))
+def silver(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Cleaned rows with the named Silver columns (default all 25)."""
+    wanted = columns or SILVER_COLUMNS
+    rows = cleaned(spark, sf_dir, *raw_inputs(*wanted))
+    return standardize_sales_columns(rows, columns=wanted).select(*wanted)

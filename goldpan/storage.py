@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -11,15 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 @lru_cache(maxsize=1)
 def _local_test_folder() -> str:
-    return tempfile.mkdtemp(prefix="goldpan-")
+    folder = tempfile.mkdtemp(prefix="goldpan-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only for a local master."""
+    """The cluster's ``spark.checkpoint.dir``; for a local master a temporary one, removed at exit."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         return _local_test_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 

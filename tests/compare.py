@@ -51,6 +51,7 @@ _SPARK_TYPE = {
     "DOUBLE": "double",
     "VARCHAR": "string",
     "BOOLEAN": "boolean",
+    "DATE": "date",
     "TIMESTAMP": "timestamp",
 }
 
