@@ -13,8 +13,8 @@ Short lists give all their pairs. Classes that meet in a long list are listed an
 sets, where two linked sets share one of the quarter of their rarest shingles: that leaves few lists long, and
 their members are mostly linked. Those give stars: every member meets ``PIVOTS`` others, then
 members outside the list's largest component meet as many inside it. What is still outside meets every
-member of other components of its lists, so that no link is lost, and a list whose members are linked costs
-some comparisons a member. Components come from alternating large and small stars over written tables.
+member of its lists, in blocks that are compared by shingle inside the tasks, so that no link is lost, and a list
+whose members are linked costs some comparisons a member. Components come from alternating large and small stars over written tables.
 
 Defined results: a null or wordless text has an empty set, is linked with nothing and is kept; fewer
 than five words are one shingle; repeated rows are equal texts and all rows that carry the smallest id are
@@ -31,7 +31,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from goldpan.llm.common import as_bytes, id_and_text, per_document, whole_text
@@ -42,6 +42,7 @@ K, LEAST = 64, 27
 SHORT_LIST = 32
 PIVOTS = 3
 PER_CHUNK = 64
+PER_BLOCK = 256
 _WEIGHTS = np.array([xxhash.xxh64_intdigest(b"position %d" % j) | 1 for j in range(WORDS)], np.uint64)
 
 
@@ -91,6 +92,11 @@ def sketches(docs: DataFrame) -> DataFrame:
     return per_document(rows, schema, _sketcher, keep=("text_hash",))
 
 
+def _meet(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join of two sides that both grow with the data: sorted and merged, never broadcast."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def inverted_lists(held: DataFrame, room: Column) -> DataFrame:
     """value, class_key, n_shingles, length: lists of two classes and more.
 
@@ -99,14 +105,14 @@ def inverted_lists(held: DataFrame, room: Column) -> DataFrame:
     """
     shared = held.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
     per_class = (
-        held.join(shared, "value")
+        _meet(held, shared, "value")
         .groupBy("class_key", "n_shingles", "k")
         .agg(F.array_sort(F.collect_list(F.struct("length", "value"))).alias("found"))
     )
     left = F.greatest(F.lit(0), room - (F.col("k") - F.size("found"))).cast("int")
     listed = per_class.select("class_key", "n_shingles", F.explode(F.slice("found", F.lit(1), left)["value"]).alias("value"))
     lengths = listed.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
-    return listed.join(lengths, "value")
+    return _meet(listed, lengths, "value")
 
 
 def sketch_lists(classes: DataFrame) -> DataFrame:
@@ -146,26 +152,26 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _against(members: DataFrame, pivots: DataFrame) -> DataFrame:
     """Pairs of the members of each list with its pivot."""
     pivots = pivots.select("value", F.col("pivot.class_key").alias("y"), F.col("pivot.n_shingles").alias("ny"))
-    met = members.join(pivots, "value").filter((F.col("class_key") != F.col("y")) & _sizes_allow("n_shingles", "ny"))
+    met = _meet(members, pivots, "value").filter((F.col("class_key") != F.col("y")) & _sizes_allow("n_shingles", "ny"))
     return met.select(F.col("class_key").alias("x"), "y")
 
 
 def _pivot(turn: int) -> Column:
-    """A member that the list's value picks, another one in each round."""
-    return F.min_by(F.struct("class_key", "n_shingles"), F.xxhash64("class_key", "value", F.lit(turn))).alias("pivot")
+    """One member of each list, by an order of all classes, so that lists of one group agree on few."""
+    return F.min_by(F.struct("class_key", "n_shingles"), F.xxhash64("class_key", F.lit(turn))).alias("pivot")
 
 
 def short_pairs(lists: DataFrame) -> DataFrame:
     left = lists.select("value", F.col("class_key").alias("x"), F.col("n_shingles").alias("nx"))
     right = lists.select("value", F.col("class_key").alias("y"), F.col("n_shingles").alias("ny"))
-    return left.join(right, "value").filter((F.col("x") < F.col("y")) & _sizes_allow("nx", "ny")).select("x", "y")
+    return _meet(left, right, "value").filter((F.col("x") < F.col("y")) & _sizes_allow("nx", "ny")).select("x", "y")
 
 
 def estimated(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """The pairs whose union sketch allows the similarity."""
     a = members.select(F.col("class_key").alias("a"), F.col("sketch").alias("sa"))
     b = members.select(F.col("class_key").alias("b"), F.col("sketch").alias("sb"))
-    return pairs.join(a, "a").join(b, "b").filter(_union_sketch_allows("sa", "sb")).select("a", "b")
+    return _meet(_meet(pairs, a, "a"), b, "b").filter(_union_sketch_allows("sa", "sb")).select("a", "b")
 
 
 def _union_sketch_allows(a: str, b: str) -> Column:
@@ -185,12 +191,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     its chunk, and holds one set at a time.
     """
     chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PER_CHUNK).alias("chunks"))
-    dealt = pairs.join(chunks, "a").select("a", "b", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"))
-    seconds = dealt.join(texts.withColumnRenamed("class_key", "b"), "b").select("a", "chunk", "b", "text")
+    dealt = _meet(pairs, chunks, "a").select("a", "b", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"))
+    seconds = _meet(dealt, texts.withColumnRenamed("class_key", "b"), "b").select("a", "chunk", "b", "text")
     firsts = (
-        dealt.select("a", "chunk")
-        .distinct()
-        .join(texts.withColumnRenamed("class_key", "a"), "a")
+        _meet(dealt.select("a", "chunk").distinct(), texts.withColumnRenamed("class_key", "a"), "a")
         .select("a", "chunk", F.lit(None).cast("binary").alias("b"), "text")
     )
     met = firsts.unionByName(seconds).repartition("a", "chunk").sortWithinPartitions("a", "chunk", "b")
@@ -217,24 +221,28 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and root (its component's smallest node) of an edge list ``a``, ``b``."""
-    stars = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    """node and root (its component's smallest node) of an edge list ``a``, ``b``.
+
+    Each turn is one written table; its size and a sum of hashes, taken while it is written, tell
+    when nothing moves any more.
+    """
 
     def smallest(links: DataFrame) -> DataFrame:
         return links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
 
-    def mark(links: DataFrame) -> tuple:
-        return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def written(links: DataFrame) -> tuple[DataFrame, dict]:
+        seen = Observation()
+        whole = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hash")
+        stored = materialize(links.distinct().observe(seen, F.count(F.lit(1)).alias("rows"), whole), "stars")
+        return stored, seen.get
 
-    last = mark(stars)
+    stars, last = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     while True:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(smallest(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialize(large, "large-star")
+        large = _meet(both, smallest(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         near = smallest(large)
-        small = large.join(near, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = materialize(small.unionByName(near.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        now = mark(stars)
+        small = _meet(large, near, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        stars, now = written(small.unionByName(near.select("u", F.col("m").alias("v"))))
         if now == last:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
         last = now
@@ -245,7 +253,7 @@ def _joined(places: DataFrame | None, edges: DataFrame) -> DataFrame | None:
     if places is not None:
         for side in "ab":
             at = places.select(F.col("class_key").alias(side), F.col("component").alias("c"))
-            edges = edges.join(at, side, "left").withColumn(side, F.coalesce("c", side)).drop("c")
+            edges = _meet(edges, at, side, "left").withColumn(side, F.coalesce("c", side)).drop("c")
     edges = materialize(edges.filter("a != b").distinct(), "links")
     if edges.isEmpty():
         return places
@@ -266,7 +274,7 @@ def _placed(lists: DataFrame, places: DataFrame | None) -> tuple[DataFrame, Data
     if places is None:
         at = lists.withColumn("component", F.col("class_key"))
     else:
-        at = lists.join(places, "class_key", "left").withColumn("component", F.coalesce("component", "class_key"))
+        at = _meet(lists, places, "class_key", "left").withColumn("component", F.coalesce("component", "class_key"))
     most = (
         at.groupBy("value", "component")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -274,7 +282,7 @@ def _placed(lists: DataFrame, places: DataFrame | None) -> tuple[DataFrame, Data
         .agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("components"))
         .filter("components > 1")
     )
-    at = materialize(at.join(most, "value"), "members")
+    at = materialize(_meet(at, most, "value"), "members")
     return at, at.filter("component != largest")
 
 
@@ -285,7 +293,6 @@ def link_classes(lists: DataFrame, members: DataFrame, texts: DataFrame) -> Data
         return confirmed(materialize(estimated(_ordered(pairs), members), "candidates"), texts)
 
     short, long_ = lists.filter(F.col("length") <= SHORT_LIST), lists.filter(F.col("length") > SHORT_LIST)
-    long_ = materialize(long_, "long-lists")
     stars = (_against(long_, long_.groupBy("value").agg(_pivot(turn))) for turn in range(PIVOTS))
     places = _joined(None, found(reduce(DataFrame.unionByName, stars, short_pairs(short))))
     at, outside = _placed(long_, places)
@@ -297,17 +304,82 @@ def link_classes(lists: DataFrame, members: DataFrame, texts: DataFrame) -> Data
     at, outside = _placed(long_, places)
     if outside.isEmpty():
         return places
-    listed = at.groupBy("class_key").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    whole = at.join(listed, "class_key")
-    left, right = whole.filter("component != largest").alias("l"), whole.alias("r")
-    met = left.join(
-        right,
-        (F.col("l.value") == F.col("r.value"))
-        & (F.col("l.component") != F.col("r.component"))
-        & _sizes_allow("l.n_shingles", "r.n_shingles")
-        & (F.array_min(F.array_intersect("l.values", "r.values")) == F.col("l.value")),
+    return _joined(places, in_blocks(at, texts))
+
+
+def in_blocks(at: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between what is outside the largest component of its lists and all members of those.
+
+    Lists with one largest component go together, so a pair meets once. Blocks of outside members
+    are indexed by shingle, members stream past, and only links leave the task, one for each
+    outside member and component.
+    """
+    both = at.select("largest", "class_key", "component").distinct()
+    outside = F.col("component") != F.col("largest")
+    counts = both.groupBy("largest").agg(
+        F.ceil(F.count_if(outside) / PER_BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.count(F.lit(1)) / (8 * PER_BLOCK)).cast("int").alias("streams"),
+    )
+    dealt = _meet(_meet(both, counts, "largest"), texts, "class_key")
+    own = F.xxhash64("class_key")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    columns = ["largest", "block", "stream", "streamed", "class_key", "component", "text"]
+    held = dealt.filter(outside).select("*", F.pmod(own, "blocks").cast("int").alias("block"), every("streams").alias("stream"))
+    passing = dealt.select("*", F.pmod(own, "streams").cast("int").alias("stream"), every("blocks").alias("block"))
+    rows = held.withColumn("streamed", F.lit(0)).select(*columns).unionByName(
+        passing.withColumn("streamed", F.lit(1)).select(*columns)
     )
-    return _joined(places, found(met.select(F.col("l.class_key").alias("x"), F.col("r.class_key").alias("y"))))
+    key = ("largest", "block", "stream")
+    rows = rows.repartition(*key).sortWithinPartitions(*key, "streamed")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, last, index = Shingles(), None, None
+        keys: list[bytes] = []
+        places: list[bytes] = []
+        sets: list[np.ndarray] = []
+        for batch in batches:
+            columns_ = [batch.column(c).to_pylist() for c in range(batch.num_columns)]
+            found: list[tuple[bytes, bytes]] = []
+            for largest, block, stream, streamed, name, place, text in zip(*columns_, strict=True):
+                if (largest, block, stream) != last:
+                    last, index = (largest, block, stream), None
+                    keys, places, sets = [], [], []
+                s = shingles(text)
+                if not streamed:
+                    keys.append(name)
+                    places.append(place)
+                    sets.append(s)
+                    continue
+                index = index or BlockIndex(sets)
+                found += [(keys[i], name) for i in index.similar(s) if places[i] != place]
+            links = {(a, b): None for a, b in found}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in links], pa.binary()), pa.array([b for _, b in links], pa.binary())], ["a", "b"]
+            )
+
+    coded = rows.withColumn("text", F.encode("text", "UTF-8"))
+    return coded.mapInArrow(run, "a binary, b binary")
+
+
+class BlockIndex:
+    """Sets of one block by shingle: how much of each a further set shares, in one pass."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        values = np.concatenate(sets)
+        owners = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(values, kind="stable")
+        self.values, self.owners = values[order], owners[order]
+        self.sizes = np.array([len(s) for s in sets])
+
+    def similar(self, s: np.ndarray) -> list[int]:
+        low, high = np.searchsorted(self.values, s, "left"), np.searchsorted(self.values, s, "right")
+        many = high - low
+        at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        common = np.bincount(self.owners[at], minlength=len(self.sizes))
+        return np.flatnonzero(4 * common >= 3 * (self.sizes + len(s) - common)).tolist()
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -316,28 +388,31 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     known = seen.filter("class_key is not null")
     classes = known.select("class_key", "n_shingles", "sketch").dropDuplicates(["class_key"])
     lists = materialize(sketch_lists(classes), "lists")
-    listed = lists.select("class_key").distinct()
-    members = materialize(classes.join(listed, "class_key"), "listed")
-    wanted = (
-        known.join(listed, "class_key")
+    one = F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash", "n_shingles", "sketch"))
+    members = (
+        _meet(known, lists.select("class_key").distinct(), "class_key")
         .groupBy("class_key")
-        .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")).alias("one"))
-        .select("class_key", F.col("one.id").alias("id"), F.col("one.text_hash").alias("text_hash"))
+        .agg(one.alias("one"))
+        .select("class_key", "one.*")
     )
+    members = materialize(members, "listed")
     rows = id_and_text(docs).select(
         F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("text_hash"), "text"
     )
-    texts = rows.join(wanted.hint("shuffle_hash"), ["id", "text_hash"]).select("class_key", "text")
+    wanted = members.select("class_key", "id", "text_hash").hint("shuffle_hash")
+    texts = rows.join(wanted, ["id", "text_hash"]).select("class_key", "text")
     texts = materialize(texts.dropDuplicates(["class_key"]), "texts")
     busy = lists.filter(F.col("length") > SHORT_LIST).select("class_key").distinct()
-    lists = lists.filter(F.col("length") <= SHORT_LIST).unionByName(full_lists(texts.join(busy, "class_key")))
+    full = full_lists(_meet(texts, busy, "class_key"))
+    lists = materialize(lists.filter(F.col("length") <= SHORT_LIST).unionByName(full), "all-lists")
     places = link_classes(lists, members, texts)
     smallest = known.groupBy("class_key").agg(F.min("doc_id").alias("smallest"))
     if places is not None:
-        rooted = smallest.join(places, "class_key", "left").withColumn("component", F.coalesce("component", "class_key"))
+        rooted = _meet(smallest, places, "class_key", "left").withColumn("component", F.coalesce("component", "class_key"))
         per_component = rooted.groupBy("component").agg(F.min("smallest").alias("smallest"))
-        smallest = rooted.select("class_key", "component").join(per_component, "component").select("class_key", "smallest")
-    judged = seen.select("doc_id", "text_hash", "n_shingles", "class_key").join(smallest, "class_key", "left")
+        smallest = _meet(rooted.select("class_key", "component"), per_component, "component").select("class_key", "smallest")
+    judged = seen.select("doc_id", "text_hash", "n_shingles", "class_key")
+    judged = _meet(judged, smallest, "class_key", "left")
     component = F.when(F.col("class_key").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
     return judged.select(
         "doc_id",
