@@ -11,10 +11,10 @@
 
 Short lists give all their pairs. Classes that meet in a long list are listed anew by their full
 sets, where two linked sets share one of the quarter of their rarest shingles: that leaves few lists long, and
-their members are mostly linked. Those give stars: every member meets ``PIVOTS`` others, then
-members outside the list's largest component meet as many inside it. What is still outside meets every
-member of its lists, in blocks that are compared by shingle inside the tasks, so that no link is lost, and a list
-whose members are linked costs some comparisons a member. Components come from alternating large and small stars over written tables.
+their members are mostly linked. Those give stars: every member meets ``PIVOTS`` others. What is then outside
+a list's largest component meets every member of its lists, in blocks that are compared by shingle inside
+the tasks, so that no link is lost, and a list whose members are linked costs some comparisons a member.
+Components come from alternating large and small stars over written tables.
 
 Defined results: a null or wordless text has an empty set, is linked with nothing and is kept; fewer
 than five words are one shingle; repeated rows are equal texts and all rows that carry the smallest id are
@@ -296,12 +296,6 @@ def link_classes(lists: DataFrame, members: DataFrame, texts: DataFrame) -> Data
     stars = (_against(long_, long_.groupBy("value").agg(_pivot(turn))) for turn in range(PIVOTS))
     places = _joined(None, found(reduce(DataFrame.unionByName, stars, short_pairs(short))))
     at, outside = _placed(long_, places)
-    if outside.isEmpty():
-        return places
-    inside = at.filter("component = largest")
-    stars = (_against(outside, inside.groupBy("value").agg(_pivot(PIVOTS + turn))) for turn in range(PIVOTS))
-    places = _joined(places, found(reduce(DataFrame.unionByName, stars)))
-    at, outside = _placed(long_, places)
     if outside.isEmpty():
         return places
     return _joined(places, in_blocks(at, texts))
