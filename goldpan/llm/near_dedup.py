@@ -49,7 +49,7 @@ _WEIGHTS = np.array([xxhash.xxh64_intdigest(b"position %d" % j) | 1 for j in ran
 class Shingles:
     """Texts to sorted sets of shingle hashes; remembers the hashes of words, up to a bound."""
 
-    def __init__(self, most_words: int = 500_000):
+    def __init__(self, most_words: int = 250_000):
         self.known: dict[bytes, int] = {}
         self.most = most_words
 

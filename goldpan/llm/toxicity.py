@@ -47,7 +47,7 @@ def buckets_of(word: bytes) -> tuple[int, ...]:
 class Remembered(dict):
     """A function of words whose values are kept, up to a bound."""
 
-    def __init__(self, function: Callable[[bytes], object], most: int = 300_000):
+    def __init__(self, function: Callable[[bytes], object], most: int = 150_000):
         super().__init__()
         self.function, self.most = function, most
 
@@ -193,21 +193,22 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most_per_class: int =
     """Counts over all documents; labels from a bounded sample of those that ``learn`` allows."""
     chosen = sample(labels, "toxic", learn, most_per_class)
     rows = id_and_text(docs).join(F.broadcast(chosen), "doc_id", "left")
-    counted = bucket_counts(rows).toPandas()  # at most BUCKETS rows
+    counted = bucket_counts(rows).toArrow()  # at most BUCKETS rows, as columns
     counts = np.zeros((3, BUCKETS))
+    bucket = counted["bucket"].to_numpy()
     for i, c in enumerate(("n_all", "n_toxic", "n_clean")):
-        counts[i, counted["bucket"]] = counted[c]
+        counts[i, bucket] = counted[c].to_numpy()
     scores = log_odds(*counts)
     sent = docs.sparkSession.sparkContext.broadcast(scores)
     scanned = per_document(
         texts_of(docs, chosen), "n long, best double", lambda: _scan(sent.value)(), keep=("label",)
-    ).toPandas()  # the sample
+    ).toArrow()  # the sample
     shares = dict(labels.filter(learn & F.col("toxic").isin(0, 1)).groupBy("toxic").count().collect())
     return _calibrated(
         scores,
-        scanned["best"].to_numpy(float),
-        scanned["n"].to_numpy(float),
-        scanned["label"].to_numpy(int) == 1,
+        scanned["best"].to_numpy(),
+        scanned["n"].to_numpy().astype(float),
+        scanned["label"].to_numpy() == 1,
         shares.get(0, 0) / max(1, shares.get(1, 0)),
     )
 
