@@ -8,8 +8,8 @@ form a piece. Equal windows pick equal anchors, so only pieces with one anchor n
    through; contents count as equal when anchor and content agree in two 64-bit hashes.
 2. Of anchors with several contents, one piece of each content is fetched. A task sorts the suffixes of
    the pieces it got with a two-stage suffix array and compares neighbours: a start that shares
-   200 bytes with its neighbour is repeated. An anchor with very many contents is split by the
-   hash of the windows, which keeps equal windows together.
+   200 bytes with its neighbour is repeated. The contents of an anchor with very many do not meet:
+   their windows are counted by hash, and the bytes of those that occur twice are counted in turn.
 3. The repeated starts of a document are gathered, its bytes under them removed.
 
 Periodic texts repeat pieces within the document; those are settled where they are found.
@@ -37,7 +37,8 @@ LENGTH = 200
 GRAM = 32
 REACH = LENGTH - GRAM + 1  # grams of a window
 BLOCK = 1 << 20
-PER_BUCKET = 4096
+PER_BUCKET = 4096  # contents of an anchor that one task sorts
+WINDOW_BITS = 64
 _BASE = 0x9E3779B97F4A7C15
 _BYTE_VALUES = np.array([xxhash.xxh64_intdigest(bytes([b])) for b in range(256)], np.uint64)
 
@@ -239,13 +240,13 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     return [(int(starts[f]), int(n)) for f, n in zip(firsts, np.diff(np.append(firsts, len(starts))), strict=True)]
 
 
-_MET = "anchor long, salt int, doc_id long, text_hash long, start int, times int, chosen binary, content binary"
+_MET = "anchor long, split boolean, doc_id long, text_hash long, start int, times int, content binary"
 
 
 def _fetched(asked: DataFrame, rows: DataFrame) -> DataFrame:
-    """The contents of the asked pieces; each piece of a split anchor once for each of its salts."""
+    """The contents of the asked pieces."""
     per_row = asked.groupBy("id_key", "text_hash").agg(
-        F.collect_list(F.struct("start", "starts", "times", "anchor", "parts")).alias("asked")
+        F.collect_list(F.struct("start", "starts", "times", "anchor", "split")).alias("asked")
     )
     found = rows.join(per_row.hint("shuffle_hash"), ["id_key", "text_hash"])
 
@@ -253,31 +254,84 @@ def _fetched(asked: DataFrame, rows: DataFrame) -> DataFrame:
         for batch in batches:
             ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
             for i, text in enumerate(as_bytes(batch.column("text"))):
-                out: list[tuple] = []
-                for p in batch.column("asked")[i].as_py():
-                    content = text[p["start"] : p["start"] + p["starts"] + LENGTH - 1]
-                    parts = p["parts"]
-                    if parts == 1:
-                        salts = np.zeros(p["starts"], np.int32)
-                    else:
-                        salts = np.array(
-                            [xxhash.xxh64_intdigest(content[j : j + LENGTH]) % parts for j in range(p["starts"])], np.int32
-                        )
-                    for salt in np.unique(salts).tolist():
-                        chosen = np.flatnonzero(salts == salt).astype(np.int32).tobytes()
-                        out.append((p["anchor"], salt, ids[i], hashes[i], p["start"], p["times"], chosen, content))
+                out = [
+                    (p["anchor"], p["split"], ids[i], hashes[i], p["start"], p["times"], text[p["start"] : p["start"] + p["starts"] + LENGTH - 1])
+                    for p in batch.column("asked")[i].as_py()
+                ]
                 if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names
-                    )
+                    yield _batch(out, _MET)
 
-    names = [f.split()[0] for f in _MET.split(", ")]
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-    types = [kinds[f.split()[1]] for f in _MET.split(", ")]
     cut = found.select("doc_id", "text_hash", "asked", F.encode("text", "UTF-8").alias("text"))
     return cut.mapInArrow(run, _MET)
 
 
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*(f.split() for f in schema.split(", ")), strict=True)
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, types[k]) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], list(names)
+    )
+
+
+def _windows(cut: DataFrame, schema: str) -> DataFrame:
+    """A row for each window of the pieces, or for those at the places in ``wanted``; ``schema`` picks the columns."""
+    names = [f.split()[0] for f in schema.split(", ")]
+    mask = (1 << WINDOW_BITS) - 1
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for row in batch.to_pylist():
+                content = row["content"]
+                wanted = row.get("wanted")
+                for at in range(len(content) - LENGTH + 1) if wanted is None else wanted:
+                    window = content[at : at + LENGTH]
+                    row["at"], row["window"] = at, window
+                    row["window_hash"] = (xxhash.xxh64_intdigest(window) & mask) - (1 << 63)
+                    out.append(tuple(row[n] for n in names))
+                if len(out) > 10_000:
+                    yield _batch(out, schema)
+                    out = []
+            if out:
+                yield _batch(out, schema)
+
+    return cut.mapInArrow(run, schema)
+
+
+def _counted(cut: DataFrame) -> DataFrame:
+    """Repeated starts among contents of anchors with very many: no task holds the contents of an anchor.
+
+    Windows are counted by hash, with partial counts, and what is left by their bytes; where a hash has one
+    window of 200 bytes, its starts are repeated. A hash that several windows share decides nothing.
+    """
+    cut = cut.withColumn("id_key", F.coalesce("doc_id", F.lit(-1)))
+    piece = ["id_key", "text_hash", "start"]
+    places = _windows(cut, "window_hash long, id_key long, text_hash long, start int, times int, at int")
+    hashes = _windows(cut.select("content"), "window_hash long")
+    common = hashes.groupBy("window_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window_hash")
+    places = materialize(places.join(common, "window_hash"), "windows")
+    wanted = places.groupBy(*piece).agg(F.collect_set("at").alias("wanted"))
+    held = cut.join(wanted, piece).select("content", "wanted", *piece, "times")
+    exact = (
+        _windows(held, "window_hash long, window binary")
+        .groupBy("window_hash", "window")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    kinds = exact.groupBy("window_hash").agg(F.count(F.lit(1)).alias("kinds"))
+    shared = materialize(kinds.filter("kinds > 1").select("window_hash"), "shared_hashes")
+    columns = [*piece, "times", "at"]
+    if shared.isEmpty():
+        repeated = places.select(*columns)
+    else:
+        known = exact.filter("n > 1").select("window_hash", "window")
+        differ = _windows(held, "window_hash long, window binary, id_key long, text_hash long, start int, times int, at int")
+        differ = differ.join(shared, "window_hash", "left_semi").join(known, ["window_hash", "window"])
+        repeated = places.join(shared, "window_hash", "left_anti").select(*columns).unionByName(differ.select(*columns))
+    return repeated.filter("times = 1").select(
+        "id_key", "text_hash", (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("starts")
+    )
+
+
 def _compared(met: DataFrame) -> DataFrame:
     """Repeated starts among contents that share an anchor; contents of several rows are known already."""
 
@@ -287,18 +341,18 @@ def _compared(met: DataFrame) -> DataFrame:
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
             for row in zip(*columns, strict=True):
-                if size > BLOCK and row[:2] != last:
+                if size > BLOCK and row[0] != last:
                     yield from settle(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[7])
-                last = row[:2]
+                size += len(row[6])
+                last = row[0]
         yield from settle(held)
 
     def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        found = repeated_starts([r[7] for r in held], [np.frombuffer(r[6], np.int32).astype(np.int64) for r in held])
+        found = repeated_starts([r[6] for r in held], [np.arange(len(r[6]) - LENGTH + 1) for r in held])
         out = [
             (r[2], r[3], r[4] + first, many)
             for r, starts in zip(held, found, strict=True)
@@ -312,7 +366,7 @@ def _compared(met: DataFrame) -> DataFrame:
                 ["doc_id", "text_hash", "start", "starts"],
             )
 
-    dealt = met.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
+    dealt = met.repartition("anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(run, "doc_id long, text_hash long, start int, starts int")
 
 
@@ -371,15 +425,17 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     )
     met = materialize(met, "pieces")
     keyed = rows.withColumn("id_key", F.coalesce("doc_id", F.lit(-1)))
-    asked = met.filter("content is not null and contents > 1 and first").withColumn(
-        "parts", F.ceil(F.col("contents") / PER_BUCKET).cast("int")
-    )
-    compared = _compared(_fetched(asked, keyed)).withColumn("id_key", F.coalesce("doc_id", F.lit(-1)))
-    whole = met.filter("content is null or times > 1")
+    asked = met.filter("content is not null and contents > 1 and first").withColumn("split", F.col("contents") > PER_BUCKET)
     columns = ["id_key", "text_hash", "start", "starts"]
+    repeated = met.filter("content is null or times > 1").select(*columns)
+    fetched = _fetched(asked, keyed)
+    if not asked.filter("split").isEmpty():
+        fetched = materialize(fetched, "contents")
+        repeated = repeated.unionByName(_counted(fetched.filter("split")))
+        fetched = fetched.filter("not split")
+    compared = _compared(fetched).withColumn("id_key", F.coalesce("doc_id", F.lit(-1)))
     repeated = (
-        whole.select(*columns)
-        .unionByName(compared.select(*columns))
+        repeated.unionByName(compared.select(*columns))
         .groupBy("id_key", "text_hash")
         .agg(F.collect_list(F.struct("start", "starts")).alias("repeated"))
     )

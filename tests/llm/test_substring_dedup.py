@@ -58,3 +58,26 @@ def test_odd_and_empty(documents, empty):
     rows = [(i, t if len(t or "") < 5000 else t[:5000], s) for i, t, s in ODD_ROWS]
     assert found(documents(rows)) == brute(rows)
     assert found(empty) == []
+
+
+@pytest.mark.parametrize("bits", [64, 4])
+def test_no_task_holds_an_anchor_of_very_many_contents(documents, monkeypatch, bits):
+    """What meets in one group is bounded, also where windows share a hash."""
+    monkeypatch.setattr(sd, "PER_BUCKET", 8)
+    monkeypatch.setattr(sd, "WINDOW_BITS", bits, raising=False)
+    groups = []
+    compared = sd._compared
+
+    def watched(met):
+        keys = [c for c in ("anchor", "salt") if c in met.columns]
+        groups.extend(r["count"] for r in met.groupBy(*keys).count().collect())
+        return compared(met)
+
+    monkeypatch.setattr(sd, "_compared", watched)
+    draw = random.Random(8)
+    prose = lambda n: "".join(draw.choice("abcde ") for _ in range(n))
+    shared = prose(230)
+    rows = [(i, prose(120) + shared[draw.randrange(30) : 150 + draw.randrange(80)] + prose(120), "s") for i in range(60)]
+    rows += [(None, rows[0][1], "s"), (70, rows[1][1], "s"), (70, rows[1][1], "s")]
+    assert found(documents(rows)) == brute(rows)
+    assert max(groups, default=0) <= 8
