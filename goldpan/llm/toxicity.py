@@ -5,8 +5,10 @@ features are hashed into ``BUCKETS`` buckets, so the model has one size whatever
 is the log-odds of toxic against clean documents under a Dirichlet prior from the counts of the
 whole corpus; a word scores as its most telling feature. A penalty per token makes clean text drift downwards. One linear scan over a document
 finds all maximal segments with a positive sum. Under clean text the best sum of n tokens follows
-an extreme-value law, S - ln(n)/lambda being Gumbel; it is fitted on clean labelled documents and turns
-the best sum into a p-value, and the p-value that best divides the labelled documents is the score 0.5.
+an extreme-value law, S - ln(n)/lambda being Gumbel, and the number of segments above a sum is Poisson; the law is
+fitted on clean labelled documents. For every r it gives the chance of r segments as large as the r best; the smallest
+of these, corrected for the choice of r, is the p-value of the document, so that several moderate passages count together.
+The p-value that best divides the labelled documents is the score 0.5.
 
 Labels come from a sample bounded by ``most_per_class``; corpus counts come from all documents.
 
@@ -115,23 +117,26 @@ def best_sum(scores: np.ndarray) -> float:
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, sum), in one pass with a stack of candidates."""
-    stack: list[list[float]] = []  # start, end, total before, total after
-    total = 0.0
-    for i, s in enumerate(scores.tolist()):
-        before, total = total, total + s
-        if s <= 0:
-            continue
-        new = [i, i + 1, before, total]
-        while stack:
+    at = np.flatnonzero(scores > 0)
+    total = np.concatenate([[0.0], np.cumsum(scores)])
+    done: list[tuple] = []
+    stack: list[tuple] = []  # start, end, total before, total after, place of the last candidate that begins lower
+    for i, before, after in zip(at.tolist(), total[at].tolist(), total[at + 1].tolist(), strict=True):
+        start, end = i, i + 1
+        while True:
             j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or stack[j][3] >= new[3]:
+            while j >= 0 and stack[j][2] >= before:
+                j = stack[j][4]
+            if j < 0:  # nothing later can join what lies before
+                done += stack
+                stack = []
                 break
-            new = [stack[j][0], new[1], stack[j][2], new[3]]
+            if stack[j][3] >= after:
+                break
+            start, _, before, _, _ = stack[j]
             del stack[j:]
-        stack.append(new)
-    return [(int(a), int(b), d - c) for a, b, c, d in stack]
+        stack.append((start, end, before, after, j))
+    return [(a, b, d - c) for a, b, c, d, _ in done + stack]
 
 
 @dataclass
@@ -148,45 +153,63 @@ class Model:
         z = self.rate * (best - self.place) - np.log(n)
         return -z if z > 30 else float(np.log(-np.expm1(-np.exp(-max(z, -30.0)))))
 
+    def log_p_of_all(self, sums: list[float], n: int) -> float:
+        """Log of the smallest chance, over r, that clean text of n tokens has r sums as large as the r best.
+
+        Each is corrected by 1 / (r (r + 1)), the share of r among the ways to choose it.
+        """
+        if not sums:
+            return 0.0
+        r = np.arange(1, len(sums) + 1)
+        log_mean = np.log(n) - self.rate * (np.sort(sums)[::-1] - self.place)
+        rare = log_mean < np.log(r)  # elsewhere r such sums are no more than expected
+        r, log_mean = r[rare], log_mean[rare]
+        if not len(r):
+            return 0.0
+        mean = np.exp(log_mean)
+        factorial = np.cumsum(np.log(np.arange(1, len(sums) + 1)))[r - 1]
+        # The Poisson tail by its first term and a geometric bound of the others.
+        tail = r * log_mean - mean - factorial - np.log1p(-mean / (r + 1))
+        return min(0.0, float((tail + np.log(r * (r + 1.0))).min()))
+
 
-def _calibrated(
-    scores: np.ndarray, best: np.ndarray, n: np.ndarray, toxic: np.ndarray, per_toxic: float
-) -> Model:
-    """``per_toxic``: clean labels for each toxic one, among all labels."""
+def _law(scores: np.ndarray, best: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> Model | None:
+    """The law of the best sums of clean documents; None where labels do not suffice."""
     model = Model(scores)
     seen = n > 0
     best, n, toxic = best[seen], n[seen], toxic[seen]
     clean = best[~toxic]
     if len(clean) < 20 or not toxic.any():
-        return model
+        return None
     # Moments of a Gumbel law whose place moves with ln n: var(S) = pi^2 / (6 rate^2) of the residuals.
     log_n = np.log(n[~toxic])
     slope = np.cov(clean, log_n)[0, 1] / max(log_n.var(), 1e-9) if log_n.var() > 0 else 0.0
     rest = clean - slope * log_n
     model.rate = float(np.pi / np.sqrt(6) / max(rest.std(), 1e-6))
     model.place = float((clean - log_n / model.rate).mean() - 0.5772156649 / model.rate)
-    p = np.array([model.log_p(b, k) for b, k in zip(best, n, strict=True)])
+    return model
+
+
+def _cut(p: np.ndarray, toxic: np.ndarray, per_toxic: float) -> float:
+    """The p-value (given as logs) that best divides; ``per_toxic``: clean labels for each toxic one, among all labels."""
     order = np.argsort(p, kind="stable")
     caught = np.cumsum(toxic[order]) / toxic.sum()
     wrong = np.cumsum(~toxic[order]) / (~toxic).sum() * per_toxic
     at = int(np.argmax(caught / (1 + caught + wrong)))  # half the F1
     after = p[order][at + 1] if at + 1 < len(p) else 0.0
     # Half way, in logs, between the last toxic document and what follows.
-    model.cut = float(np.exp(max(-600.0, (p[order][at] + after) / 2)))
-    return model
+    return float(np.exp(max(-600.0, (p[order][at] + after) / 2)))
 
 
-def _scan(scores: np.ndarray) -> Callable[[], Callable[[bytes], tuple]]:
-    def make() -> Callable[[bytes], tuple]:
-        scored = scorer(scores)
+def _scan(model: Model) -> Callable[[bytes], tuple]:
+    scored = scorer(model.scores)
 
-        def run(text: bytes) -> tuple:
-            tokens = words(text)
-            return len(tokens), best_sum(scored(tokens))
-
-        return run
+    def run(text: bytes) -> tuple:
+        tokens = words(text)
+        sums = [total for _, _, total in segments(scored(tokens))]
+        return len(tokens), max(sums, default=0.0), model.log_p_of_all(sums, len(tokens))
 
-    return make
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, most_per_class: int = 10_000) -> Model:
@@ -198,19 +221,27 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most_per_class: int =
     bucket = counted["bucket"].to_numpy()
     for i, c in enumerate(("n_all", "n_toxic", "n_clean")):
         counts[i, bucket] = counted[c].to_numpy()
+    chosen_texts = texts_of(docs, chosen)
+
+    def scanned(model: Model) -> pa.Table:
+        sent = docs.sparkSession.sparkContext.broadcast(model)
+        rows = per_document(chosen_texts, "n long, best double, log_p double", lambda: _scan(sent.value), keep=("label",))
+        return rows.drop("doc_id").toArrow()  # the sample
+
     scores = log_odds(*counts)
-    sent = docs.sparkSession.sparkContext.broadcast(scores)
-    scanned = per_document(
-        texts_of(docs, chosen), "n long, best double", lambda: _scan(sent.value)(), keep=("label",)
-    ).toArrow()  # the sample
+    first = scanned(Model(scores))
+    model = _law(
+        scores, first["best"].to_numpy(), first["n"].to_numpy().astype(float), first["label"].to_numpy() == 1
+    )
+    if model is None:
+        return Model(scores)
     shares = dict(labels.filter(learn & F.col("toxic").isin(0, 1)).groupBy("toxic").count().collect())
-    return _calibrated(
-        scores,
-        scanned["best"].to_numpy(),
-        scanned["n"].to_numpy().astype(float),
-        scanned["label"].to_numpy() == 1,
-        shares.get(0, 0) / max(1, shares.get(1, 0)),
+    again = scanned(model)
+    seen = again["n"].to_numpy() > 0
+    model.cut = _cut(
+        again["log_p"].to_numpy()[seen], again["label"].to_numpy()[seen] == 1, shares.get(0, 0) / max(1, shares.get(1, 0))
     )
+    return model
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -223,14 +254,13 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFram
 
         def run(text: bytes) -> tuple:
             tokens = words(text)
-            s = scored(tokens)
-            log_p = m.log_p(best_sum(s), len(tokens))
+            found = segments(scored(tokens))
+            log_p = m.log_p_of_all([total for _, _, total in found], len(tokens))
             passages = []
-            if log_p < np.log(SIGNIFICANT):
-                for a, b, total in segments(s):
-                    p = m.log_p(total, len(tokens))
-                    if p < np.log(SIGNIFICANT):
-                        passages.append({"start": a, "end": b, "p": float(np.exp(p))})
+            for a, b, total in found:
+                p = m.log_p(total, len(tokens))
+                if p < np.log(SIGNIFICANT):
+                    passages.append({"start": a, "end": b, "p": float(np.exp(p))})
             log_ratio = np.clip(log_p - np.log(m.cut), -700, 700)
             return float(1 / (1 + np.exp(log_ratio))), passages
 
@@ -253,7 +283,8 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
 
         def clean(text: bytes) -> bool:
             tokens = words(text)
-            return m.log_p(best_sum(scored(tokens)), len(tokens)) > np.log(m.cut)
+            sums = [total for _, _, total in segments(scored(tokens))]
+            return m.log_p_of_all(sums, len(tokens)) > np.log(m.cut)
 
         return clean
 

@@ -81,3 +81,21 @@ def test_dropped_are_those_that_score(data):
     part = docs.where("doc_id < 2000")
     model = tx.fit(part, labels, F.lit(True))
     assert tx.drop_toxic(part, model).count() == tx.score(part, model).where("score < 0.5").count()
+
+
+def test_moderate_passages_count_together(documents):
+    """Passages none of which is significant alone make a document toxic."""
+    scores = np.full(tx.BUCKETS, -1.0)
+    scores[list(tx.buckets_of(b"vile"))] = 2.0
+    model = tx.Model(scores, cut=0.001)
+    clean, passage = "good " * 30, "vile vile vile vile "
+    rows = [(1, clean * 10 + passage, "s"), (2, (clean + passage) * 10, "s")]
+    found = {r.doc_id: r for r in tx.score(documents(rows), model).collect()}
+    assert found[1].score < 0.5 <= found[2].score
+    assert not found[1].passages and not found[2].passages
+    assert [r.doc_id for r in tx.drop_toxic(documents(rows), model).collect()] == [1]
+
+
+def test_segments_of_a_long_text_take_one_pass():
+    found = tx.segments(np.tile([1.0, -2.0], 200_000))
+    assert len(found) == 200_000 and {b - a for a, b, _ in found} == {1}
