@@ -1,10 +1,10 @@
 """URL filter: rules first, gradient-boosted trees on lexical features for the rest.
 
 A rule names a host and the beginning of a path; it fits the host and its subdomains, and the
-longest fitting rule decides. URLs that a rule decides are the labelled ones: a bounded sample of them
-trains the trees, which judge the URLs that no rule fits. Features come from the URL alone: length, depth,
-digits, entropy, parameters, marks, and how often the sample blocked the host's last label, its last two
-labels and the first path segment.
+longest fitting rule decides. URLs that a rule decides are the labelled ones: a bounded sample of the distinct
+ones trains the trees, which judge the URLs that no rule fits. Features come from the URL alone: length, depth,
+digits, entropy, parameters, marks, and how often the rules blocked the host's last label, its last two
+labels and the first path segment, over all rows that a rule decides.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path and fits no rule; an
 empty or unbalanced sample allows everything that no rule fits; repeated rows get a row each; an
@@ -21,6 +21,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldpan.storage import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -112,36 +114,50 @@ class Model:
 
 
 def _with_rates(rows: DataFrame, rates: dict[str, DataFrame]) -> DataFrame:
-    """Join the blocked share of each key; the tables are no larger than the sample."""
+    """Join the blocked share of each key; the tables grow with the hosts, so Spark chooses how."""
     for key, table in rates.items():
-        rows = rows.join(F.broadcast(table), f"k_{key}", "left").withColumn(f"r_{key}", F.coalesce(f"r_{key}", F.lit(0.5)))
+        rows = rows.join(table, f"k_{key}", "left").withColumn(f"r_{key}", F.coalesce(f"r_{key}", F.lit(0.5)))
     assembler = VectorAssembler(inputCols=[f"f_{c}" for c in _NUMBERS] + [f"r_{c}" for c in _KEYS], outputCol="features")
     return assembler.transform(rows)
 
 
+def blocked_shares(ruled: DataFrame) -> dict[str, DataFrame]:
+    """For each key its values and the share of ruled rows with it that are blocked, smoothed; over all of them."""
+    label = (F.col("ruled") == "block").cast("long")
+    keys = [f"k_{key}" for key in _KEYS]
+    counted = materialize(
+        lexical(ruled).groupBy(*keys).agg(F.sum(label).alias("blocked"), F.count(F.lit(1)).alias("n")), "suffixes"
+    )
+    return {
+        key: materialize(
+            counted.groupBy(f"k_{key}").agg(((F.sum("blocked") + 1) / (F.sum("n") + 2)).alias(f"r_{key}")), f"rates_{key}"
+        )
+        for key in _KEYS
+    }
+
+
+def sampled(ruled: DataFrame, most_per_class: int) -> DataFrame:
+    """At most ``most_per_class`` distinct URLs a verdict, in the order of a hash: copies take no places."""
+    distinct = ruled.select("url", "host", "path", "ruled").distinct()
+    order = (F.xxhash64("url"), "url")
+    taken = distinct.filter("ruled = 'block'").orderBy(*order).limit(most_per_class).unionByName(
+        distinct.filter("ruled = 'allow'").orderBy(*order).limit(most_per_class)
+    )
+    return taken.select("url", "host", "path", F.when(F.col("ruled") == "block", 1.0).otherwise(0.0).alias("label"))
+
+
 def fit(rows: DataFrame, most_per_class: int = 5_000, rounds: int = 10, depth: int = 4) -> Model | None:
-    """Trees on a sample of at most ``most_per_class`` ruled URLs a verdict; None where one is missing."""
+    """Trees on a sample of at most ``most_per_class`` distinct ruled URLs a verdict; None where one is missing."""
     ruled = rows.filter(F.col("ruled").isNotNull())
-    order = (F.xxhash64("url"), "url", "page_id")
-    taken = ruled.filter("ruled = 'block'").orderBy(*order).limit(most_per_class).unionByName(
-        ruled.filter("ruled = 'allow'").orderBy(*order).limit(most_per_class)
-    )
-    sample = taken.select("url", "host", "path", F.when(F.col("ruled") == "block", 1.0).otherwise(0.0).alias("label"))
     spark = rows.sparkSession
-    local = sample.toPandas()  # bounded
+    local = sampled(ruled, most_per_class).toPandas()  # bounded
     if local["label"].nunique() < 2:
         return None
+    rates = blocked_shares(ruled)
     sample = lexical(spark.createDataFrame(local).repartition(4))
-    rates = {
-        key: spark.createDataFrame(
-            sample.groupBy(f"k_{key}")
-            .agg(((F.sum("label") + 1) / (F.count(F.lit(1)) + 2)).alias(f"r_{key}"))
-            .toPandas()
-        )
-        for key in _KEYS
-    }
     trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=3, featuresCol="features", labelCol="label")
-    return Model(trees.fit(_with_rates(sample, rates).select("features", "label")), rates)
+    features = materialize(_with_rates(sample, rates).select("features", "label"), "url_sample")
+    return Model(trees.fit(features), rates)
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, most_per_class: int = 5_000) -> DataFrame:

@@ -47,3 +47,14 @@ def test_held_out_rules_are_learnt(spark):
     scored = model.trees.transform(uf._with_rates(uf.lexical(rows.where(test & F.col("ruled").isNotNull())), model.rates))
     right = scored.select((F.col("prediction") == F.when(F.col("ruled") == "block", 1.0).otherwise(0.0)).alias("ok"))
     assert right.agg(F.avg(F.col("ok").cast("double"))).first()[0] > 0.9
+
+
+def test_repeated_urls_and_all_ruled_rows_count(spark):
+    """Copies of a URL take no places of the sample; suffix shares come from every ruled row."""
+    urls = [f"x://h{i}.org/p{i}/q" for i in range(60)] * 5 + [f"x://s{i}.com/de/{i}" for i in range(60)] * 5
+    rows = uf.decided(uf.split(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")), uf.RULES)
+    model = uf.fit(rows, most_per_class=10)
+    shares = {r.k_two: r.r_two for r in model.rates["two"].collect()}
+    assert len(shares) == 120
+    assert all(share == pytest.approx(6 / 7 if host.endswith("com") else 1 / 7) for host, share in shares.items())
+    assert uf.sampled(rows, 10).select("url").distinct().count() == 20
