@@ -17,6 +17,7 @@ from goldpan.llm import (
     quality,
     substring_dedup,
     token_counts,
+    token_files,
     toxicity,
     url_filter,
 )
@@ -80,6 +81,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -94,5 +100,6 @@ def llm_queries() -> dict[str, Query]:
             op8_substring_dedup,
             op9_toxicity,
             op10_quality,
+            op13_token_files,
         )
     }
