@@ -1,9 +1,11 @@
-"""Texts to token ids, each distinct chunk and pre-token encoded once while it is remembered.
+"""Texts to token ids, each distinct chunk encoded once while it is remembered.
 
 A chunk is what ASCII white space separates. For a tokenizer that drops white space and normalises
 character by character (its file is checked for that) the ids of a text are those of its chunks, one
-after the other. A chunk of printable ASCII is lower-cased and split here, and its pre-tokens go to the
-file's model one by one; every other chunk goes to the library whole. With any other tokenizer whole texts do.
+after the other. So that few chunks differ, ASCII letters are lower-cased first, unless a combining mark
+might join one of them, and a comma or full stop at the end of a word becomes a chunk of its own. A chunk of
+printable ASCII is split here, and its pre-tokens go to the file's model; every other chunk goes to
+the library whole. With any other tokenizer whole texts do.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ _PRE_TOKENIZERS = [
 
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _NOT_PRINTABLE = re.compile(rb"[^\x21-\x7e]")
+_COMBINING = re.compile(rb"\xcc|\xcd[\x80-\xaf]")  # U+0300 to U+036F, the marks that compose with ASCII letters
+_WORD_END = re.compile(rb"(?<=[a-z0-9])[,.](?=[ \n])")
 
 
 def load(path: str) -> Tokenizer:
@@ -57,31 +61,31 @@ def splits_at_spaces(path: str) -> bool:
 class ChunkIds(dict):
     """Chunk to the number of its entry in ``pool``; entries are made when they are asked for."""
 
-    def __init__(self, path: str, most_chunks: int, most_words: int):
+    def __init__(self, path: str, most_chunks: int):
         super().__init__()
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.most_chunks, self.most_words = most_chunks, most_words
-        self.words: dict[str, list[int]] = {}
+        self.most_chunks = most_chunks
         self.forget()
 
     def forget(self) -> None:
         self.clear()
         self.pool, self.ends = array("I"), array("q", [0])
 
+    def chunks(self, text: bytes) -> list[bytes]:
+        if not _COMBINING.search(text):
+            lower = text.lower()  # A-Z alone
+            if not any(s in lower for s in self.special):
+                text = _WORD_END.sub(rb" \g<0>", lower)
+        return text.split()
+
     def __missing__(self, chunk: bytes) -> int:
         if _NOT_PRINTABLE.search(chunk) or any(s in chunk for s in self.special):
             found = self.tokenizer.encode(chunk.decode("utf-8"), add_special_tokens=False).ids
         else:
-            found = []
-            for word in _ASCII_PIECES.findall(chunk.decode("ascii").lower()):
-                ids = self.words.get(word)
-                if ids is None:
-                    if len(self.words) >= self.most_words:
-                        self.words.clear()
-                    ids = self.words[word] = [t.id for t in self.model.tokenize(word)]
-                found += ids
+            tokenize = self.model.tokenize
+            found = [t.id for word in _ASCII_PIECES.findall(chunk.decode("ascii").lower()) for t in tokenize(word)]
         number = self[chunk] = len(self.ends) - 1
         self.pool.extend(found)
         self.ends.append(len(self.pool))
@@ -98,12 +102,12 @@ class Encoder:
     its worker have met. It is bounded and starts anew beyond that, which changes no id.
     """
 
-    def __init__(self, path: str, most_chunks: int = 700_000, most_words: int = 400_000):
+    def __init__(self, path: str, most_chunks: int = 1_000_000):
         self.by_chunk = splits_at_spaces(path)
         if self.by_chunk:
             if path not in _REMEMBERED:
                 _REMEMBERED.clear()
-                _REMEMBERED[path] = ChunkIds(path, most_chunks, most_words)
+                _REMEMBERED[path] = ChunkIds(path, most_chunks)
             self.known = _REMEMBERED[path]
         else:
             self.tokenizer = load(path)
@@ -115,7 +119,7 @@ class Encoder:
         known = self.known
         if len(known) > known.most_chunks:
             known.forget()
-        chunks = [t.split() for t in texts]
+        chunks = list(map(known.chunks, texts))
         counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
         entry = np.fromiter(map(known.__getitem__, chain.from_iterable(chunks)), np.int64, int(counts.sum()))
         ends = np.frombuffer(known.ends, np.int64)

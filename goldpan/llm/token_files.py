@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from goldpan.llm.common import as_bytes, id_and_text
 from goldpan.llm.encoding import Encoder, load, stretches
-from goldpan.storage import fresh_path, materialize
+from goldpan.storage import fresh_path
 
 _WIDTHS = np.array([0, 1, 2, 4], np.uint8)  # bytes of a value, by its two-bit code
 _BYTE = np.arange(256)
@@ -148,7 +148,9 @@ def write(
     folder = folder or fresh_path(spark, "token-files")
     most = max(load(tokenizer_path).get_vocab_size(with_added_tokens=True), end_id + 1)
     kind = "<u2" if most <= 1 << 16 else "<u4"
-    ids = materialize(_encoded(docs, tokenizer_path, end_id, kind), "ids")
+    encoded, path = _encoded(docs, tokenizer_path, end_id, kind), fresh_path(spark, "ids")
+    encoded.write.option("compression", "zstd").parquet(path)
+    ids = spark.read.schema(encoded.schema).parquet(path)
     # One row for each id of the vocabulary at most.
     counts = _counted(ids, kind, most).toArrow()
     seen, n = counts["id"].to_numpy(), counts["n"].to_numpy()
