@@ -71,6 +71,28 @@ SELECT doc_id, size, source_size, target,
 FROM o
 """
 
+OP12 = r"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS big_n, sum(len(w))::BIGINT AS big_l FROM d),
+q AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+    FROM benchmark),
+tf AS (SELECT r, t, count(*) AS f FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+df AS (SELECT t, count(*) AS n FROM tf GROUP BY t),
+wt AS (SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * n + 1)::DOUBLE))::BIGINT AS weight FROM df, c),
+p AS (
+    SELECT r, tf.t, weight * ((1000000000 * f) // (1000 * f + 20 * (100 - 50 + (50 * len(w) * big_n) // big_l))) AS impact
+    FROM tf JOIN wt USING (t) JOIN d USING (r), c),
+s AS (SELECT item_id, r, sum(impact)::BIGINT AS score FROM q JOIN p USING (t) GROUP BY item_id, r)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM s JOIN d USING (r) WHERE score > 0
+QUALIFY rank <= 50
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op2_decontaminate": OP2, "op4_mix": OP4}
+    return {"op1_exact_dedup": OP1, "op2_decontaminate": OP2, "op4_mix": OP4, "op12_ranked_search": OP12}

@@ -15,6 +15,7 @@ from goldpan.llm import (
     near_dedup,
     personal_data,
     quality,
+    ranked_search,
     substring_dedup,
     token_counts,
     token_files,
@@ -81,6 +82,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -100,6 +105,7 @@ def llm_queries() -> dict[str, Query]:
             op8_substring_dedup,
             op9_toxicity,
             op10_quality,
+            op12_ranked_search,
             op13_token_files,
         )
     }
