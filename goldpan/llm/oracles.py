@@ -71,6 +71,28 @@ SELECT doc_id, size, source_size, target,
 FROM o
 """
 
+OP11 = """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+        list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM (SELECT * FROM e WHERE vec_id % 50 = 0) a, e b),
+p AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same AND id <> anchor_id
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 OP12 = r"""
 WITH d AS (
     SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
@@ -95,4 +117,10 @@ QUALIFY rank <= 50
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op2_decontaminate": OP2, "op4_mix": OP4, "op12_ranked_search": OP12}
+    return {
+        "op1_exact_dedup": OP1,
+        "op2_decontaminate": OP2,
+        "op4_mix": OP4,
+        "op11_hard_negatives": OP11,
+        "op12_ranked_search": OP12,
+    }

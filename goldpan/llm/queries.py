@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from goldpan.llm import (
     decontaminate,
     exact_dedup,
+    hard_negatives,
     mixing,
     near_dedup,
     personal_data,
@@ -82,6 +83,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -105,6 +113,7 @@ def llm_queries() -> dict[str, Query]:
             op8_substring_dedup,
             op9_toxicity,
             op10_quality,
+            op11_hard_negatives,
             op12_ranked_search,
             op13_token_files,
         )
