@@ -5,17 +5,19 @@ window decides how far the window may shift; where the shift is zero, the bucket
 divided by the patterns' first block, names the patterns to compare word by word.
 
 The benchmark is a stated query set. It is split by hash into blocks of about ``block_bytes`` of
-text, whose size is measured first; each block goes to every task and over all documents, so the
-benchmark may grow without any broadcast growing.
+text, whose size is measured first. One block, the usual case, is one pass over the documents. Of more, each is sent,
+searched and taken back before the next one, so neither a broadcast nor what an executor holds grows with the benchmark;
+each costs a pass over the texts, of which only rows with hits are kept, by the place of the row.
 
 Defined results: a null or wordless text has no words and no hits; a wordless item has no window;
 repeated items and rows that share an item id count as one item; a null item id is written as an
-empty string; an empty benchmark finds nothing; repeated documents get a row each.
+empty string; an empty benchmark finds nothing; repeated documents, and different texts under one doc_id, get a row
+each; a very long text is searched whole, by one task; columns that are neither asked for nor named in ``keep`` are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 from math import ceil
 
 from pyspark import Broadcast
@@ -23,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldpan.llm.common import filter_texts, per_document, whole_text
+from goldpan.llm.exact_dedup import LOCATOR, with_locator
+from goldpan.storage import fresh_path, materialize
 
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -93,16 +97,19 @@ def searcher(search: list[WuManber]) -> Callable[[bytes], tuple]:
     return run
 
 
-def sent_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Broadcast]:
-    """Blocks of distinct items (id as text, text), each about ``block_bytes`` long; one block at least."""
+def in_blocks(benchmark: DataFrame, block_bytes: int) -> list[DataFrame]:
+    """Distinct items (id as text, text) in blocks of about ``block_bytes``; one block at least."""
     asked = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), whole_text().alias("text")
     ).distinct()
     size = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, ceil(size / block_bytes))
-    for k in range(blocks):
-        part = asked.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        yield benchmark.sparkSession.sparkContext.broadcast([(r.item, r.text.encode()) for r in part.collect()])
+    return [asked.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k) for k in range(blocks)]
+
+
+def send(block: DataFrame) -> Broadcast:
+    """One block to the executors."""
+    return block.sparkSession.sparkContext.broadcast([(r.item, r.text.encode()) for r in block.collect()])
 
 
 def decontaminate(
@@ -117,34 +124,46 @@ def decontaminate(
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), *keep
     )
     schema = "n_words long, hit array<int>, items array<string>"
-    found, blocks = None, 0
-    for sent in sent_blocks(benchmark, block_bytes):
-        blocks += 1
-        hits = per_document(
-            rows, schema, lambda sent=sent: searcher(tables(sent.value, window)), keep=keep
-        )
-        found = hits if found is None else found.unionByName(hits)
-    if blocks == 1:
-        return found
-    keys = [c for c in found.columns if c not in ("hit", "items")]
-    merged = found.groupBy(*keys).agg(
-        (F.count(F.lit(1)) / blocks).cast("int").alias("copies"),
-        F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+    blocks = in_blocks(benchmark, block_bytes)
+    if len(blocks) == 1:
+        sent = send(blocks[0])
+        return per_document(rows, schema, lambda: searcher(tables(sent.value, window)), keep=keep)
+    placed = with_locator(rows)
+    path = fresh_path(docs.sparkSession, "hits")
+    for block in blocks:
+        sent = send(block)
+        hits = per_document(placed, schema, lambda sent=sent: searcher(tables(sent.value, window)), keep=LOCATOR)
+        hits.filter(F.size("hit") > 0).select(*LOCATOR, "hit", "items").write.mode("append").parquet(path)
+        sent.unpersist()
+    of_row = docs.sparkSession.read.parquet(path).groupBy(*LOCATOR).agg(
+        *(F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("hit", "items"))
     )
-    return merged.select(*keys, "hit", "items", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
+    counted = per_document(placed, "n_words long", lambda: lambda text: (len(words(text)),), keep=(*keep, *LOCATOR))
+    empty = {c: F.coalesce(c, F.array().cast(kind)) for c, kind in (("hit", "array<int>"), ("items", "array<string>"))}
+    return counted.join(of_row, list(LOCATOR), "left").withColumns(empty).select("doc_id", *keep, "n_words", "hit", "items")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 2_000_000) -> DataFrame:
     """The rows without any occurrence of a window, with all their columns."""
-    for sent in sent_blocks(benchmark, block_bytes):
 
-        def make(sent: Broadcast = sent) -> Callable[[bytes], bool]:
+    def without(sent: Broadcast) -> DataFrame:
+        def make() -> Callable[[bytes], bool]:
             search = tables(sent.value, window)
-            return lambda text: not any(True for t in search for _ in t.find(words(text)))
 
-        docs = filter_texts(docs, make)
-    return docs
+            def clean(text: bytes) -> bool:
+                found = words(text)
+                return not any(True for t in search for _ in t.find(found))
+
+            return clean
+
+        return filter_texts(docs, make)
+
+    *blocks, last = in_blocks(benchmark, block_bytes)
+    for block in blocks:
+        sent = send(block)
+        docs = materialize(without(sent), "clean")
+        sent.unpersist()
+    return without(send(last))
 
 
 def report(found: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ _STATE = {
     ),
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
-_LOCATOR = ("locator_file", "locator_row")
+LOCATOR = ("locator_file", "locator_row")
 
 
 @contextmanager
@@ -61,8 +61,8 @@ def with_locator(docs: DataFrame) -> DataFrame:
     def located(frame: DataFrame) -> DataFrame:
         return frame.select(
             "*",
-            F.xxhash64("_metadata.file_path").alias(_LOCATOR[0]),
-            F.col("_metadata.row_index").alias(_LOCATOR[1]),
+            F.xxhash64("_metadata.file_path").alias(LOCATOR[0]),
+            F.col("_metadata.row_index").alias(LOCATOR[1]),
         )
 
     try:
@@ -82,7 +82,7 @@ def digest_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataF
 def update_state(stream: DataFrame, checkpoint: str) -> None:
     """Take all input that is there into the keyed state of ``checkpoint``, then stop."""
     held = stream.groupBy("digest").agg(
-        F.max(F.struct("doc_id", *_LOCATOR)).alias("keeper"), F.count(F.lit(1)).alias("group_size")
+        F.max(F.struct("doc_id", *LOCATOR)).alias("keeper"), F.count(F.lit(1)).alias("group_size")
     )
     with _state_settings(stream.sparkSession):
         (
@@ -137,21 +137,21 @@ def drop_copies(
             F.struct("*").alias("row"),
         )
     )
-    stays = _judge(content.drop("row"), files_per_batch, rows_per_check).filter("kept").select(*_LOCATOR)
-    rows = content.select("row", *_LOCATOR).join(stays.hint("shuffle_hash"), list(_LOCATOR), "left_semi")
+    stays = _judge(content.drop("row"), files_per_batch, rows_per_check).filter("kept").select(*LOCATOR)
+    rows = content.select("row", *LOCATOR).join(stays.hint("shuffle_hash"), list(LOCATOR), "left_semi")
     return rows.select("row.*")
 
 
 def _judge(content: DataFrame, files_per_batch: int, rows_per_check: int) -> DataFrame:
     spark = content.sparkSession
     landed, checkpoint = fresh_path(spark, "digests"), fresh_path(spark, "digest-state")
-    content.select(F.sha2("text", 256).alias("digest"), "doc_id", *_LOCATOR).write.parquet(landed)
+    content.select(F.sha2("text", 256).alias("digest"), "doc_id", *LOCATOR).write.parquet(landed)
     update_state(digest_stream(spark, landed, files_per_batch), checkpoint)
     digests = spark.read.schema("digest string, doc_id long, locator_file long, locator_row long").parquet(landed)
 
     judged = digests.join(read_state(spark, checkpoint), "digest")
-    is_keeper = (F.col("keeper.locator_file") == F.col(_LOCATOR[0])) & (
-        F.col("keeper.locator_row") == F.col(_LOCATOR[1])
+    is_keeper = (F.col("keeper.locator_file") == F.col(LOCATOR[0])) & (
+        F.col("keeper.locator_row") == F.col(LOCATOR[1])
     )
     judged = judged.select(
         "doc_id",
@@ -159,13 +159,13 @@ def _judge(content: DataFrame, files_per_batch: int, rows_per_check: int) -> Dat
         "group_size",
         is_keeper.alias("kept"),
         F.col("digest").alias("text_sha256"),
-        *_LOCATOR,
+        *LOCATOR,
     )
     parts = F.ceil(F.col("group_size") / rows_per_check).cast("int")
     contested = judged.filter("group_size > 1").withColumn(
-        "part", F.pmod(F.xxhash64(*_LOCATOR), F.lit(1_000_003)).cast("int") % parts
+        "part", F.pmod(F.xxhash64(*LOCATOR), F.lit(1_000_003)).cast("int") % parts
     )
-    texts = content.select("text", *_LOCATOR).join(contested.hint("shuffle_hash"), list(_LOCATOR))
+    texts = content.select("text", *LOCATOR).join(contested.hint("shuffle_hash"), list(LOCATOR))
     hits = texts.filter("not kept")
     keepers = texts.filter("kept").select(
         "text_sha256", F.col("text").alias("kept_text"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")
@@ -178,6 +178,6 @@ def _judge(content: DataFrame, files_per_batch: int, rows_per_check: int) -> Dat
         .otherwise(F.raise_error(F.lit("different texts share a digest")).cast("boolean"))
         .alias("kept"),
         "text_sha256",
-        *_LOCATOR,
+        *LOCATOR,
     )
     return judged.filter("kept").unionByName(compared)

@@ -48,6 +48,20 @@ def test_against_brute_force(spark, documents):
     assert clean.count() == found.where("not contaminated").count()
 
 
+def test_blocks_keep_rows_of_one_id_apart(spark, documents):
+    words = [f"w{i}" for i in range(30)]
+    items = [(n, " ".join(words[10 * n : 10 * n + 10])) for n in range(3)]
+    texts = ["none of all these words is in any of the items", items[0][1], f"{items[1][1]} {items[2][1]} {items[0][1]}"]
+    rows = [(i, t, "s") for i in (None, 7) for t in [*texts, *texts, None]]
+    docs, benchmark = documents(rows), spark.createDataFrame(items, "item_id long, text string")
+    expected = sorted(((i, *brute(t, items), s) for i, t, s in rows), key=repr)
+    for block_bytes in (60, 10**6):
+        found = dc.decontaminate(docs, benchmark, block_bytes=block_bytes, keep=("source",))
+        got = [(r.doc_id, r.n_words, len(r.hit), len(r.items), r.source) for r in found.collect()]
+        assert sorted(got, key=repr) == expected
+        assert dc.drop_contaminated(docs, benchmark, block_bytes=block_bytes).count() == 6
+
+
 def test_odd_and_empty(spark, odd, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert dc.report(dc.decontaminate(odd, none)).where("n_hit > 0").isEmpty()
