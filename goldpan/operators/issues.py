@@ -15,19 +15,19 @@ INVALID_QUANTITIES = (0, -1, -2)
 # The kinds of issue; "duplicate" changes nothing by itself, see below.
 ISSUE_KINDS = ("null_sales", "null_product_id", "duplicate", "invalid_discount", "invalid_quantity")
 
-# Draws are multiples of 1 / _PRIME; each uses a factor of its own, so that one says nothing about another.
-_PRIME = 2_147_483_647
+# Draws are multiples of 1 / PRIME; each uses a factor of its own, so that one says nothing about another.
+PRIME = 2_147_483_647
 _FACTORS = {"dirty": 16_807, "kind": 48_271, "choice": 69_621, "copy": 39_373}
 
 
 def row_spread(df: DataFrame) -> Column:
     """A number spread evenly over the rows, from their content alone."""
-    return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(_PRIME))
+    return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(PRIME))
 
 
 def draw(name: str, spread: str = "_spread") -> Column:
-    """A whole number from 0 to ``_PRIME`` - 1 for each row."""
-    return (F.col(spread) % _PRIME * _FACTORS[name]) % _PRIME
+    """A whole number from 0 to ``PRIME`` - 1 for each row."""
+    return (F.col(spread) % PRIME * _FACTORS[name]) % PRIME
 
 
 def introduce_quality_issues(
@@ -44,9 +44,13 @@ def introduce_quality_issues(
     """
     spread = row_spread(df) if spread is None else spread
     numbered = df.withColumn("_spread", spread.cast("bigint"))
-    dirty = draw("dirty") < issue_rate * _PRIME
-    kind = F.floor(draw("kind") * len(ISSUE_KINDS) / _PRIME)
-    choice = F.floor(draw("choice") * len(INVALID_DISCOUNTS) / _PRIME).cast("int") + 1
+    return with_issues(numbered, draw("dirty") < issue_rate * PRIME, draw("copy") < duplicate_rate * PRIME)
+
+
+def with_issues(numbered: DataFrame, dirty: Column, twice: Column) -> DataFrame:
+    """Dirty the rows that ``dirty`` names and land those that ``twice`` names twice; ``_spread`` decides the rest."""
+    kind = F.floor(draw("kind") * len(ISSUE_KINDS) / PRIME)
+    choice = F.floor(draw("choice") * len(INVALID_DISCOUNTS) / PRIME).cast("int") + 1
 
     def has(issue: str) -> Column:
         return dirty & (kind == ISSUE_KINDS.index(issue))
@@ -54,7 +58,7 @@ def introduce_quality_issues(
     def pick(values: tuple) -> Column:
         return F.element_at(F.array(*map(F.lit, values)), choice)
 
-    copies = F.when(draw("copy") < duplicate_rate * _PRIME, 2).otherwise(1)
+    copies = F.when(twice, 2).otherwise(1)
     return (
         numbered.withColumns(
             {

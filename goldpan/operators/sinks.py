@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+# The characters that Spark escapes in the name of a partition's folder.
+_ESCAPED = r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]"""
+
 # What Bronze is partitioned by where batches may land again.
 BATCH_PARTITION = ("ingestion_date", "batch_id")
 
@@ -74,3 +78,20 @@ def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str])
     if named:
         spark.catalog.recoverPartitions(target)
         spark.catalog.refreshTable(target)
+
+
+def replace_one_partition(df: DataFrame, target: str, column: str, value: str) -> None:
+    """Put the rows in place of the one partition, also where there are none left. ``df`` must not read the target."""
+    spark = df.sparkSession
+    if "/" in target:
+        escaped = re.sub(_ESCAPED, lambda m: f"%{ord(m[0]):02X}", value)
+        df.drop(column).write.mode("overwrite").parquet(f"{target}/{column}={escaped}")
+        return
+    if not table_exists(spark, target):
+        create_table(df.limit(0), target, [column])
+    columns = [c for c in spark.table(target).columns if c != column]
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {target} PARTITION ({column} = :value) SELECT {', '.join(f'`{c}`' for c in columns)} FROM {{rows}}",
+        args={"value": value},
+        rows=df,
+    )

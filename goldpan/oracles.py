@@ -441,7 +441,53 @@ dirty AS (
     SELECT * EXCLUDE (twice) FROM once WHERE twice
 )"""
 
+# Rows in the order of the file; three batches, the last one takes what does not divide.
+_EXACT = """
+numbered AS (
+    SELECT *, row_number() OVER () - 1 AS position, (SELECT count(*) FROM lineitem) // 3 AS size FROM lineitem
+),
+parts AS (
+    SELECT *, CAST(least(position // size, 2) + 1 AS INTEGER) AS batch_no, position % 2147483646 + 1 AS x FROM numbered
+),
+squares AS (SELECT *, x * x % 2147483647 AS q, count(*) OVER (PARTITION BY batch_no) AS n FROM parts),
+draws AS (SELECT *, q * q % 2147483647 * x % 2147483647 AS s FROM squares),
+kinds AS (
+    SELECT *,
+           row_number() OVER (PARTITION BY batch_no ORDER BY s * 16807 % 2147483647, position)
+               <= floor(n * 0.05::DOUBLE) AS is_dirty,
+           row_number() OVER (PARTITION BY batch_no ORDER BY s * 39373 % 2147483647, position)
+               <= floor(n * 0.01::DOUBLE) AS twice,
+           ((s * 48271) % 2147483647 * 5) // 2147483647 AS any_kind,
+           ((s * 69621) % 2147483647 * 3) // 2147483647 AS choice
+    FROM draws
+),
+exact_once AS (
+    SELECT CAST(l_orderkey AS VARCHAR) AS "Order ID",
+           CASE WHEN is_dirty AND any_kind = 1 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS "Product ID",
+           CASE WHEN is_dirty AND any_kind = 0 THEN NULL ELSE l_extendedprice END AS "Sales",
+           CASE WHEN is_dirty AND any_kind = 4 THEN CAST(-choice AS INTEGER)
+                ELSE CAST(l_quantity AS INTEGER) END AS "Quantity",
+           CASE WHEN is_dirty AND any_kind = 3 THEN CASE choice WHEN 0 THEN 1.5 WHEN 1 THEN -0.1 ELSE 2.0 END
+                ELSE l_discount END AS "Discount",
+           batch_no, twice
+    FROM kinds
+),
+exact_dirty AS (
+    SELECT * EXCLUDE (twice) FROM exact_once
+    UNION ALL
+    SELECT * EXCLUDE (twice) FROM exact_once WHERE twice
+)"""
+
 _RUNS_AND_TEST_BATCHES = {
+    "silver_upsert": _silver(f"SELECT {_ALL_SILVER} FROM silver"),
+    "land_stream": _bronze(f"SELECT {_ALL_RAW}, source_file, source_system, batch_id FROM bronze"),
+    "split_contiguous": _with(
+        _EXACT,
+        query="""SELECT CAST(l_orderkey AS VARCHAR) AS "Order ID", CAST(l_partkey AS VARCHAR) AS "Product ID",
+                 l_extendedprice AS "Sales", position, batch_no FROM parts""",
+    ),
+    "inject_exact": _with(_EXACT, query="SELECT * FROM exact_dirty"),
+    "generate_contiguous": _with(_EXACT, query="SELECT * FROM exact_dirty"),
     "run_bronze": _bronze("SELECT batch_id, count(*) AS record_count FROM bronze GROUP BY batch_id"),
     "run_silver": _silver(_QUALITY_CHECKS),
     "run_gold": _GOLD_REPORTS["top5_category_region"],

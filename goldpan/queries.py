@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.operators import issues, quality, reports, sinks
+from goldpan.operators import exact_batches, issues, quality, reports, sinks
 from goldpan.operators.bronze import enrich_with_metadata
 from goldpan.operators.gold import (
     create_sales_by_category_region,
@@ -16,8 +16,8 @@ from goldpan.operators.gold import (
     create_top_products,
 )
 from goldpan.operators.silver import drop_incomplete, standardize_without_trim, type_raw_columns
-from goldpan.plans import medallion
-from goldpan.schema import LINEAGE_COLUMNS, NATURAL_KEY, RAW_COLUMNS
+from goldpan.plans import medallion, upsert
+from goldpan.schema import LINEAGE_COLUMNS, NATURAL_KEY, RAW_COLUMNS, SILVER_COLUMNS
 from goldpan.sources import sales_view as view
 from goldpan.sources.csv_batches import (
     FOLDER_NAME,
@@ -28,6 +28,7 @@ from goldpan.sources.csv_batches import (
 )
 from goldpan.sources.files import data_files, files_per_partition, landed_files, partitions
 from goldpan.storage import fresh_path, materialize
+from goldpan.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -598,6 +599,25 @@ def gold_after_batch(spark, sf_dir):
     return lake.read(lake.gold["sales_by_category_region"])
 
 
+@query
+def silver_upsert(spark, sf_dir):
+    """Silver after each batch was upserted by itself, the first batch last."""
+    lake = _lake(spark)
+    for number in (3, 2, 1):
+        sinks.replace_partitions(_batch(spark, sf_dir, number), lake.bronze, sinks.BATCH_PARTITION)
+        upsert.upsert_silver(lake, number)
+    return lake.read(lake.silver).select(*SILVER_COLUMNS)
+
+
+@query
+def land_stream(spark, sf_dir):
+    """Bronze after all batches were landed by a stream, one file at a time."""
+    lake, folder = _lake(spark), _landed_batches(spark, sf_dir)
+    landing.land_stream(lake, folder, fresh_path(spark, "landing-checkpoint"), files_per_batch=1)
+    landed = type_raw_columns(lake.read(lake.bronze))
+    return landed.select(*RAW_COLUMNS, "source_file", "source_system", "batch_id")
+
+
 _CLEAN_COLUMNS = ("Order ID", "Product ID", "Sales", "Quantity", "Discount")
 
 
@@ -649,3 +669,37 @@ def generate_batches(spark, sf_dir):
         for number, path in enumerate(_batch_paths(folder), start=1)
     ]
     return type_raw_columns(reduce(DataFrame.unionByName, rows))
+
+
+def _in_file_order(spark, sf_dir) -> DataFrame:
+    return view.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("Order ID"),
+        F.col("l_partkey").cast("string").alias("Product ID"),
+        F.col("l_extendedprice").alias("Sales"),
+        F.col("l_quantity").cast("int").alias("Quantity"),
+        F.col("l_discount").alias("Discount"),
+    )
+
+
+@query
+def split_contiguous(spark, sf_dir):
+    rows, _ = exact_batches.split_contiguous(_in_file_order(spark, sf_dir))
+    return rows.select("Order ID", "Product ID", "Sales", "position", "batch_no")
+
+
+@query
+def inject_exact(spark, sf_dir):
+    dirty = exact_batches.introduce_exact_issues(*exact_batches.split_contiguous(_in_file_order(spark, sf_dir)))
+    return dirty.drop("position")
+
+
+@query
+def generate_contiguous(spark, sf_dir):
+    """Contiguous dirtied batches written as CSV and read back, each with its batch."""
+    folder = fresh_path(spark, "generated")
+    exact_batches.generate_contiguous_batches(_in_file_order(spark, sf_dir), folder, columns=_CLEAN_COLUMNS)
+    rows = [
+        read_sales_csv(spark, path).select("*", F.lit(number).alias("batch_no"))
+        for number, path in enumerate(_batch_paths(folder), start=1)
+    ]
+    return type_raw_columns(reduce(DataFrame.unionByName, rows))

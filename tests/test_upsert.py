@@ -1,0 +1,144 @@
+"""Silver by upserts against a full refresh."""
+
+from datetime import datetime, timezone
+from itertools import permutations
+
+import pytest
+from pyspark.sql import functions as F
+
+from goldpan.operators import sinks
+from goldpan.operators.silver import transform_to_silver
+from goldpan.plans import medallion, upsert
+from goldpan.schema import LINEAGE_COLUMNS, RAW_COLUMNS
+from tests.compare import spark_bag
+
+# Order, product, sales of three batches; keys come back, also within a batch and with a missing value.
+BATCHES = {
+    1: [("o1", "p1", "10"), ("o1", "p1", "9"), ("o2", "p1", None), ("o3", "p3", "7"), ("o4", None, "1")],
+    2: [("o1", "p1", "1"), ("o2", "p1", "5"), ("o5", "p5", "3")],
+    3: [("o2", "p1", "4"), ("o3", "p3", "2")],
+}
+
+
+def land(lake, number, rows, day=None):
+    values = [
+        (*(dict(zip(("Order ID", "Product ID", "Sales"), r, strict=True)).get(c) for c in RAW_COLUMNS),) for r in rows
+    ]
+    raw = lake.spark.createDataFrame(values, ", ".join(f"`{c}` string" for c in RAW_COLUMNS))
+    arrival = F.lit(datetime(2024, 1, day or number, tzinfo=timezone.utc))
+    lineage = (F.to_date(arrival), arrival, F.lit(f"f{number}"), F.lit("s"), F.lit(f"batch_{number}"))
+    batch = raw.select("*", *(c.alias(n) for c, n in zip(lineage, LINEAGE_COLUMNS, strict=True)))
+    sinks.replace_partitions(batch, lake.bronze, sinks.BATCH_PARTITION)
+
+
+def same_as_refresh(lake):
+    stored = lake.read(lake.silver)
+    full = transform_to_silver(lake.read(lake.bronze))
+    assert spark_bag(stored.select(full.columns)) == spark_bag(full)
+
+
+@pytest.mark.parametrize("order", list(permutations((1, 2, 3))))
+def test_any_order_equals_a_full_refresh(spark, tmp_path, order):
+    lake = medallion.Medallion(spark, str(tmp_path))
+    for number in order:
+        land(lake, number, BATCHES[number])
+        upsert.upsert_silver(lake, number)
+        same_as_refresh(lake)
+
+
+def test_a_repeated_upsert_changes_nothing(spark, tmp_path):
+    lake = medallion.Medallion(spark, str(tmp_path))
+    for number in (3, 1, 1, 2, 3):
+        land(lake, number, BATCHES[number])
+        upsert.upsert_silver(lake, number)
+    before = spark_bag(lake.read(upsert.index_of(lake)))
+    for number in (2, 1, 3):
+        upsert.upsert_silver(lake, number)
+    assert spark_bag(lake.read(upsert.index_of(lake))) == before
+    same_as_refresh(lake)
+
+
+def test_a_batch_that_loses_all_its_keys_leaves_no_rows(spark, tmp_path):
+    lake = medallion.Medallion(spark, str(tmp_path))
+    land(lake, 2, BATCHES[1], day=9)
+    upsert.upsert_silver(lake, 2)
+    land(lake, 1, BATCHES[1], day=1)
+    assert upsert.upsert_silver(lake, 1) == ["batch_1", "batch_2"]
+    same_as_refresh(lake)
+    assert [r[0] for r in lake.read(lake.silver).select("batch_id").distinct().collect()] == ["batch_1"]
+
+
+@pytest.mark.parametrize("writes", [0, 1])
+def test_an_upsert_that_failed_can_be_repeated(spark, tmp_path, monkeypatch, writes):
+    lake = medallion.Medallion(spark, str(tmp_path))
+    for number in (2, 3):
+        land(lake, number, BATCHES[number])
+        upsert.upsert_silver(lake, number)
+    land(lake, 1, BATCHES[1])
+    plain, done = upsert._write_owned, []
+
+    def failing(*args):
+        if len(done) == writes:
+            raise RuntimeError("executor lost")
+        done.append(plain(*args))
+
+    monkeypatch.setattr(upsert, "_write_owned", failing)
+    with pytest.raises(RuntimeError):
+        upsert.upsert_silver(lake, 1)
+    monkeypatch.setattr(upsert, "_write_owned", plain)
+    upsert.upsert_silver(lake, 1)
+    same_as_refresh(lake)
+
+
+def test_only_touched_buckets_of_the_index_are_read(spark, tmp_path):
+    lake = medallion.Medallion(spark, str(tmp_path))
+    land(lake, 1, [(f"o{i}", "p", "1") for i in range(300)])
+    upsert.upsert_silver(lake, 1)
+    index = lake.read(upsert.index_of(lake))
+    keys = spark.createDataFrame([("o7", "p"), ("new", "p")], "order_id string, product_id string")
+    found = upsert.touched(index, keys.select("*", upsert._bucket(upsert.BUCKETS)))
+    assert {r.key_bucket for r in found.collect()} <= {r.key_bucket for r in keys.select(upsert._bucket(upsert.BUCKETS)).collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "key_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [r[0] for r in found.where("order_id = 'o7'").select("batch_id").collect()] == ["batch_1"]
+
+
+def test_upserts_go_on_from_a_full_refresh(spark, tmp_path):
+    lake = medallion.Medallion(spark, str(tmp_path))
+    for number in (1, 3):
+        land(lake, number, BATCHES[number])
+    medallion.run_silver(lake)
+    upsert.rebuild_index(lake)
+    land(lake, 2, BATCHES[2])
+    upsert.upsert_silver(lake, 2)
+    same_as_refresh(lake)
+
+
+def test_an_empty_batch(spark, tmp_path):
+    lake = medallion.Medallion(spark, str(tmp_path))
+    land(lake, 1, [("o1", None, "1")])
+    land(lake, 2, BATCHES[2])
+    for number in (1, 2):
+        upsert.upsert_silver(lake, number)
+    same_as_refresh(lake)
+
+
+def test_tables_of_the_catalog(spark):
+    lake = medallion.Medallion(spark, "upsert_test")
+    names = (lake.bronze, lake.silver, upsert.index_of(lake))
+    try:
+        for number in (2, 1, 3):
+            land(lake, number, BATCHES[number])
+            upsert.upsert_silver(lake, number)
+        same_as_refresh(lake)
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_partition_names_are_escaped_as_spark_does(spark, tmp_path):
+    target = str(tmp_path / "t")
+    value = "a=b/c:d%e'f[g]"
+    sinks.create_table(spark.createDataFrame([(1, value), (2, "x")], "n int, k string"), target, ["k"])
+    sinks.replace_one_partition(spark.createDataFrame([(3, value)], "n int, k string"), target, "k", value)
+    assert sorted(tuple(r) for r in sinks.read_table(spark, target).select("n", "k").collect()) == [(2, "x"), (3, value)]
