@@ -1,26 +1,35 @@
 """Toxic passages by maximum-scoring segments of token log-odds.
 
-A word stands for itself and for its beginnings, so that a family of words is learnt as one. These
-features are hashed into ``BUCKETS`` buckets, so the model has one size whatever the corpus. A bucket's score
-is the log-odds of toxic against clean documents under a Dirichlet prior from the counts of the
+A word stands for itself and for its beginnings, so that a family of words is learnt as one. Features that ``LEAST``
+toxic documents of the sample hold are candidates; they are counted by themselves over the whole corpus, and words without any
+as the rest. A candidate's score is the log-odds of toxic against clean documents under a Dirichlet prior from the counts of the
 whole corpus; a word scores as its most telling feature. A penalty per token makes clean text drift downwards. One linear scan over a document
 finds all maximal segments with a positive sum. Under clean text the best sum of n tokens follows
 an extreme-value law, S - ln(n)/lambda being Gumbel, and the number of segments above a sum is Poisson; the law is
-fitted on clean labelled documents. For every r it gives the chance of r segments as large as the r best; the smallest
+fitted on the segments of clean labelled documents. For every r it gives the chance of r segments as large as the r best; the smallest
 of these, corrected for the choice of r, is the p-value of the document, so that several moderate passages count together.
 The p-value that best divides the labelled documents is the score 0.5.
 
-Labels come from a sample bounded by ``most_per_class``; corpus counts come from all documents.
+The sample is dealt into folds by the smallest hash of its shingles, so that near copies mostly share a fold. A score is the
+smallest of those that leave one fold out: words of one group of copies prove nothing.
+Law and cut come from documents whose labels did not make the scores: each fold is scored by the counts of the others. The law leaves out the clean documents with the largest sums: a few of them, where one word
+comes hundreds of times, would otherwise decide it.
 
-Defined results: a null, empty or wordless text has no segment, p-value 1 and the lowest score;
-without labels of both classes every score is that of a p-value against the default of 0.001;
-repeated rows get a row each; an empty table gives an empty result.
+Labels come from a sample bounded by ``most_per_class``, in which a text counts once however often it comes; the candidates
+are bounded by the texts of its toxic half, and nothing else reaches the driver. Corpus counts come from all documents.
+
+Defined results: a null, empty or wordless text has no segment, p-value 1 and the lowest score; a very long text is
+scored whole, in one pass; without enough labels of both classes every score is that of a p-value against the
+default of 0.001; labels without an id or other than 0 and 1 are not used; repeated rows get a row each; an empty
+table gives an empty result; columns that are not asked for, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -32,18 +41,26 @@ from pyspark.sql import functions as F
 from goldpan.llm.common import as_bytes, filter_texts, id_and_text, per_document
 from goldpan.llm.decontaminate import words
 from goldpan.llm.labelled import sample, texts_of
+from goldpan.llm.near_dedup import Shingles
+from goldpan.storage import materialize
 
-BUCKETS = 1 << 19
 BEGINNINGS = range(3, 9)  # letters; only where the word goes on
+LEAST = 5
 PRIOR_WORDS = 20_000.0  # strength of the corpus prior, in words
 SIGNIFICANT = 0.001
 ERRORS = 2.5
+FOLDS = 8
+PSEUDO = 20
+GRID = np.arange(0.0, 64.0, 0.125)  # sums at which segments are counted
+TRIMMED = 0.05  # of the clean documents, those with the largest sums
+MOST_STEP = 0.5  # from the last p-value within the cut, in logs
 
 
-def buckets_of(word: bytes) -> tuple[int, ...]:
+def features_of(word: bytes) -> tuple[int, ...]:
+    """64-bit hashes of the word and of its beginnings."""
     letters = word.decode("utf-8", "replace")
     begins = (b"+" + letters[:k].encode("utf-8", "replace") for k in BEGINNINGS if k < len(letters))
-    return tuple(xxhash.xxh3_64_intdigest(f) % BUCKETS for f in (word, *begins))
+    return tuple(xxhash.xxh3_64_intdigest(f) - (1 << 63) for f in (word, *begins))
 
 
 class Remembered(dict):
@@ -60,51 +77,96 @@ class Remembered(dict):
         return value
 
 
-def scorer(scores: np.ndarray) -> Callable[[list[bytes]], np.ndarray]:
+@dataclass
+class Scores:
+    """Scores of the candidates, and of every word without one."""
+
+    features: np.ndarray
+    values: np.ndarray
+    rest: float
+
+
+def scorer(scores: Scores) -> Callable[[list[bytes]], np.ndarray]:
     """Tokens to their scores: the largest among a word's features."""
-    known = Remembered(lambda w: max(map(scores.__getitem__, buckets_of(w))))
+    table, rest = dict(zip(scores.features.tolist(), scores.values.tolist(), strict=True)), scores.rest
+    known = Remembered(lambda w: max(table.get(f, rest) for f in features_of(w)))
     return lambda tokens: np.fromiter(map(known.__getitem__, tokens), np.float64, len(tokens))
 
 
-def bucket_counts(rows: DataFrame) -> DataFrame:
-    """bucket, n_all, n_toxic, n_clean: in how many documents; label is null where there is none.
+def candidates(texts: DataFrame) -> np.ndarray:
+    """Features, in order, that at least ``LEAST`` toxic texts of the sample hold."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = Remembered(features_of), Counter()
+        for batch in batches:
+            for text in as_bytes(batch.column("text")):
+                counts.update(set(chain.from_iterable(map(known.__getitem__, set(words(text))))))
+                if len(counts) > 500_000:
+                    yield pa.RecordBatch.from_pydict({"feature": list(counts), "n": list(counts.values())})
+                    counts.clear()
+        yield pa.RecordBatch.from_pydict({"feature": pa.array(list(counts), pa.int64()), "n": pa.array(list(counts.values()), pa.int64())})
+
+    toxic = texts.filter("label = 1").select(F.encode("text", "UTF-8").alias("text"))
+    counted = toxic.mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    return np.sort(counted.filter(F.col("n") >= LEAST).select("feature").toArrow()["feature"].to_numpy())
+
 
-    Documents, not occurrences: a word that one document repeats is no evidence beyond it.
+def feature_counts(rows: DataFrame, features: np.ndarray) -> DataFrame:
+    """place, n_all, and for each fold n_clean and n_toxic: in how many documents the feature at that place is.
+
+    ``rows`` have a text and, where they are in the sample, a label and the fold. Documents count, not
+    occurrences: a word that one document repeats is no evidence beyond it. The last place counts words without a feature.
     """
+    names = ["place", "n_all", *(f"{kind}_{fold}" for fold in range(FOLDS) for kind in ("n_clean", "n_toxic"))]
+    sent = rows.sparkSession.sparkContext.broadcast(features)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Remembered(buckets_of)
-        counts = np.zeros((3, BUCKETS), np.int64)
+        place = {f: i for i, f in enumerate(sent.value.tolist())}
+        known = Remembered(lambda w: tuple(place[f] for f in features_of(w) if f in place))
+        counts = np.zeros((1 + 2 * FOLDS, len(place) + 1), np.int32)
         for batch in batches:
-            for label, text in zip(batch.column("label").to_pylist(), as_bytes(batch.column("text")), strict=True):
-                b = np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, set(words(text)))), np.int64))
-                counts[0, b] += 1
-                if label is not None:
-                    counts[2 - label, b] += 1
-        found = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found), *(pa.array(counts[i, found]) for i in range(3))], ["bucket", "n_all", "n_toxic", "n_clean"]
-        )
-
-    parts = rows.select("label", F.encode("text", "UTF-8").alias("text")).mapInArrow(
-        run, "bucket long, n_all long, n_toxic long, n_clean long"
+            columns = (batch.column("label").to_pylist(), batch.column("fold").to_pylist(), as_bytes(batch.column("text")))
+            for label, fold, text in zip(*columns, strict=True):
+                found = [known[w] for w in set(words(text))]
+                at = np.unique(np.fromiter(chain.from_iterable(found), np.int64))
+                rest = found.count(())
+                for k in (0,) if label is None else (0, 1 + 2 * fold + label):
+                    counts[k, at] += 1
+                    counts[k, -1] += rest
+        seen = np.flatnonzero(counts[0])
+        yield pa.RecordBatch.from_arrays([pa.array(seen), *(pa.array(c[seen].astype(np.int64)) for c in counts)], names)
+
+    parts = rows.select("label", "fold", F.encode("text", "UTF-8").alias("text")).mapInArrow(
+        run, ", ".join(f"{n} long" for n in names)
     )
-    return parts.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_clean")))
+    return parts.groupBy("place").agg(*(F.sum(c).alias(c) for c in names[1:]))
 
 
 def log_odds(n_all: np.ndarray, n_toxic: np.ndarray, n_clean: np.ndarray) -> np.ndarray:
-    """Log-odds a bucket, with the corpus as prior, less a penalty that makes clean text drift down.
+    """Log-odds a feature, with the corpus as prior.
 
     Each is drawn towards zero by ``ERRORS`` of its standard error, so a word seen in a few documents says nothing.
     """
-    prior = (n_all + 0.01) / (n_all.sum() + 0.01 * BUCKETS) * PRIOR_WORDS
+    prior = (n_all + 0.01) / (n_all + 0.01).sum() * PRIOR_WORDS
     toxic, clean = n_toxic + prior, n_clean + prior
-    odds = np.log(toxic / (toxic.sum() - toxic)) - np.log(clean / (clean.sum() - clean))
-    odds = np.sign(odds) * np.maximum(np.abs(odds) - ERRORS * np.sqrt(1 / toxic + 1 / clean), 0)
-    share = clean / clean.sum()
+    odds = np.log(toxic / (toxic.sum() - toxic + 1)) - np.log(clean / (clean.sum() - clean + 1))
+    return np.sign(odds) * np.maximum(np.abs(odds) - ERRORS * np.sqrt(1 / toxic + 1 / clean), 0)
+
+
+def agreed(features: np.ndarray, n_all: np.ndarray, n_toxic: np.ndarray, n_clean: np.ndarray, folds: list[int]) -> Scores:
+    """Scores by some of the folds (rows of the counts): the smallest that leaving one of them out gives.
+
+    A penalty goes off, so that clean text drifts down.
+    """
+    kept = [[g for g in folds if g != f] for f in folds]
+    odds = np.min([log_odds(n_all, n_toxic[k].sum(axis=0), n_clean[k].sum(axis=0)) for k in kept], axis=0)
+    odds[-1] = 0.0  # the rest says nothing
+    share = n_clean[folds].sum(axis=0) + 1e-9
+    share = share / share.sum()
     mean = float((share * odds).sum())
     spread = float(np.sqrt((share * (odds - mean) ** 2).sum()))
-    return odds - mean - 0.5 * spread - 0.05
+    odds = odds - mean - 0.5 * spread - 0.05
+    return Scores(features, odds[:-1], float(odds[-1]))
 
 
 def best_sum(scores: np.ndarray) -> float:
@@ -141,7 +203,7 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 @dataclass
 class Model:
-    scores: np.ndarray
+    scores: Scores
     rate: float = 1.0
     place: float = 0.0
     cut: float = SIGNIFICANT
@@ -173,20 +235,22 @@ class Model:
         return min(0.0, float((tail + np.log(r * (r + 1.0))).min()))
 
 
-def _law(scores: np.ndarray, best: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> Model | None:
-    """The law of the best sums of clean documents; None where labels do not suffice."""
+def _law(scores: Scores, n: np.ndarray, over: np.ndarray) -> Model:
+    """The law of segments from clean documents of ``n`` tokens; ``over``: their segments above each sum of ``GRID``.
+
+    Above a sum s, n tokens have n * K * exp(-rate * s) segments: the excess over the median sum is exponential. ``PSEUDO``
+    segments with the mean positive score as their excess are added, so that a few segments give a law, too.
+    """
+    best = (over > 0).sum(axis=1)
+    kept = best <= np.quantile(best, 1 - TRIMMED)
+    tokens, total = n[kept].sum(), over[kept].sum(axis=0)
+    low = int(np.flatnonzero(total >= total[0] / 2)[-1]) if total[0] else 0
+    positive = scores.values[scores.values > 0]
+    usual = float(positive.mean()) if len(positive) else 1.0
+    excess = float(total[low + 1 :].sum() * (GRID[1] - GRID[0])) + PSEUDO * usual
     model = Model(scores)
-    seen = n > 0
-    best, n, toxic = best[seen], n[seen], toxic[seen]
-    clean = best[~toxic]
-    if len(clean) < 20 or not toxic.any():
-        return None
-    # Moments of a Gumbel law whose place moves with ln n: var(S) = pi^2 / (6 rate^2) of the residuals.
-    log_n = np.log(n[~toxic])
-    slope = np.cov(clean, log_n)[0, 1] / max(log_n.var(), 1e-9) if log_n.var() > 0 else 0.0
-    rest = clean - slope * log_n
-    model.rate = float(np.pi / np.sqrt(6) / max(rest.std(), 1e-6))
-    model.place = float((clean - log_n / model.rate).mean() - 0.5772156649 / model.rate)
+    model.rate = (total[low] + PSEUDO) / excess
+    model.place = float(GRID[low] + np.log((total[low] + 1) / tokens) / model.rate)
     return model
 
 
@@ -196,52 +260,93 @@ def _cut(p: np.ndarray, toxic: np.ndarray, per_toxic: float) -> float:
     caught = np.cumsum(toxic[order]) / toxic.sum()
     wrong = np.cumsum(~toxic[order]) / (~toxic).sum() * per_toxic
     at = int(np.argmax(caught / (1 + caught + wrong)))  # half the F1
+    last = p[order][at]
     after = p[order][at + 1] if at + 1 < len(p) else 0.0
-    # Half way, in logs, between the last toxic document and what follows.
-    return float(np.exp(max(-600.0, (p[order][at] + after) / 2)))
+    # Towards what follows the last document within, half way in logs, but not far.
+    return float(np.exp(max(-600.0, last + min((after - last) / 2, MOST_STEP))))
+
+
+def _segment_counts(scores: Scores) -> Callable[[bytes], tuple]:
+    scored = scorer(scores)
+
+    def run(text: bytes) -> tuple:
+        tokens = words(text)
+        sums = np.array([total for _, _, total in segments(scored(tokens))])
+        return len(tokens), np.histogram(sums, [*GRID, np.inf])[0][::-1].cumsum()[::-1].tolist()
+
+    return run
 
 
-def _scan(model: Model) -> Callable[[bytes], tuple]:
+def _log_p(model: Model) -> Callable[[bytes], tuple]:
     scored = scorer(model.scores)
 
     def run(text: bytes) -> tuple:
         tokens = words(text)
         sums = [total for _, _, total in segments(scored(tokens))]
-        return len(tokens), max(sums, default=0.0), model.log_p_of_all(sums, len(tokens))
+        return len(tokens), model.log_p_of_all(sums, len(tokens))
 
     return run
 
 
+def _labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most_per_class: int) -> DataFrame:
+    """doc_id, label, fold and text, each text once: under its smallest id, with its largest label."""
+    texts = texts_of(docs, sample(labels, "toxic", learn, most_per_class))
+    once = texts.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("label").alias("label"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles()
+        for batch in batches:
+            folds = [int(shingles(t).min(initial=2**64 - 1)) % FOLDS for t in as_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(folds, pa.int32())], ["doc_id", "label", "text", "fold"])
+
+    dealt = once.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, text string, fold int")
+    return materialize(dealt, "labelled")
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, most_per_class: int = 10_000) -> Model:
     """Counts over all documents; labels from a bounded sample of those that ``learn`` allows."""
-    chosen = sample(labels, "toxic", learn, most_per_class)
-    rows = id_and_text(docs).join(F.broadcast(chosen), "doc_id", "left")
-    counted = bucket_counts(rows).toArrow()  # at most BUCKETS rows, as columns
-    counts = np.zeros((3, BUCKETS))
-    bucket = counted["bucket"].to_numpy()
-    for i, c in enumerate(("n_all", "n_toxic", "n_clean")):
-        counts[i, bucket] = counted[c].to_numpy()
-    chosen_texts = texts_of(docs, chosen)
-
-    def scanned(model: Model) -> pa.Table:
-        sent = docs.sparkSession.sparkContext.broadcast(model)
-        rows = per_document(chosen_texts, "n long, best double, log_p double", lambda: _scan(sent.value), keep=("label",))
-        return rows.drop("doc_id").toArrow()  # the sample
-
-    scores = log_odds(*counts)
-    first = scanned(Model(scores))
-    model = _law(
-        scores, first["best"].to_numpy(), first["n"].to_numpy().astype(float), first["label"].to_numpy() == 1
-    )
-    if model is None:
-        return Model(scores)
+    texts = _labelled_sample(docs, labels, learn, most_per_class)
+    features = candidates(texts)
+    if not len(features):
+        return Model(Scores(features, np.empty(0), -0.05))
+    rows = id_and_text(docs).join(F.broadcast(texts.select("doc_id", "label", "fold")), "doc_id", "left")
+    counted = feature_counts(rows, features).toArrow()  # a row for each candidate, as columns
+    place = counted["place"].to_numpy()
+
+    def counts(name: str) -> np.ndarray:
+        out = np.zeros(len(features) + 1)
+        out[place] = counted[name].to_numpy()
+        return out
+
+    n_all = counts("n_all")
+    n_toxic, n_clean = (np.array([counts(f"{kind}_{f}") for f in range(FOLDS)]) for kind in ("n_toxic", "n_clean"))
+
+    def scores(folds: list[int]) -> Scores:
+        return agreed(features, n_all, n_toxic, n_clean, folds)
+
+    def scanned(schema: str, models: list, scan: Callable) -> pa.Table:
+        """Each fold of the sample by the scores of the others."""
+        parts = []
+        for fold, model in enumerate(models):
+            sent = docs.sparkSession.sparkContext.broadcast(model)
+            mine = texts.filter(F.col("fold") == fold)
+            parts.append(per_document(mine, schema, lambda sent=sent: scan(sent.value), keep=("label",)).drop("doc_id"))
+        return reduce(DataFrame.unionByName, parts).filter("n > 0").toArrow()  # the sample
+
+    whole = scores(list(range(FOLDS)))
+    apart = [scores([f for f in range(FOLDS) if f != fold]) for fold in range(FOLDS)]
+    found = scanned("n long, over array<long>", apart, _segment_counts)
+    toxic = found["label"].to_numpy() == 1
+    if (~toxic).sum() < 20 or not toxic.any():
+        return Model(whole)
+    over = found["over"].combine_chunks().flatten().to_numpy().reshape(-1, len(GRID))
+    law = _law(whole, found["n"].to_numpy()[~toxic], over[~toxic])
+    again = scanned("n long, log_p double", [replace(law, scores=s) for s in apart], _log_p)
     shares = dict(labels.filter(learn & F.col("toxic").isin(0, 1)).groupBy("toxic").count().collect())
-    again = scanned(model)
-    seen = again["n"].to_numpy() > 0
-    model.cut = _cut(
-        again["log_p"].to_numpy()[seen], again["label"].to_numpy()[seen] == 1, shares.get(0, 0) / max(1, shares.get(1, 0))
+    law.cut = _cut(
+        again["log_p"].to_numpy(), again["label"].to_numpy() == 1, shares.get(0, 0) / max(1, shares.get(1, 0))
     )
-    return model
+    return law
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:

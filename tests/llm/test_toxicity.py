@@ -76,6 +76,53 @@ def test_odd_and_empty(spark, odd, empty, data):
     assert tx.drop_toxic(odd, model).columns == odd.columns
 
 
+def test_the_dropped_share_does_not_depend_on_the_size(data):
+    docs, labels = data
+    shares = []
+    for part in (docs, docs.where("doc_id % 3 = 0")):
+        kept = tx.drop_toxic(part, tx.fit(part, labels, F.lit(True))).count()
+        shares.append(1 - kept / part.count())
+    toxic = labels.where("toxic = 1").count() / labels.where("toxic is not null").count()
+    assert all(abs(s - toxic) < 0.03 for s in shares), (shares, toxic)
+
+
+def test_words_of_one_group_of_copies_prove_nothing():
+    """Forty toxic documents of one fold share a word; ten of each fold share another."""
+    folds = list(range(tx.FOLDS))
+    n_all = np.array([100.0, 500.0, 1_000_000.0])
+    n_toxic, n_clean = np.zeros((tx.FOLDS, 3)), np.zeros((tx.FOLDS, 3))
+    n_toxic[0, 0], n_toxic[:, 1], n_toxic[:, 2], n_clean[:, 2] = 40, 10, 4_000, 40_000
+    scores = tx.agreed(np.array([1, 2]), n_all, n_toxic, n_clean, folds)
+    assert scores.values[0] <= scores.rest < 0 < scores.values[1]
+
+
+def test_p_values_against_simulation():
+    """Sums of an exponential law, a Poisson number of them: p-values are hardly ever smaller than they say."""
+    draw = np.random.default_rng(6)
+    model = tx.Model(tx.Scores(np.empty(0), np.empty(0), -1.0), rate=0.8, place=-1.0)
+    found = []
+    for _ in range(20_000):
+        n = int(draw.integers(20, 400))
+        count = draw.poisson(n * np.exp(0.8 * -1.0))
+        found.append(model.log_p_of_all(draw.exponential(1 / 0.8, count).tolist(), n))
+    for p in (0.2, 0.05, 0.01, 0.002):
+        share = float(np.mean(np.array(found) <= np.log(p)))
+        assert 0.1 * p < share <= 1.1 * p
+
+
+def test_the_law_is_found_again():
+    draw = np.random.default_rng(7)
+    n = draw.integers(50, 500, 4_000)
+    over = np.zeros((len(n), len(tx.GRID)))
+    for i, tokens in enumerate(n):
+        sums = draw.exponential(0.5, draw.poisson(tokens * 0.01))
+        over[i] = (sums[:, None] > tx.GRID).sum(axis=0)
+    over[:40] += 400  # a few documents that one word fills
+    law = tx._law(tx.Scores(np.array([1]), np.array([2.0]), -1.0), n, over)
+    # Leaving the largest out makes it a little steeper.
+    assert 1.9 < law.rate < 2.8 and 0.008 < np.exp(law.rate * law.place) < 0.02
+
+
 def test_dropped_are_those_that_score(data):
     docs, labels = data
     part = docs.where("doc_id < 2000")
@@ -85,9 +132,8 @@ def test_dropped_are_those_that_score(data):
 
 def test_moderate_passages_count_together(documents):
     """Passages none of which is significant alone make a document toxic."""
-    scores = np.full(tx.BUCKETS, -1.0)
-    scores[list(tx.buckets_of(b"vile"))] = 2.0
-    model = tx.Model(scores, cut=0.001)
+    vile = np.sort(np.array(tx.features_of(b"vile")))
+    model = tx.Model(tx.Scores(vile, np.full(len(vile), 2.0), -1.0), cut=0.001)
     clean, passage = "good " * 30, "vile vile vile vile "
     rows = [(1, clean * 10 + passage, "s"), (2, (clean + passage) * 10, "s")]
     found = {r.doc_id: r for r in tx.score(documents(rows), model).collect()}
