@@ -268,7 +268,7 @@ def _law(scores: Scores, n: np.ndarray, over: np.ndarray) -> Model:
     low = int(np.flatnonzero(total >= total[0] / 2)[-1]) if total[0] else 0
     positive = scores.values[scores.values > 0]
     usual = float(positive.mean()) if len(positive) else 1.0
-    excess = float(total[low + 1 :].sum() * (GRID[1] - GRID[0])) + PSEUDO * usual
+    excess = float((total[low] / 2 + total[low + 1 :].sum()) * (GRID[1] - GRID[0])) + PSEUDO * usual
     model = Model(scores)
     model.rate = (total[low] + PSEUDO) / excess
     model.place = float(GRID[low] + np.log((total[low] + 1) / tokens) / model.rate)
