@@ -2,6 +2,11 @@
 
 ``run`` writes what a stage returns to the folder all executors share and reads it back for the next,
 so a lost executor repeats no earlier stage.
+
+Defined results: a null text is empty, scores as clean, is a copy of other empty texts, has no shingles and no words, and is
+taken by the mix without adding any; very long texts go through every stage whole; among equal texts the largest doc_id
+stays, among near copies the smallest; rows that agree in text and id are one; a null source is a source; an empty table
+gives an empty result; further columns, whatever their names, pass through all stages but the last.
 """
 
 from __future__ import annotations
