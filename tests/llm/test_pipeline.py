@@ -23,7 +23,7 @@ def test_queries_are_the_thirteen():
 @pytest.mark.parametrize("name", sorted(llm_oracles()))
 def test_same_rows_as_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark", "labels", "pages"):
+    for table in ("documents", "benchmark", "embeddings", "labels", "pages"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     result = llm_queries()[name](spark, SF_DIR)
     assert spark_types(result) == duck_types(connection, llm_oracles()[name])
