@@ -40,6 +40,23 @@ def unreadable_counts(bronze: DataFrame) -> DataFrame:
     return bronze.agg(*counters, F.count("*").alias("total_records"))
 
 
+def silver_projection(
+    bronze: DataFrame,
+    columns: Sequence[str] = SILVER_COLUMNS,
+    trim_text: bool = True,
+) -> list[Column]:
+    """Raw headers to Silver names and types, as columns over Bronze."""
+    projected = []
+    for spec in BUSINESS_COLUMNS:
+        if spec.name not in columns:
+            continue
+        value = _typed(bronze, spec.raw, spec.type)
+        if trim_text and spec.trimmed:
+            value = F.trim(value)
+        projected.append(value.alias(spec.name))
+    return [*projected, *(F.col(c) for c in LINEAGE_COLUMNS if c in columns)]
+
+
 def standardize_sales_columns(
     bronze: DataFrame,
     columns: Sequence[str] = SILVER_COLUMNS,
@@ -50,15 +67,20 @@ def standardize_sales_columns(
     A number that cannot be read becomes NULL rather than failing the job, and the filter on
     critical columns then drops the row if it matters.
     """
-    projected = []
+    return bronze.select(*silver_projection(bronze, columns, trim_text))
+
+
+def missing_reasons(bronze: DataFrame, critical: Sequence[str] = CRITICAL_COLUMNS) -> Column:
+    """Why a Bronze row is incomplete: ``null_x`` or ``unreadable_x`` for each critical column, comma-joined, else empty."""
+    reasons = []
     for spec in BUSINESS_COLUMNS:
-        if spec.name not in columns:
+        if spec.name not in critical:
             continue
-        value = _typed(bronze, spec.raw, spec.type)
-        if trim_text and spec.trimmed:
-            value = F.trim(value)
-        projected.append(value.alias(spec.name))
-    return bronze.select(*projected, *(c for c in LINEAGE_COLUMNS if c in columns))
+        landed, value = F.col(f"`{spec.raw}`"), _typed(bronze, spec.raw, spec.type)
+        reasons.append(
+            F.when(landed.isNull(), f"null_{spec.name}").when(value.isNull(), f"unreadable_{spec.name}")
+        )
+    return F.concat_ws(",", *reasons)
 
 
 def standardize_without_trim(bronze: DataFrame) -> DataFrame:
@@ -72,6 +94,13 @@ def drop_incomplete(df: DataFrame, critical: Sequence[str] = CRITICAL_COLUMNS) -
     return df.where(reduce(Column.__and__, (F.col(c).isNotNull() for c in critical)))
 
 
+def in_arrival_order(columns: Sequence[str], key: Sequence[str], arrival_order: Sequence[str] = ARRIVAL_ORDER) -> list[Column]:
+    """The order in which rows of one key count as arrived: the order columns, then all others."""
+    first = [c for c in arrival_order if c in columns and c not in key]
+    rest = [c for c in columns if c not in first and c not in key]
+    return [F.col(f"`{c}`").asc_nulls_first() for c in (*first, *rest)]
+
+
 def keep_first_per_key(
     df: DataFrame,
     key: Sequence[str] = NATURAL_KEY,
@@ -83,10 +112,7 @@ def keep_first_per_key(
     Spark ranks within each input partition first and ships only the local winner of a key, so a
     key that holds a third of all rows sends one row per task through the shuffle.
     """
-    first = [c for c in arrival_order if c in df.columns and c not in key]
-    rest = [c for c in df.columns if c not in first and c not in key]
-    order = [F.col(f"`{c}`").asc_nulls_first() for c in (*first, *rest)]
-    window = Window.partitionBy(*key).orderBy(*order)
+    window = Window.partitionBy(*key).orderBy(*in_arrival_order(df.columns, key, arrival_order))
     rank = "_arrival_rank"
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)
 

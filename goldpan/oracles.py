@@ -480,6 +480,23 @@ exact_dirty AS (
 
 _RUNS_AND_TEST_BATCHES = {
     "silver_upsert": _silver(f"SELECT {_ALL_SILVER} FROM silver"),
+    "silver_audited": _silver(f"SELECT {_ALL_SILVER} FROM silver"),
+    "quality_observed": _silver(_QUALITY_CHECKS),
+    "filter_rate_observed": _QUALITY["filter_rate"],
+    "quarantined": _with(
+        _BRONZE,
+        query="""
+        SELECT "Order ID" AS order_id, "Product ID" AS product_id, "Sales" AS sales, "Quantity" AS quantity,
+               "Discount" AS discount, "Profit" AS profit, batch_id,
+               CASE WHEN "Order ID" IS NOT NULL AND "Product ID" IS NOT NULL AND "Sales" IS NOT NULL THEN 'duplicate_key'
+                    ELSE concat_ws(',', CASE WHEN "Order ID" IS NULL THEN 'null_order_id' END,
+                                   CASE WHEN "Product ID" IS NULL THEN 'null_product_id' END,
+                                   CASE WHEN "Sales" IS NULL THEN 'null_sales' END) END AS reason
+        FROM bronze
+        QUALIFY "Order ID" IS NULL OR "Product ID" IS NULL OR "Sales" IS NULL OR row_number() OVER (
+            PARTITION BY "Order ID", "Product ID", "Order ID" IS NULL OR "Product ID" IS NULL OR "Sales" IS NULL
+            ORDER BY batch_no, "Sales", "Quantity", "Discount", "Profit", "Ship Date") > 1""",
+    ),
     "land_stream": _bronze(f"SELECT {_ALL_RAW}, source_file, source_system, batch_id FROM bronze"),
     "split_contiguous": _with(
         _EXACT,

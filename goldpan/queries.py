@@ -16,7 +16,7 @@ from goldpan.operators.gold import (
     create_top_products,
 )
 from goldpan.operators.silver import drop_incomplete, standardize_without_trim, type_raw_columns
-from goldpan.plans import medallion, upsert
+from goldpan.plans import audited, medallion, upsert
 from goldpan.schema import LINEAGE_COLUMNS, NATURAL_KEY, RAW_COLUMNS, SILVER_COLUMNS
 from goldpan.sources import sales_view as view
 from goldpan.sources.csv_batches import (
@@ -609,6 +609,37 @@ def silver_upsert(spark, sf_dir):
     return lake.read(lake.silver).select(*SILVER_COLUMNS)
 
 
+def _audited_lake(spark, sf_dir) -> tuple[medallion.Medallion, audited.Audit]:
+    """A lake of all batches whose Silver was written with its quarantine."""
+    lake = _lake(spark)
+    rows = view.bronze(spark, sf_dir)
+    sinks.create_or_replace_table(rows, lake.bronze, sinks.BATCH_PARTITION)
+    return lake, audited.run_silver_audited(lake)
+
+
+@query
+def quality_observed(spark, sf_dir):
+    """The quality counters as observed while Silver was written."""
+    return _audited_lake(spark, sf_dir)[1].quality_checks()
+
+
+@query
+def filter_rate_observed(spark, sf_dir):
+    return _audited_lake(spark, sf_dir)[1].filter_rate()
+
+
+@query
+def silver_audited(spark, sf_dir):
+    return audited.silver_of(_audited_lake(spark, sf_dir)[0])
+
+
+@query
+def quarantined(spark, sf_dir):
+    """The rows that Silver dropped, each with its reason."""
+    rows = audited.quarantine_of(_audited_lake(spark, sf_dir)[0])
+    return rows.select("order_id", "product_id", "sales", "quantity", "discount", "profit", "batch_id", "reason")
+
+
 @query
 def land_stream(spark, sf_dir):
     """Bronze after all batches were landed by a stream, one file at a time."""
