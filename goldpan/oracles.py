@@ -478,7 +478,21 @@ exact_dirty AS (
     SELECT * EXCLUDE (twice) FROM exact_once WHERE twice
 )"""
 
+_ORDERS_BY_GROUP = " UNION ALL ".join(
+    f"""SELECT '{name}' AS report, {key} AS grouped_by, round(sum(sales), 2) AS total_sales,
+        round(sum(profit), 2) AS total_profit, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+        count(DISTINCT order_id) AS order_count
+    FROM silver_inc GROUP BY {key}"""
+    for name, key in (
+        ("by_category", "category"),
+        ("by_region", "region"),
+        ("by_segment", "segment"),
+        ("by_month", "CAST(year(order_date) AS VARCHAR) || '-' || CAST(month(order_date) AS VARCHAR)"),
+    )
+)
+
 _RUNS_AND_TEST_BATCHES = {
+    "orders_by_batch": _incremental(_ORDERS_BY_GROUP),
     "silver_upsert": _silver(f"SELECT {_ALL_SILVER} FROM silver"),
     "silver_audited": _silver(f"SELECT {_ALL_SILVER} FROM silver"),
     "quality_observed": _silver(_QUALITY_CHECKS),

@@ -16,7 +16,7 @@ from goldpan.operators.gold import (
     create_top_products,
 )
 from goldpan.operators.silver import drop_incomplete, standardize_without_trim, type_raw_columns
-from goldpan.plans import audited, medallion, upsert
+from goldpan.plans import audited, distinct_orders, medallion, upsert
 from goldpan.schema import LINEAGE_COLUMNS, NATURAL_KEY, RAW_COLUMNS, SILVER_COLUMNS
 from goldpan.sources import sales_view as view
 from goldpan.sources.csv_batches import (
@@ -609,6 +609,28 @@ def silver_upsert(spark, sf_dir):
     return lake.read(lake.silver).select(*SILVER_COLUMNS)
 
 
+@query
+def orders_by_batch(spark, sf_dir):
+    """Sums and distinct orders by category, region, segment and month, added batch by batch, one of them twice."""
+    lake = _lake(spark)
+    for number in (2, 1, 3, 1):
+        sinks.replace_partitions(_batch(spark, sf_dir, number), lake.bronze, sinks.BATCH_PARTITION)
+        medallion.append_silver(lake, number)
+        distinct_orders.add_batch(lake, number)
+    reports_by_group = [
+        distinct_orders.report(lake, name).select(
+            F.lit(name).alias("report"),
+            F.concat_ws("-", *keys).alias("grouped_by"),
+            "total_sales",
+            "total_profit",
+            "total_quantity",
+            "order_count",
+        )
+        for name, keys in distinct_orders.REPORTS.items()
+    ]
+    return reduce(DataFrame.unionByName, reports_by_group)
+
+
 def _audited_lake(spark, sf_dir) -> tuple[medallion.Medallion, audited.Audit]:
     """A lake of all batches whose Silver was written with its quarantine."""
     lake = _lake(spark)
