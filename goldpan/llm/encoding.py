@@ -5,12 +5,13 @@ character by character (its file is checked for that) the ids of a text are thos
 after the other. So that few chunks differ, ASCII letters are lower-cased first, unless a combining mark
 might join one of them, and a comma or full stop at the end of a word becomes a chunk of its own. A chunk of
 printable ASCII is split here, and its pre-tokens go to the file's model; every other chunk goes to
-the library whole. With any other tokenizer whole texts do.
+the library whole, all new ones of a call at once. With any other tokenizer whole texts do.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
@@ -34,7 +35,7 @@ _PRE_TOKENIZERS = [
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _NOT_PRINTABLE = re.compile(rb"[^\x21-\x7e]")
 _COMBINING = re.compile(rb"\xcc|\xcd[\x80-\xaf]")  # U+0300 to U+036F, the marks that compose with ASCII letters
-_WORD_END = re.compile(rb"(?<=[a-z0-9])[,.](?=[ \n])")
+_WORD_END = re.compile(rb"[,.](?=[ \n])(?<=[a-z0-9].)")
 
 
 def load(path: str) -> Tokenizer:
@@ -59,14 +60,19 @@ def splits_at_spaces(path: str) -> bool:
 
 
 class ChunkIds(dict):
-    """Chunk to the number of its entry in ``pool``; entries are made when they are asked for."""
+    """Chunk to the number of its entry in ``pool``; entries are made when they are asked for.
+
+    A chunk for the library has a negative number, its place among ``waiting`` from the end, until ``settle`` is called.
+    """
 
     def __init__(self, path: str, most_chunks: int):
         super().__init__()
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters_are_plain = not any(s.isalpha() for s in self.special)
         self.most_chunks = most_chunks
+        self.waiting: list[bytes] = []
         self.forget()
 
     def forget(self) -> None:
@@ -74,23 +80,39 @@ class ChunkIds(dict):
         self.pool, self.ends = array("I"), array("q", [0])
 
     def chunks(self, text: bytes) -> list[bytes]:
-        if not _COMBINING.search(text):
+        if not ((b"\xcc" in text or b"\xcd" in text) and _COMBINING.search(text)):
             lower = text.lower()  # A-Z alone
             if not any(s in lower for s in self.special):
                 text = _WORD_END.sub(rb" \g<0>", lower)
         return text.split()
 
     def __missing__(self, chunk: bytes) -> int:
-        if _NOT_PRINTABLE.search(chunk) or any(s in chunk for s in self.special):
-            found = self.tokenizer.encode(chunk.decode("utf-8"), add_special_tokens=False).ids
+        tokenize = self.model.tokenize
+        if self.letters_are_plain and chunk.isalpha():  # A-Z and a-z alone: one pre-token
+            found = [t.id for t in tokenize(chunk.lower().decode("ascii"))]
+        elif _NOT_PRINTABLE.search(chunk) or any(s in chunk for s in self.special):
+            self.waiting.append(chunk)
+            number = self[chunk] = -len(self.waiting)
+            return number
         else:
-            tokenize = self.model.tokenize
             found = [t.id for word in _ASCII_PIECES.findall(chunk.decode("ascii").lower()) for t in tokenize(word)]
-        number = self[chunk] = len(self.ends) - 1
-        self.pool.extend(found)
-        self.ends.append(len(self.pool))
+        number = self[chunk] = self.add(found)
         return number
 
+    def add(self, ids: list[int]) -> int:
+        self.pool.extend(ids)
+        self.ends.append(len(self.pool))
+        return len(self.ends) - 2
+
+    def settle(self) -> np.ndarray:
+        """Encode what waits, all at once; the numbers in the order of waiting."""
+        texts = [chunk.decode("utf-8") for chunk in self.waiting]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        numbers = [self.add(e.ids) for e in found]
+        self.update(zip(self.waiting, numbers, strict=True))
+        self.waiting = []
+        return np.array(numbers, np.int64)
+
 
 _REMEMBERED: dict[str, ChunkIds] = {}
 
@@ -103,6 +125,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, most_chunks: int = 1_000_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # every core has a task of its own
         self.by_chunk = splits_at_spaces(path)
         if self.by_chunk:
             if path not in _REMEMBERED:
@@ -122,6 +145,8 @@ class Encoder:
         chunks = list(map(known.chunks, texts))
         counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
         entry = np.fromiter(map(known.__getitem__, chain.from_iterable(chunks)), np.int64, int(counts.sum()))
+        late = np.flatnonzero(entry < 0)
+        entry[late] = known.settle()[-1 - entry[late]]
         ends = np.frombuffer(known.ends, np.int64)
         pool = np.frombuffer(known.pool, np.uint32) if known.pool else np.empty(0, np.uint32)
         start, size = ends[entry], ends[entry + 1] - ends[entry]
