@@ -6,11 +6,14 @@ by size, a random offset is added, and a document comes out once for each intege
 crosses. Order by size makes the words taken follow the target, not just the documents.
 
 The sums are taken in three short steps, so that no task orders a whole source: over the sizes of
-a source, over the salts of a size, and over the rows of a salt.
+a source, over the salts of a size, and over the rows of a salt. A size has one salt for every
+``PER_SALT`` documents, and a hash of id and text deals them out, so salts stay short however many
+documents have one size, whatever their ids. Texts are read once: their sizes and hashes are written.
 
 Defined results: a null text has no words, so it is taken without adding any; the null source is a
-source and comes last; a null id sorts first; repeated rows are rows of their own; a mix of no
-words has targets of zero; an empty table gives an empty result.
+source and comes last; a null id sorts first, and rows of one id go by their hashes; repeated rows are rows of their
+own; a very long text counts whole and may be taken twice like any other; a mix of no words has targets of
+zero; an empty table gives an empty result; columns not asked for, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldpan.llm.common import SPACE_RUN, whole_text
+from goldpan.storage import materialize
 
-SALTS = 64
+PER_SALT = 100_000  # documents of one size that one task puts in order
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], share_num: int, share_den: int, most: int) -> DataFrame:
@@ -66,30 +70,37 @@ def offset(seed: str, key: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), key)), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """One narrow row per document: doc_id, source, source_key, size, and a hash of id and text."""
+    identity = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("n")), whole_text(text_col))
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(source_col).cast("string").alias("source"),
+        F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n")).alias("source_key"),
+        F.regexp_count(whole_text(text_col), F.lit(SPACE_RUN)).cast("long").alias("size"),
+        F.conv(F.substring(F.md5(identity), 1, 8), 16, 10).cast("long").alias("spread"),
+    )
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = (3, 1, 2),
     share: tuple[int, int] = (3, 2),
     most: int = 2,
     seed: str = "mix",
+    per_salt: int = PER_SALT,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, copies, taken (words)."""
-    docs_sized = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.col(source_col).cast("string").alias("source"),
-        F.regexp_count(whole_text(text_col), F.lit(SPACE_RUN)).cast("long").alias("size"),
-    ).select(
-        "doc_id",
-        "source",
-        F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("source_key"),
-        "size",
-        F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(SALTS)).alias("salt"),
+    narrow = materialize(sized(docs, id_col, text_col, source_col), "sizes")
+    by_size = narrow.groupBy("source_key", "source", "size").agg(F.count(F.lit(1)).alias("n"))
+    salts = by_size.select("source_key", "size", F.ceil(F.col("n") / per_salt).alias("salts"))
+    salted = narrow.join(salts, ["source_key", "size"]).select(
+        "doc_id", "source_key", "size", "spread", (F.col("spread") % F.col("salts")).alias("salt")
     )
-    groups = docs_sized.groupBy("source_key", "source", "size", "salt").agg(F.count(F.lit(1)).alias("n"))
-    by_size = groups.groupBy("source_key", "source", "size").agg(F.sum("n").alias("n"))
+    groups = salted.groupBy("source_key", "size", "salt").agg(F.count(F.lit(1)).alias("n"))
     goal = targets(
         by_size.groupBy("source_key", "source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")),
         weights,
@@ -106,8 +117,8 @@ def mix(
     groups = groups.select(
         "source_key", "size", "salt", F.coalesce(F.sum("n").over(salts_before), F.lit(0)).alias("earlier")
     ).join(sums, ["source_key", "size"])
-    row = F.row_number().over(Window.partitionBy("source_key", "size", "salt").orderBy("doc_id"))
-    placed = docs_sized.select("doc_id", "source_key", "size", "salt", row.alias("row")).join(
+    row = F.row_number().over(Window.partitionBy("source_key", "size", "salt").orderBy("doc_id", "spread"))
+    placed = salted.select("doc_id", "source_key", "size", "salt", row.alias("row")).join(
         groups, ["source_key", "size", "salt"]
     )
     place = F.col("smaller") + F.col("earlier") + F.col("row")

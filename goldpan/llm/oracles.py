@@ -40,7 +40,8 @@ FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 
 OP4 = r"""
 WITH d AS (
-    SELECT doc_id, source, coalesce('s' || source, 'n') AS k, doc_id % 64 AS salt,
+    SELECT doc_id, source, coalesce('s' || source, 'n') AS k,
+        ('0x' || md5(coalesce(doc_id::VARCHAR, 'n') || ':' || coalesce(text, ''))[1:8])::BIGINT AS spread,
         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
     FROM documents),
 s AS (
@@ -60,12 +61,14 @@ goal AS (
         THEN least((weight * lw)::DOUBLE / (2 * lg)::DOUBLE, (2 * source_size)::DOUBLE)
         ELSE (2 * source_size)::DOUBLE END AS target
     FROM f LEFT JOIN lv ON true),
+e AS (
+    SELECT *, spread % ceil(count(*) OVER (PARTITION BY k, size) / 100000)::BIGINT AS salt FROM d),
 o AS (
     SELECT doc_id, k, size, source_size, target,
         CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-        row_number() OVER (PARTITION BY k ORDER BY size, salt, doc_id) AS p,
+        row_number() OVER (PARTITION BY k ORDER BY size, salt, doc_id NULLS FIRST, spread) AS p,
         ('0x' || md5('mix:' || k)[1:8])::BIGINT::DOUBLE / 4294967296.0 AS u
-    FROM d JOIN goal USING (k))
+    FROM e JOIN goal USING (k))
 SELECT doc_id, size, source_size, target,
     least((floor(rate * p + u) - floor(rate * (p - 1) + u))::BIGINT, 2) * size AS taken
 FROM o

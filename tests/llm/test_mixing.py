@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from goldpan.llm import mixing
 from goldpan.llm.oracles import OP4
@@ -71,3 +72,18 @@ def test_sql_agrees_on_odd_sources(documents, rows):
     expected = sorted(connection.execute(OP4).fetchall())
     mixed = mixing.mix(documents(rows)).select("doc_id", "size", "source_size", "target", "taken")
     assert sorted(map(tuple, mixed.collect())) == expected
+
+
+def test_salts_follow_the_count_and_deal_out_any_ids(documents, rows):
+    """The same sums hold with many short salts, also where ids are null or share a factor."""
+    shared = [(None if i % 2 else i * 4096, t, s) for i, t, s in rows]
+    whole = mixing.mix(documents(shared)).groupBy("source_size", "target").sum("taken", "copies").collect()
+    salted = mixing.mix(documents(shared), per_salt=7).groupBy("source_size", "target").sum("taken", "copies").collect()
+    near = {(r[0], r[1]): r for r in whole}
+    for r in salted:
+        assert abs(r[2] - near[r[0], r[1]][2]) <= 2 * 50 + 1
+        assert abs(r[3] - near[r[0], r[1]][3]) <= 1
+    narrow = mixing.sized(documents(shared), "doc_id", "text", "source").where("doc_id is not null and size = 3")
+    dealt = narrow.groupBy((F.col("spread") % 8).alias("salt")).count()
+    assert dealt.count() == 8
+    assert max(r[1] for r in dealt.collect()) < 2 * narrow.count() / 8
