@@ -533,6 +533,32 @@ _RUNS_AND_TEST_BATCHES = {
 }
 
 
+_LOOKUP = "SELECT order_id, product_id, customer_id, order_date, sales, profit FROM silver WHERE "
+
+
+def _column_statistics(numbers: tuple[str, ...], texts: tuple[str, ...], days: tuple[str, ...]) -> str:
+    def of(column: str, as_number: str, as_text: str) -> str:
+        number, text = as_number.format(column), as_text.format(column)
+        return f"""
+        SELECT '{column}' AS column_name, count(*) AS record_count, count(*) - count({column}) AS null_count,
+               min({number}) AS min_number, max({number}) AS max_number, min({text}) AS min_text, max({text}) AS max_text
+        FROM orders"""
+
+    parts = [of(c, "{}::DOUBLE", "NULL::VARCHAR") for c in numbers] + [of(c, "NULL::DOUBLE", "{}") for c in texts]
+    parts += [of(c, "NULL::DOUBLE", "strftime({}, '%Y-%m-%d %H:%M:%S')") for c in days]
+    return " UNION ALL ".join(parts)
+
+
+_LAYOUT = {
+    "lookup_order": _silver(_LOOKUP + "order_id IN ('7', '1024')"),
+    "lookup_customer": _silver(_LOOKUP + "customer_id = '11'"),
+    "lookup_box": _silver(_LOOKUP + "order_date BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-03-31' AND sales >= 50000"),
+    "file_statistics": _column_statistics(
+        ("o_orderkey", "o_custkey", "o_totalprice"), ("o_orderstatus", "o_orderpriority"), ("o_orderdate",)
+    ),
+}
+
+
 def all_oracles() -> dict[str, str]:
     return {
         **_SCAN_AND_SINK,
@@ -542,4 +568,5 @@ def all_oracles() -> dict[str, str]:
         **_QUALITY,
         **_GOLD_REPORTS,
         **_RUNS_AND_TEST_BATCHES,
+        **_LAYOUT,
     }

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.operators import exact_batches, issues, quality, reports, sinks
+from goldpan.operators import exact_batches, issues, layout, quality, reports, sinks
 from goldpan.operators.bronze import enrich_with_metadata
 from goldpan.operators.gold import (
     create_sales_by_category_region,
@@ -18,6 +18,7 @@ from goldpan.operators.gold import (
 from goldpan.operators.silver import drop_incomplete, standardize_without_trim, type_raw_columns
 from goldpan.plans import audited, distinct_orders, medallion, upsert
 from goldpan.schema import LINEAGE_COLUMNS, NATURAL_KEY, RAW_COLUMNS, SILVER_COLUMNS
+from goldpan.sources import footers
 from goldpan.sources import sales_view as view
 from goldpan.sources.csv_batches import (
     FOLDER_NAME,
@@ -553,6 +554,38 @@ def gold_point_lookup(spark, sf_dir):
     return reports.gold_point(sinks.read_table(spark, path), category="ECONOMY", region="ASIA")
 
 
+def _clustered_silver(spark, sf_dir) -> DataFrame:
+    """Silver written in small boxes of date and sales, with bloom filters on its keys."""
+    path = fresh_path(spark, "clustered")
+    silver = view.silver(spark, sf_dir, "order_id", "product_id", "customer_id", "order_date", "sales", "profit")
+    layout.write_clustered(silver, path, near=["order_date", "sales"], keys=["order_id", "customer_id"])
+    return sinks.read_table(spark, path)
+
+
+@query
+def lookup_order(spark, sf_dir):
+    return layout.lookup(_clustered_silver(spark, sf_dir), "order_id", ["7", "1024"])
+
+
+@query
+def lookup_customer(spark, sf_dir):
+    return layout.lookup(_clustered_silver(spark, sf_dir), "customer_id", ["11"])
+
+
+@query
+def lookup_box(spark, sf_dir):
+    """High sales of a quarter."""
+    quarter = tuple(F.lit(day).cast("timestamp") for day in ("1996-01-01", "1996-03-31"))
+    return layout.in_box(_clustered_silver(spark, sf_dir), {"order_date": quarter, "sales": (50_000.0, None)})
+
+
+@query
+def file_statistics(spark, sf_dir):
+    """Rows, nulls and bounds of a table by column, from the footers of its files."""
+    files = footers.file_statistics(spark, f"{sf_dir}/orders.parquet")
+    return footers.table_statistics(files).drop("compressed_bytes")
+
+
 # --- whole runs --------------------------------------------------------------------------------
 
 
