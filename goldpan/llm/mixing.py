@@ -100,6 +100,8 @@ def mix(
     salted = narrow.join(salts, ["source_key", "size"]).select(
         "doc_id", "source_key", "size", "spread", (F.col("spread") % F.col("salts")).alias("salt")
     )
+    # Dealt by salt, too: the join's own partitioning would leave all rows of a size in one task.
+    salted = salted.repartition("source_key", "size", "salt")
     groups = salted.groupBy("source_key", "size", "salt").agg(F.count(F.lit(1)).alias("n"))
     goal = targets(
         by_size.groupBy("source_key", "source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")),
