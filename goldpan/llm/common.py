@@ -11,6 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 SPACE_RUN = r"[^\x20\x09-\x0D]+"
+MOST_BROADCAST = 250_000  # rows of a few numbers: some 30 MB in a hash table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,16 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def without(rows: DataFrame, gone: DataFrame, on: Column | list[str], most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """The wide ``rows`` that are not among ``gone``, a written table of narrow keys.
+
+    Few keys are broadcast, so that no text is shuffled; beyond ``most_broadcast`` rows, counted from the
+    footers, both sides are shuffled by key. The rows that stay are the same.
+    """
+    small = gone.count() <= most_broadcast
+    return rows.join(gone.hint("broadcast" if small else "shuffle_hash"), on, "left_anti")
+
+
 def per_document(
     rows: DataFrame, schema: str, make: Callable[[], Callable[[bytes], tuple]], keep: tuple[str, ...] = ()
 ) -> DataFrame:

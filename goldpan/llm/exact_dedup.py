@@ -22,8 +22,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import id_and_text, whole_text
-from goldpan.storage import fresh_path
+from goldpan.llm.common import id_and_text, whole_text, without
+from goldpan.storage import fresh_path, materialize
 
 # State on disk, and a store is open only while its task runs: thousands of idle ones would hold
 # files and memory on every executor.
@@ -137,8 +137,8 @@ def drop_copies(
             F.struct("*").alias("row"),
         )
     )
-    stays = _judge(content.drop("row"), files_per_batch, rows_per_check).filter("kept").select(*LOCATOR)
-    rows = content.select("row", *LOCATOR).join(stays.hint("shuffle_hash"), list(LOCATOR), "left_semi")
+    gone = _judge(content.drop("row"), files_per_batch, rows_per_check).filter("not kept").select(*LOCATOR)
+    rows = without(content.select("row", *LOCATOR), materialize(gone, "copies"), list(LOCATOR))
     return rows.select("row.*")
 
 

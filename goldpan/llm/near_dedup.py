@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import as_bytes, id_and_text, per_document, whole_text
+from goldpan.llm.common import as_bytes, id_and_text, per_document, whole_text, without
 from goldpan.storage import materialize
 
 WORDS = 5
@@ -419,8 +419,6 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns."""
-    stays = near_dedup(docs).filter("kept").select(F.struct("doc_id", "text_hash").alias("kept_row")).distinct()
+    gone = near_dedup(docs).filter("not kept").select(F.struct("doc_id", "text_hash").alias("gone_row")).distinct()
     row = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("text_hash"))
-    return docs.join(stays.hint("shuffle_hash"), row == F.col("kept_row"), "left_semi")
-
-
+    return without(docs, materialize(gone, "near-copies"), row == F.col("gone_row"))

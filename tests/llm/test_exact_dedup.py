@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldpan.llm import exact_dedup as ed
-from goldpan.storage import fresh_path
+from goldpan.llm.common import without
+from goldpan.storage import fresh_path, materialize
 from tests.llm.conftest import ODD_ROWS, bag
 
 
@@ -76,3 +77,14 @@ def test_a_collision_stops_the_run(spark, monkeypatch, documents):
     monkeypatch.setattr(ed.F, "sha2", lambda c, n: F.lit("same"))
     with pytest.raises(Exception, match="share a digest"):
         ed.exact_dedup(documents([(1, "a", "s"), (2, "b", "s")])).collect()
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_copies_go_by_broadcast_and_by_shuffle(odd, documents, most):
+    """Both ways leave the same rows, null ids and repeated rows included."""
+    key = F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    gone = materialize(odd.where("doc_id is null or doc_id in (5, 9)").select(key.alias("gone")).distinct(), "gone")
+    joined = without(odd, gone, key == F.col("gone"), most)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (most > 0)
+    assert bag(joined) == bag(odd.where("doc_id is not null and doc_id not in (5, 9)"))
