@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from goldpan.operators.silver import (
     apply_quality_filters,
     keep_first_per_key,
+    split_by_repeated_keys,
     standardize_sales_columns,
     standardize_without_trim,
+    stored_to_silver,
     transform_batches_to_silver,
     transform_to_silver,
 )
 from goldpan.queries import all_queries
-from goldpan.schema import SILVER_COLUMNS
+from goldpan.schema import RAW_COLUMNS, SILVER_COLUMNS
 from goldpan.sources import sales_view as view
+from tests.compare import spark_bag
 
 
 def plan_of(df):
@@ -147,3 +150,25 @@ def test_stored_gold_is_looked_up_by_pushed_filters(spark, tiny):
     plan = plan_of(all_queries()["gold_point_lookup"](spark, tiny))
     pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
     assert "EqualTo(category,ECONOMY)" in pushed and "EqualTo(region,ASIA)" in pushed
+
+
+def test_only_rows_of_repeated_keys_are_ranked(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    columns = ["Order ID", "Product ID", "Sales", "batch_id", "City"]
+    rows = [(f"o{i}", "p", "1.0", "batch_1", " c ") for i in range(50)]
+    rows += [("o1", "p", "0.5", "batch_1", "first"), ("o1", "p", "2", "batch_1", "later"), ("o2", "p", "x", "batch_1", "unread")]
+    rows += [(None, "p", "1", "batch_1", "a"), ("o3", None, "1", "batch_1", "b"), ("o4", "p", None, "batch_1", "c")]
+    rows += [("o5", "p", "0.1", None, "no batch"), ("o6", "p", "0.1", "batch_2", "other"), ("o6", "p", "0.1", "batch_2", "other")]
+    landed = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in columns))
+    texts = {c: F.lit(None).cast("string") for c in RAW_COLUMNS if c not in columns}
+    stamps = {"ingestion_ts": F.lit("2024-01-01").cast("timestamp"), "ingestion_date": F.lit("2024-01-01").cast("date")}
+    landed.withColumns(texts | stamps | {"source_file": F.lit("f"), "source_system": F.lit("s")}).write.parquet(path)
+    bronze = spark.read.parquet(path)
+    for each_batch, plain in ((False, transform_to_silver), (True, transform_batches_to_silver)):
+        for most in (0, 1000):
+            assert spark_bag(stored_to_silver(bronze, each_batch, most)) == spark_bag(plain(bronze)), (each_batch, most)
+    alone, repeated = split_by_repeated_keys(bronze)
+    assert {r["Order ID"] for r in repeated.collect()} == {"o1", "o5", "o6"}
+    assert alone.count() + repeated.count() == len(rows)
+    wide = [line for line in plan_of(stored_to_silver(bronze)).splitlines() if "Exchange hashpartitioning(order_id" in line]
+    assert len(wide) == 1 and "BroadcastHashJoin" in plan_of(alone)
