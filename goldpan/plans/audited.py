@@ -6,7 +6,8 @@ write takes them: no table is read again to count.
 
 Deduplication here must not forget the losers, so the filter that lets each task send one row per key does not apply.
 A key is dealt over ``salts`` groups first, and the first rows of these meet: a key that holds a third of
-all rows spreads over all of them, and ``salts`` rows meet at most. Incomplete rows are never ranked.
+all rows spreads over all of them, and ``salts`` rows meet at most. Incomplete rows are never ranked, and rows whose key
+does not repeat are not even shuffled.
 """
 
 from __future__ import annotations
@@ -17,7 +18,13 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from goldpan.operators import quality, sinks
-from goldpan.operators.silver import in_arrival_order, missing_reasons, silver_projection
+from goldpan.operators.silver import (
+    MOST_BROADCAST,
+    in_arrival_order,
+    missing_reasons,
+    silver_projection,
+    split_by_repeated_keys,
+)
 from goldpan.plans.medallion import Medallion
 from goldpan.schema import CRITICAL_COLUMNS, NATURAL_KEY, SILVER_COLUMNS
 
@@ -46,6 +53,17 @@ def judge(bronze: DataFrame, salts: int = SALTS) -> DataFrame:
     return final.select(*SILVER_COLUMNS, reason.alias("reason"))
 
 
+def judge_stored(bronze: DataFrame, salts: int = SALTS, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """The rows of ``judge`` over a stored table, where only rows of repeated keys are shuffled. Bronze is read three times."""
+    parts = split_by_repeated_keys(bronze, NATURAL_KEY, most_broadcast)
+    if parts is None:
+        return judge(bronze, salts)
+    alone, repeated = parts
+    missing = missing_reasons(bronze)
+    judged = alone.select(*silver_projection(bronze), F.when(missing != "", missing).alias("reason"))
+    return judged.unionByName(judge(repeated, salts))
+
+
 def judged_of(lake: Medallion) -> str:
     """Where a lake's judged rows are."""
     return f"{lake.root}/silver/judged_sales" if "/" in lake.root else f"{lake.silver}_judged"
@@ -114,11 +132,11 @@ def _counters() -> list[Column]:
 def run_silver_audited(lake: Medallion, salts: int = SALTS) -> Audit:
     """Write what stays and what goes from all of Bronze, and return what was counted meanwhile.
 
-    The counters sit above the last shuffle, in the tasks that write: Spark takes the counts of such a task once, however
+    The counters sit above every shuffle, in the tasks that write: Spark takes the counts of such a task once, however
     often executors are lost.
     """
     seen = Observation("silver")
-    judged = judge(lake.read(lake.bronze), salts).observe(seen, *_counters())
+    judged = judge_stored(lake.read(lake.bronze), salts).observe(seen, *_counters())
     outcome = F.when(F.col("reason").isNull(), "kept").otherwise("quarantined").alias("outcome")
     sinks.create_or_replace_table(judged.select("*", outcome), judged_of(lake), OUTCOME_PARTITION)
     return Audit(lake, dict(seen.get))
