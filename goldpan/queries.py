@@ -637,8 +637,8 @@ def gold_after_batch(spark, sf_dir):
 def silver_upsert(spark, sf_dir):
     """Silver after each batch was upserted by itself, the first batch last."""
     lake = _lake(spark)
+    sinks.replace_partitions(view.bronze(spark, sf_dir), lake.bronze, sinks.BATCH_PARTITION)
     for number in (3, 2, 1):
-        sinks.replace_partitions(_batch(spark, sf_dir, number), lake.bronze, sinks.BATCH_PARTITION)
         upsert.upsert_silver(lake, number)
     return lake.read(lake.silver).select(*SILVER_COLUMNS)
 
@@ -647,8 +647,8 @@ def silver_upsert(spark, sf_dir):
 def orders_by_batch(spark, sf_dir):
     """Sums and distinct orders by category, region, segment and month, added batch by batch, one of them twice."""
     lake = _lake(spark)
+    sinks.replace_partitions(view.bronze(spark, sf_dir), lake.bronze, sinks.BATCH_PARTITION)
     for number in (2, 1, 3, 1):
-        sinks.replace_partitions(_batch(spark, sf_dir, number), lake.bronze, sinks.BATCH_PARTITION)
         medallion.append_silver(lake, number)
         distinct_orders.add_batch(lake, number)
     reports_by_group = [
