@@ -71,3 +71,11 @@ def test_no_rows(spark, tmp_path):
     assert audited.silver_of(lake).count() == 0
 
 
+
+
+def test_only_rows_of_repeated_keys_are_shuffled(lake):
+    bronze = lake.read(lake.bronze)
+    judged = [audited.judge_stored(bronze, 3, most) for most in (0, 1000)]
+    assert spark_bag(judged[0]) == spark_bag(judged[1]) == spark_bag(audited.judge(bronze, 3))
+    alone = judged[1]._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")[0]
+    assert "BroadcastHashJoin" in alone and "LeftAnti" in alone

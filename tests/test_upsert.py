@@ -142,3 +142,13 @@ def test_partition_names_are_escaped_as_spark_does(spark, tmp_path):
     sinks.create_table(spark.createDataFrame([(1, value), (2, "x")], "n int, k string"), target, ["k"])
     sinks.replace_one_partition(spark.createDataFrame([(3, value)], "n int, k string"), target, "k", value)
     assert sorted(tuple(r) for r in sinks.read_table(spark, target).select("n", "k").collect()) == [(2, "x"), (3, value)]
+
+
+@pytest.mark.parametrize("most_lost", [0, 1000])
+def test_lost_keys_are_dropped_by_either_join(spark, tmp_path, monkeypatch, most_lost):
+    monkeypatch.setattr(upsert, "MOST_LOST", most_lost)
+    lake = medallion.Medallion(spark, str(tmp_path))
+    for number in (3, 2):
+        land(lake, number, BATCHES[number])
+        upsert.upsert_silver(lake, number)
+    same_as_refresh(lake)
