@@ -14,7 +14,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -59,6 +59,15 @@ def splits_at_spaces(path: str) -> bool:
     )
 
 
+def lower_chunks(text: bytes, special: Sequence[bytes] = ()) -> list[bytes]:
+    """The chunks of a text, with ASCII letters lower-cased where that changes no pre-token."""
+    if not ((b"\xcc" in text or b"\xcd" in text) and _COMBINING.search(text)):
+        lower = text.lower()  # A-Z alone
+        if not any(s in lower for s in special):
+            text = _WORD_END.sub(rb" \g<0>", lower)
+    return text.split()
+
+
 class ChunkIds(dict):
     """Chunk to the number of its entry in ``pool``; entries are made when they are asked for.
 
@@ -80,11 +89,7 @@ class ChunkIds(dict):
         self.pool, self.ends = array("I"), array("q", [0])
 
     def chunks(self, text: bytes) -> list[bytes]:
-        if not ((b"\xcc" in text or b"\xcd" in text) and _COMBINING.search(text)):
-            lower = text.lower()  # A-Z alone
-            if not any(s in lower for s in self.special):
-                text = _WORD_END.sub(rb" \g<0>", lower)
-        return text.split()
+        return lower_chunks(text, self.special)
 
     def __missing__(self, chunk: bytes) -> int:
         tokenize = self.model.tokenize

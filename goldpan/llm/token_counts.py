@@ -1,9 +1,10 @@
 """Token counts without token ids.
 
-Inside each task the texts are split into pre-tokens; the pieces of a pre-token are counted once,
-when it first comes up, and joined to the pre-token frequencies of every document that follows. No
-ids are made and nothing is shuffled. The table of counts holds at most ``most_cached``
-pre-tokens and starts anew beyond that, which bounds memory and changes no count.
+Inside each task the texts are split into chunks at ASCII white space, which no pre-token crosses; the pieces of a
+chunk's pre-tokens are counted once, when it first comes up, and joined to the chunk frequencies of every
+document that follows. No ids are made and nothing is shuffled. The table of counts stays with the Python process, so
+that a task begins with what earlier tasks of its worker have met; it holds at most ``most_cached`` chunks
+and as many pre-tokens of other characters than ASCII, and starts anew beyond that, which bounds memory and changes no count.
 
 The vocabulary is the word-ending BPE of a ``tokenizers`` file: texts are composed (NFC) and lower-cased,
 then split into contractions, runs of letters, single digits and runs of other marks. Special
@@ -15,19 +16,23 @@ each; other columns are not read.
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 from collections.abc import Callable
+from itertools import chain
+from operator import mul
 from unicodedata import is_normalized, normalize
 
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from goldpan.llm.common import id_and_text, per_document
+from goldpan.llm.encoding import load, lower_chunks
 
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+_NOT_PRINTABLE = re.compile(rb"[^\x21-\x7e]")
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -40,34 +45,70 @@ def pre_tokens(text: str) -> list[str]:
     return regex.findall(_CONTRACTIONS + r"|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+", lower)
 
 
+class PieceCounts(dict):
+    """Chunk to its number of pieces, as the file's tokenizer cuts it."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # every core has a task of its own
+        self.tokenizer = load(path)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.split = re.compile(b"|".join(map(re.escape, self.special))) if self.special else None
+        self.others: dict[str, int] = {}  # pre-tokens of other characters than printable ASCII
+
+    def learn(self, chunks: list[bytes], most_cached: int) -> None:
+        """Count the pieces of new chunks, all new pre-tokens for the library at once."""
+        tokenize = self.tokenizer.model.tokenize
+        waiting = {}
+        for chunk in chunks:
+            if chunk.isalpha():  # a-z alone: one pre-token
+                self[chunk] = len(tokenize(chunk.decode("ascii").lower()))
+            elif _NOT_PRINTABLE.search(chunk):
+                waiting[chunk] = pre_tokens(chunk.decode("utf-8"))
+            else:
+                self[chunk] = sum(len(tokenize(p)) for p in pre_tokens(chunk.decode("ascii")))
+        others = self.others
+        new = [p for p in dict.fromkeys(chain.from_iterable(waiting.values())) if p not in others]
+        if len(others) + len(new) > most_cached:
+            others.clear()
+            new = list(dict.fromkeys(chain.from_iterable(waiting.values())))
+        if new:
+            encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            others.update(zip(new, map(len, encoded), strict=True))
+        for chunk, found in waiting.items():
+            self[chunk] = sum(map(others.__getitem__, found))
+
+
+_REMEMBERED: dict[str, PieceCounts] = {}
+
+
 def counter(tokenizer_path: str, most_cached: int) -> Callable[[bytes], tuple]:
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    split = re.compile("|".join(re.escape(s) for s in special)) if special else None
-    pieces: dict[str, int] = {}
+    if tokenizer_path not in _REMEMBERED:
+        _REMEMBERED.clear()
+        _REMEMBERED[tokenizer_path] = PieceCounts(tokenizer_path)
+    known = _REMEMBERED[tokenizer_path]
+    special, split = known.special, known.split
 
     def run(raw: bytes) -> tuple:
-        text = raw.decode("utf-8")
-        total, parts = 0, [text]
-        if split and any(s in text for s in special):
-            parts = split.split(text)
+        total, parts = 0, [raw]
+        if split and any(s in raw for s in special):
+            parts = split.split(raw)
             total = len(parts) - 1
-        often: Counter[str] = Counter()
+        often: Counter[bytes] = Counter()
         for part in parts:
-            often.update(pre_tokens(part))
-        new = [p for p in often if p not in pieces]
+            often.update(lower_chunks(part))
+        new = [c for c in often if c not in known]
         if new:
-            if len(pieces) + len(new) > most_cached:
-                pieces.clear()
+            if len(known) + len(new) > most_cached:
+                known.clear()
                 new = list(often)
-            for p, encoded in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                pieces[p] = len(encoded)
-        return len(raw), total + sum(pieces[p] * n for p, n in often.items())
+            known.learn(new, most_cached)
+        return len(raw), total + sum(map(mul, map(known.__getitem__, often), often.values()))
 
     return run
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, most_cached: int = 500_000) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, most_cached: int = 1_000_000) -> DataFrame:
     """doc_id, n_bytes, n_tokens and whether the document has more than ``limit`` tokens."""
     counted = per_document(
         id_and_text(docs), "n_bytes long, n_tokens long", lambda: counter(tokenizer_path, most_cached)

@@ -38,3 +38,18 @@ def test_odd_and_empty(odd, empty, library):
     assert sorted(tuple(r) for r in found.where("doc_id is not null").collect()) == expected
     assert found.where("doc_id is null").count() == 2
     assert tc.count_tokens(empty, PATH).isEmpty()
+
+
+def test_a_later_task_learns_nothing_anew(library, monkeypatch):
+    text = "Remembered words, remembered. Ünïcode 日本 x1 <|endoftext|>"
+    raw = text.encode()
+    expected = (len(raw), len(library.encode(text, add_special_tokens=False)))
+    assert tc.counter(PATH, 1000)(raw) == expected
+    monkeypatch.setattr(tc.PieceCounts, "learn", None)
+    assert tc.counter(PATH, 1000)(raw) == expected
+
+
+def test_white_space_and_marks_at_the_borders_of_chunks(library):
+    count = tc.counter(PATH, 1000)
+    for text in ("E ́é", "word. Word.\n,a", "a\x0b\x0cb\x1cc\x85d e", "1, 2.", "x.́ ", "Ḱ. İ"):
+        assert count(text.encode())[1] == len(library.encode(text, add_special_tokens=False)), repr(text)
