@@ -31,10 +31,10 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import as_bytes, id_and_text, per_document, whole_text, without
+from goldpan.llm.common import as_bytes, id_and_text, likely_among, parts, per_document, whole_text, without
 from goldpan.storage import materialize
 
 WORDS = 5
@@ -103,16 +103,21 @@ def inverted_lists(held: DataFrame, room: Column) -> DataFrame:
     ``held``: class_key, n_shingles, k and each of a class's ``k`` values. Of those the ``room``
     rarest are listed. Values that one class alone holds are the rarest and only take up room.
     """
-    shared = held.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
     per_class = (
-        _meet(held, shared, "value")
+        _in_lists(held)
         .groupBy("class_key", "n_shingles", "k")
         .agg(F.array_sort(F.collect_list(F.struct("length", "value"))).alias("found"))
     )
     left = F.greatest(F.lit(0), room - (F.col("k") - F.size("found"))).cast("int")
-    listed = per_class.select("class_key", "n_shingles", F.explode(F.slice("found", F.lit(1), left)["value"]).alias("value"))
-    lengths = listed.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
-    return _meet(listed, lengths, "value")
+    return _in_lists(
+        per_class.select("class_key", "n_shingles", F.explode(F.slice("found", F.lit(1), left)["value"]).alias("value"))
+    )
+
+
+def _in_lists(held: DataFrame) -> DataFrame:
+    """The rows whose value another row has, too, with ``length``: how many have it. They are shuffled once."""
+    length = F.count(F.lit(1)).over(Window.partitionBy("value"))
+    return held.withColumn("length", length).filter("length > 1")
 
 
 def sketch_lists(classes: DataFrame) -> DataFrame:
@@ -127,7 +132,7 @@ def full_lists(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
-        for batch in batches:
+        for batch in parts(batches):
             for key, text in zip(batch.column("class_key").to_pylist(), as_bytes(batch.column("text")), strict=True):
                 s = shingles(text).view(np.int64)
                 n = pa.array(np.full(len(s), len(s)))
@@ -394,7 +399,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
         F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("text_hash"), "text"
     )
     wanted = members.select("class_key", "id", "text_hash").hint("shuffle_hash")
-    texts = rows.join(wanted, ["id", "text_hash"]).select("class_key", "text")
+    texts = likely_among(rows, members, ["id", "text_hash"]).join(wanted, ["id", "text_hash"]).select("class_key", "text")
     texts = materialize(texts.dropDuplicates(["class_key"]), "texts")
     busy = lists.filter(F.col("length") > SHORT_LIST).select("class_key").distinct()
     full = full_lists(_meet(texts, busy, "class_key"))

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from goldpan.llm import common
 from goldpan.llm import near_dedup as nd
 from tests.llm.conftest import ODD_ROWS
 
@@ -79,3 +80,17 @@ def test_components(spark):
         **dict.fromkeys(range(1, 7), 1),
         **dict.fromkeys((7, 8, 9), 7),
     }
+
+
+def test_rows_of_lists_are_shuffled_once(documents):
+    """Counting who holds a value and picking those rows is one pass, and nothing is computed twice."""
+    held = documents([(1, "a", "s")]).selectExpr("class_key", "1L as n_shingles", "1 as k", "doc_id as value")
+    plan = nd.inverted_lists(held, nd.F.lit(1))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(value") == 2
+
+
+def test_texts_of_other_rows_stay_where_they_are(documents):
+    rows = documents([(i, f"text {i}", "s") for i in range(20)]).select("doc_id", "text", "lang")
+    wanted = rows.filter("doc_id in (3, 4)").select("doc_id", "text")
+    assert sorted(r.doc_id for r in common.likely_among(rows, wanted, ["doc_id", "text"]).collect()) == [3, 4]
+    assert common.likely_among(rows, wanted, ["doc_id", "text"], most_hashes=1).count() == 20
