@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import as_bytes, id_and_text
+from goldpan.llm.common import as_bytes, id_and_text, likely_among
 from goldpan.storage import materialize
 
 LENGTH = 200
@@ -428,11 +428,12 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     asked = met.filter("content is not null and contents > 1 and first").withColumn("split", F.col("contents") > PER_BUCKET)
     columns = ["id_key", "text_hash", "start", "starts"]
     repeated = met.filter("content is null or times > 1").select(*columns)
-    fetched = _fetched(asked, keyed)
-    if not asked.filter("split").isEmpty():
-        fetched = materialize(fetched, "contents")
-        repeated = repeated.unionByName(_counted(fetched.filter("split")))
-        fetched = fetched.filter("not split")
+    many = asked.filter("split")
+    if not many.isEmpty():
+        # Their texts are fetched apart, so that the join below and the last one share one shuffle of all texts.
+        few = likely_among(keyed, many, ["id_key", "text_hash"])
+        repeated = repeated.unionByName(_counted(materialize(_fetched(many, few), "contents")))
+    fetched = _fetched(asked.filter("not split"), keyed)
     compared = _compared(fetched).withColumn("id_key", F.coalesce("doc_id", F.lit(-1)))
     repeated = (
         repeated.unionByName(compared.select(*columns))

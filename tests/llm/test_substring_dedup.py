@@ -81,3 +81,25 @@ def test_no_task_holds_an_anchor_of_very_many_contents(documents, monkeypatch, b
     rows += [(None, rows[0][1], "s"), (70, rows[1][1], "s"), (70, rows[1][1], "s")]
     assert found(documents(rows)) == brute(rows)
     assert max(groups, default=0) <= 8
+
+
+def test_contents_that_are_counted_apart_leave_one_shuffle_of_all_texts(documents, monkeypatch):
+    """The fetch of the other contents is no written table, so that the last join can share its shuffle."""
+    monkeypatch.setattr(sd, "PER_BUCKET", 8)
+    written = []
+    materialize = sd.materialize
+
+    def watched(df, label):
+        stored = materialize(df, label)
+        written.append((label, stored))
+        return stored
+
+    monkeypatch.setattr(sd, "materialize", watched)
+    draw = random.Random(8)
+    prose = lambda n: "".join(draw.choice("abcde ") for _ in range(n))
+    shared, twin = prose(230), prose(300)
+    rows = [(i, prose(120) + shared[draw.randrange(30) : 150 + draw.randrange(80)] + prose(120), "s") for i in range(60)]
+    rows += [(100 + i, twin + "x" * i, "s") for i in range(4)]
+    assert found(documents(rows)) == brute(rows)
+    contents = [stored for label, stored in written if label == "contents"]
+    assert contents and all(c.filter("not split").isEmpty() for c in contents)
