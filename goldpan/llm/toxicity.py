@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import as_bytes, filter_texts, id_and_text, per_document
+from goldpan.llm.common import as_bytes, filter_texts, id_and_text, parts, per_document
 from goldpan.llm.decontaminate import words
 from goldpan.llm.labelled import sample, texts_of
 from goldpan.llm.near_dedup import Shingles
@@ -112,7 +112,7 @@ def candidates(texts: DataFrame) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays(columns, ["feature", "toxic", "clean"])
                 found.clear()
 
-        for batch in batches:
+        for batch in parts(batches):
             for label, text in zip(batch.column("label").to_pylist(), as_bytes(batch.column("text")), strict=True):
                 counts[1 - label].update(set(chain.from_iterable(map(known.__getitem__, set(words(text))))))
                 if len(counts[0]) + len(counts[1]) > 400_000:
@@ -145,7 +145,7 @@ def feature_counts(rows: DataFrame, features: np.ndarray) -> DataFrame:
         place = {f: i for i, f in enumerate(sent.value.tolist())}
         known = Remembered(lambda w: tuple(place[f] for f in features_of(w) if f in place))
         counts = np.zeros((1 + 2 * FOLDS, len(place) + 1), np.int32)
-        for batch in batches:
+        for batch in parts(batches):
             columns = (batch.column("label").to_pylist(), batch.column("fold").to_pylist(), as_bytes(batch.column("text")))
             for label, fold, text in zip(*columns, strict=True):
                 found = [known[w] for w in set(words(text))]
@@ -157,10 +157,10 @@ def feature_counts(rows: DataFrame, features: np.ndarray) -> DataFrame:
         seen = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays([pa.array(seen), *(pa.array(c[seen].astype(np.int64)) for c in counts)], names)
 
-    parts = rows.select("label", "fold", F.encode("text", "UTF-8").alias("text")).mapInArrow(
+    partial = rows.select("label", "fold", F.encode("text", "UTF-8").alias("text")).mapInArrow(
         run, ", ".join(f"{n} long" for n in names)
     )
-    return parts.groupBy("place").agg(*(F.sum(c).alias(c) for c in names[1:]))
+    return partial.groupBy("place").agg(*(F.sum(c).alias(c) for c in names[1:]))
 
 
 def log_odds(n_all: np.ndarray, n_toxic: np.ndarray, n_clean: np.ndarray) -> np.ndarray:
@@ -316,7 +316,7 @@ def _labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, most_per
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
-        for batch in batches:
+        for batch in parts(batches):
             folds = [int(shingles(t).min(initial=2**64 - 1)) % FOLDS for t in as_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(folds, pa.int32())], ["doc_id", "label", "text", "fold"])
 
@@ -347,12 +347,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most_per_class: int =
 
     def scanned(schema: str, models: list, scan: Callable) -> pa.Table:
         """Each fold of the sample by the scores of the others."""
-        parts = []
+        scans = []
         for fold, model in enumerate(models):
             sent = docs.sparkSession.sparkContext.broadcast(model)
             mine = texts.filter(F.col("fold") == fold)
-            parts.append(per_document(mine, schema, lambda sent=sent: scan(sent.value), keep=("label",)).drop("doc_id"))
-        return reduce(DataFrame.unionByName, parts).filter("n > 0").toArrow()  # the sample
+            scans.append(per_document(mine, schema, lambda sent=sent: scan(sent.value), keep=("label",)).drop("doc_id"))
+        return reduce(DataFrame.unionByName, scans).filter("n > 0").toArrow()  # the sample
 
     whole = scores(list(range(FOLDS)))
     apart = [scores([f for f in range(FOLDS) if f != fold]) for fold in range(FOLDS)]
