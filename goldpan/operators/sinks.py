@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +16,34 @@ _ESCAPED = r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]"""
 BATCH_PARTITION = ("ingestion_date", "batch_id")
 
 
+# Partitions that a task writes side by side; it sorts its rows by partition only where it meets more.
+WRITERS = 4
+
+
+@contextmanager
+def _side_by_side(spark: SparkSession) -> Iterator[None]:
+    """Without this a task sorts all its wide rows by partition before it writes the first, in memory that grows with them.
+
+    Spark has it as a session setting only, so that is put back afterwards.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(WRITERS, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _save(df: DataFrame, target: str, mode: str, partition_by: Sequence[str]) -> None:
     writer = df.write.format("parquet").mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if "/" in target:
-        writer.save(target)
-    else:
-        writer.saveAsTable(target)
+    with _side_by_side(df.sparkSession):
+        if "/" in target:
+            writer.save(target)
+        else:
+            writer.saveAsTable(target)
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
@@ -74,7 +95,8 @@ def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str])
         described = spark.sql(f"DESCRIBE TABLE EXTENDED {target}")
         path = described.where("col_name = 'Location'").first().data_type
         df = df.select(*(f"`{c}`" for c in spark.table(target).columns))
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    with _side_by_side(spark):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     if named:
         spark.catalog.recoverPartitions(target)
         spark.catalog.refreshTable(target)
