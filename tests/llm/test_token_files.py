@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from goldpan.llm import token_files
-from goldpan.llm.encoding import Encoder, splits_at_spaces
+from goldpan.llm.encoding import ChunkIds, Encoder, column_of_chunks, splits_at_spaces
 from goldpan.llm.queries import op13_token_files
 from tests.llm.conftest import LONG
 
@@ -65,6 +65,36 @@ def test_what_is_remembered_is_bounded_and_changes_nothing(library):
     small.known.most_chunks = 1_000_000
 
 
+def test_chunks_of_many_texts_are_looked_up_once():
+    """A word costs one look-up for all its occurrences in some texts, whatever marks follow it."""
+
+    class Counted(ChunkIds):
+        asked = 0
+
+        def get(self, *a):
+            self.asked += 1
+            return super().get(*a)
+
+    known = Counted(PATH, 100)
+    start, end, counts = known.entries([b"the cat, the Cat. THE cat!", b"", b"  cat%%% the ((the"] * 50)
+    assert known.asked == len(known) == 7 and set(known) == {b"the", b"cat", b",", b".", b"!", b"%%%", b"((the"}
+    assert counts.tolist() == [9, 0, 4] * 50 and len(start) == len(end) == 650
+
+
+def test_column_of_chunks_keeps_special_strings_whole():
+    texts = ["A b.", "x<|endoftext|>, Y.", "e\u0301. F,", "", "ends, at"]
+    column, counts = column_of_chunks([t.encode() for t in texts], [b"<|endoftext|>"])
+    chunks = [c.decode() for c in column.to_pylist()]
+    assert chunks == ["a", "b", ".", "x<|endoftext|>,", "Y.", "e\u0301.", "F,", "ends", ",", "at"]
+    assert counts.tolist() == [3, 2, 2, 0, 3]
+
+
+def test_chunks_that_the_library_encodes_together():
+    words = [f"größe{i}{'!' * (i % 7 == 0)} 日本{i}é!! ¡no" for i in range(700)]
+    found = Encoder(PATH)([w.encode() for w in words])
+    assert [x.tolist() for x in found] == [LIBRARY.encode(w, add_special_tokens=False).ids for w in words]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.one_of(st.integers(0, 3), st.sampled_from([255, 256, 65535, 65536, 2**32 - 1])))))
 def test_code_round_trip(docs):
