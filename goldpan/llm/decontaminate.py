@@ -20,17 +20,20 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from math import ceil
 
+import numpy as np
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import filter_texts, per_document, whole_text
+from goldpan.llm.common import filter_texts, per_document, runs, whole_text
 from goldpan.llm.exact_dedup import LOCATOR, with_locator
 from goldpan.storage import fresh_path, materialize
 
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
+_WORD_BYTE_OF = np.frombuffer(_WORD_BYTES, np.uint8)
 
 
 def words(text: bytes) -> list[bytes]:
@@ -38,6 +41,19 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_WORD_BYTES).split()
 
 
+def column_of_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of a column of texts one after the other, and how many each text has; null has none."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = _WORD_BYTE_OF[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]]
+    in_word = data != ord(" ")
+    begins = in_word.copy()
+    begins[1:] &= ~in_word[:-1]
+    first = (offsets - offsets[0])[:-1][np.diff(offsets) > 0]
+    begins[first] = in_word[first]
+    at, column = runs(data, in_word, begins)
+    return column, np.diff(np.searchsorted(at, offsets[1:] - offsets[0]), prepend=0)
+
 class WuManber:
     """Patterns of one length ``m``, as word windows of items."""
 

@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from goldpan.llm.common import runs
+
 # The parts of a tokenizer file under which chunks can be encoded apart.
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _NORMALIZERS = [
@@ -94,14 +96,8 @@ def column_of_chunks(texts: list[bytes], special: Sequence[bytes] = ()) -> tuple
     if not lowers.all():
         marks = marks[lowers[np.searchsorted(ends, marks, "right")]]
     begins[marks] = True
-    at = np.flatnonzero(begins)
-    stops = ~in_chunk  # and whatever begins: there the chunk before is over
-    stops |= begins
-    stops[:-1], stops[-1] = stops[1:].copy(), True
-    sizes = np.flatnonzero(stops & in_chunk) + 1 - at
-    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(joined[in_chunk])]
-    return pa.Array.from_buffers(pa.binary(), len(at), buffers), np.diff(np.searchsorted(at, ends), prepend=0)
+    at, column = runs(joined, in_chunk, begins)
+    return column, np.diff(np.searchsorted(at, ends), prepend=0)
 
 
 class ChunkIds(dict):

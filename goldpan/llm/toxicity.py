@@ -34,17 +34,18 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest as hash64
 
-from goldpan.llm.common import as_bytes, filter_texts, id_and_text, parts, per_document
-from goldpan.llm.decontaminate import words
+from goldpan.llm.common import as_bytes, filter_column, id_and_text, parts, per_column, pieces
+from goldpan.llm.decontaminate import column_of_words, words
 from goldpan.llm.labelled import sample, texts_of
 from goldpan.llm.near_dedup import Shingles
 from goldpan.storage import materialize
 
-BEGINNINGS = range(3, 9)  # letters; only where the word goes on
+SHORTEST, LONGEST = 3, 8  # letters of beginnings; only where the word goes on
+MIDDLE = 1 << 63  # hashes less this are longs
 LEAST = 5
 PRIOR_WORDS = 20_000.0  # strength of the corpus prior, in words
 SIGNIFICANT = 0.001
@@ -56,14 +57,24 @@ TRIMMED = 0.05  # of the clean documents, those with the largest sums
 MOST_STEP = 0.5  # from the last p-value within the cut, in logs
 
 
-def features_of(word: bytes) -> tuple[int, ...]:
-    """64-bit hashes of the word and of its beginnings."""
+def head_of(word: bytes) -> bytes:
+    """The longest of the word's beginnings, which has the others as its own."""
     if word.isascii():
-        begins = [b"+" + word[:k] for k in BEGINNINGS if k < len(word)]
-    else:
-        letters = word.decode("utf-8", "replace")
-        begins = [b"+" + letters[:k].encode("utf-8", "replace") for k in BEGINNINGS if k < len(letters)]
-    return tuple([xxhash.xxh3_64_intdigest(f) - (1 << 63) for f in (word, *begins)])
+        return word[:-1][:LONGEST]
+    return word.decode("utf-8", "replace")[:-1][:LONGEST].encode("utf-8", "replace")
+
+
+def beginnings_of(head: bytes) -> tuple[int, ...]:
+    """Hashes of the beginnings of the words with this head."""
+    if head.isascii():
+        return tuple([hash64(b"+" + head[:k]) - MIDDLE for k in range(SHORTEST, len(head) + 1)])
+    letters = head.decode("utf-8", "replace")
+    return tuple([hash64(b"+" + letters[:k].encode("utf-8", "replace")) - MIDDLE for k in range(SHORTEST, len(letters) + 1)])
+
+
+def features_of(word: bytes) -> tuple[int, ...]:
+    """Hashes of the word and of its beginnings."""
+    return (hash64(word) - MIDDLE, *beginnings_of(head_of(word)))
 
 
 class Remembered(dict):
@@ -89,11 +100,22 @@ class Scores:
     rest: float
 
 
-def scorer(scores: Scores) -> Callable[[list[bytes]], np.ndarray]:
-    """Tokens to their scores: the largest among a word's features."""
+def scorer(scores: Scores) -> Callable[[pa.Array], list[np.ndarray]]:
+    """Texts to the scores of their tokens: of each the largest among a word's features."""
     table, rest = dict(zip(scores.features.tolist(), scores.values.tolist(), strict=True)), scores.rest
-    known = Remembered(lambda w: max(table.get(f, rest) for f in features_of(w)))
-    return lambda tokens: np.fromiter(map(known.__getitem__, tokens), np.float64, len(tokens))
+    of_head = Remembered(lambda head: max([table.get(f, rest) for f in beginnings_of(head)], default=-np.inf))
+    known = Remembered(lambda w: max(table.get(hash64(w) - MIDDLE, rest), of_head[head_of(w)]))
+
+    def run(texts: pa.Array) -> list[np.ndarray]:
+        if not len(texts):
+            return []
+        column, counts = column_of_words(texts)
+        coded = column.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        values = np.fromiter(map(known.__getitem__, distinct), np.float64, len(distinct))
+        return np.split(values[coded.indices.to_numpy()], np.cumsum(counts)[:-1])
+
+    return run
 
 
 def candidates(texts: DataFrame) -> np.ndarray:
@@ -132,6 +154,23 @@ def candidates(texts: DataFrame) -> np.ndarray:
     return np.sort(leaning.select("feature").toArrow()["feature"].to_numpy())
 
 
+def _places(texts: pa.Array, known: dict[bytes, tuple[int, ...]]) -> tuple[np.ndarray, list[int], list[int]]:
+    """The places of the features of all words, one text after the other; where each text's end; its distinct words without any."""
+    column, counts = column_of_words(texts)
+    coded = column.dictionary_encode()
+    of_word = list(map(known.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)))
+    size = np.fromiter(map(len, of_word), np.int64, len(of_word))
+    pool, first = np.fromiter(chain.from_iterable(of_word), np.int64, int(size.sum())), np.cumsum(size) - size
+    word = coded.indices.to_numpy()
+    total = np.append(0, np.cumsum(size[word]))
+    at = np.repeat(first[word] - total[:-1], size[word])
+    at += np.arange(total[-1])
+    bare = np.flatnonzero(size[word] == 0)
+    text = np.repeat(np.arange(len(counts)), counts)[bare]
+    once = np.unique(text * max(1, len(of_word)) + word[bare]) // max(1, len(of_word))
+    return pool[at], total[np.cumsum(counts)].tolist(), np.bincount(once, minlength=len(counts)).tolist()
+
+
 def feature_counts(rows: DataFrame, features: np.ndarray) -> DataFrame:
     """place, n_all, and for each fold n_clean and n_toxic: in how many documents the feature at that place is.
 
@@ -143,17 +182,22 @@ def feature_counts(rows: DataFrame, features: np.ndarray) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {f: i for i, f in enumerate(sent.value.tolist())}
-        known = Remembered(lambda w: tuple(place[f] for f in features_of(w) if f in place))
+        of_head = Remembered(lambda head: tuple([place[f] for f in beginnings_of(head) if f in place]))
+
+        def places(word: bytes) -> tuple[int, ...]:
+            own, others = place.get(hash64(word) - MIDDLE), of_head[head_of(word)]
+            return others if own is None else (own, *others)
+
+        known = Remembered(places)
         counts = np.zeros((1 + 2 * FOLDS, len(place) + 1), np.int32)
-        for batch in parts(batches):
-            columns = (batch.column("label").to_pylist(), batch.column("fold").to_pylist(), as_bytes(batch.column("text")))
-            for label, fold, text in zip(*columns, strict=True):
-                found = [known[w] for w in set(words(text))]
-                at = np.unique(np.fromiter(chain.from_iterable(found), np.int64))
-                rest = found.count(())
+        for batch in pieces(batches):
+            found, end, rest = _places(batch.column("text"), known)
+            columns = (batch.column("label").to_pylist(), batch.column("fold").to_pylist(), [0, *end[:-1]], end, rest)
+            for label, fold, a, b, without in zip(*columns, strict=True):
+                at = found[a:b]  # one that comes twice counts once
                 for k in (0,) if label is None else (0, 1 + 2 * fold + label):
                     counts[k, at] += 1
-                    counts[k, -1] += rest
+                    counts[k, -1] += without
         seen = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays([pa.array(seen), *(pa.array(c[seen].astype(np.int64)) for c in counts)], names)
 
@@ -287,24 +331,24 @@ def _cut(p: np.ndarray, toxic: np.ndarray, per_toxic: float) -> float:
     return float(np.exp(max(-600.0, last + min((after - last) / 2, MOST_STEP))))
 
 
-def _segment_counts(scores: Scores) -> Callable[[bytes], tuple]:
+def _segment_counts(scores: Scores) -> Callable[[pa.Array], list[tuple]]:
     scored = scorer(scores)
 
-    def run(text: bytes) -> tuple:
-        tokens = words(text)
-        sums = np.array([total for _, _, total in segments(scored(tokens))])
-        return len(tokens), np.histogram(sums, [*GRID, np.inf])[0][::-1].cumsum()[::-1].tolist()
+    def run(texts: pa.Array) -> list[tuple]:
+        rows = []
+        for tokens in scored(texts):
+            sums = np.array([total for _, _, total in segments(tokens)])
+            rows.append((len(tokens), np.histogram(sums, [*GRID, np.inf])[0][::-1].cumsum()[::-1].tolist()))
+        return rows
 
     return run
 
 
-def _log_p(model: Model) -> Callable[[bytes], tuple]:
+def _log_p(model: Model) -> Callable[[pa.Array], list[tuple]]:
     scored = scorer(model.scores)
 
-    def run(text: bytes) -> tuple:
-        tokens = words(text)
-        sums = [total for _, _, total in segments(scored(tokens))]
-        return len(tokens), model.log_p_of_all(sums, len(tokens))
+    def run(texts: pa.Array) -> list[tuple]:
+        return [(len(s), model.log_p_of_all([total for _, _, total in segments(s)], len(s))) for s in scored(texts)]
 
     return run
 
@@ -351,7 +395,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, most_per_class: int =
         for fold, model in enumerate(models):
             sent = docs.sparkSession.sparkContext.broadcast(model)
             mine = texts.filter(F.col("fold") == fold)
-            scans.append(per_document(mine, schema, lambda sent=sent: scan(sent.value), keep=("label",)).drop("doc_id"))
+            scans.append(per_column(mine, schema, lambda sent=sent: scan(sent.value), keep=("label",)).drop("doc_id"))
         return reduce(DataFrame.unionByName, scans).filter("n > 0").toArrow()  # the sample
 
     whole = scores(list(range(FOLDS)))
@@ -374,13 +418,12 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFram
     """doc_id, score, and passages: word ranges with p-values, of every significant segment."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def make() -> Callable[[bytes], tuple]:
+    def make() -> Callable[[pa.Array], list[tuple]]:
         m = sent.value
         scored = scorer(m.scores)
 
-        def run(text: bytes) -> tuple:
-            tokens = words(text)
-            found = segments(scored(tokens))
+        def run(tokens: np.ndarray) -> tuple:
+            found = segments(tokens)
             log_p = m.log_p_of_all([total for _, _, total in found], len(tokens))
             passages = []
             for a, b, total in found:
@@ -390,28 +433,27 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFram
             log_ratio = np.clip(log_p - np.log(m.cut), -700, 700)
             return float(1 / (1 + np.exp(log_ratio))), passages
 
-        return run
+        return lambda texts: list(map(run, scored(texts)))
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *keep
     )
     schema = "score double, passages array<struct<start:int,end:int,p:double>>"
-    return per_document(rows, schema, make, keep=keep)
+    return per_column(rows, schema, make, keep=keep)
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows that score below 0.5, with all their columns."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def make() -> Callable[[bytes], bool]:
+    def make() -> Callable[[pa.Array], list[bool]]:
         m = sent.value
         scored = scorer(m.scores)
 
-        def clean(text: bytes) -> bool:
-            tokens = words(text)
-            sums = [total for _, _, total in segments(scored(tokens))]
+        def clean(tokens: np.ndarray) -> bool:
+            sums = [total for _, _, total in segments(tokens)]
             return m.log_p_of_all(sums, len(tokens)) > np.log(m.cut)
 
-        return clean
+        return lambda texts: list(map(clean, scored(texts)))
 
-    return filter_texts(docs, make)
+    return filter_column(docs, make)

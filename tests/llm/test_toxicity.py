@@ -2,10 +2,14 @@ import random
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from goldpan.llm import toxicity as tx
+from goldpan.llm.decontaminate import column_of_words, words
 from goldpan.llm.labelled import held_out, sample
 from tests.llm.conftest import bag
 
@@ -32,6 +36,40 @@ def test_segments_against_brute_force():
         assert max([0.0, *(s for _, _, s in found)]) == pytest.approx(tx.best_sum(np.array(scores)))
 
 
+TEXTS = st.lists(st.one_of(st.none(), st.text("aBé日ß. ,\n-1", max_size=30)), max_size=8)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS, st.integers(0, 3))
+def test_column_of_words_has_the_words_of_each_text(texts, skip):
+    for kind in (pa.string(), pa.binary()):
+        column = pa.array([t if t is None or kind == pa.string() else t.encode() for t in texts], kind)[skip:]
+        found, counts = column_of_words(column)
+        split = np.split(found.to_numpy(zero_copy_only=False), np.cumsum(counts)[:-1]) if len(counts) else []
+        assert [list(x) for x in split] == [words((t or "").encode()) for t in texts[skip:]]
+
+
+def test_a_word_is_looked_up_once_for_many_texts():
+    """All occurrences in a column of texts cost one look-up, and what words share a head its beginnings once."""
+    asked = []
+    _, end, without = tx._places(pa.array(["bad good BAD", None, "good, bad bad ugly"] * 40), tx.Remembered(lambda w: asked.append(w) or ((3, 5) if w == b"bad" else (1,) if w == b"good" else ())))
+    assert sorted(asked) == [b"bad", b"good", b"ugly"]
+    assert end[:3] == [5, 5, 10] and without == [0, 0, 1] * 40
+
+
+def test_scores_against_all_features():
+    """A word scores as the largest of its features, with those it lacks as the rest."""
+    draw = random.Random(8)
+    vocabulary = ["".join(draw.choice("abé日") for _ in range(draw.randrange(1, 12))) for _ in range(400)]
+    features = sorted({f for w in vocabulary[:60] for f in tx.features_of(w.encode()) if draw.random() < 0.6})
+    scores = tx.Scores(np.array(features), np.array([draw.uniform(-2, 1) for _ in features]), -0.5)
+    table = dict(zip(features, scores.values.tolist(), strict=True))
+    texts = [" ".join(draw.choices(vocabulary, k=20)) for _ in range(30)] + [None, ""]
+    for text, found in zip(texts, tx.scorer(scores)(pa.array(texts)), strict=True):
+        expected = [max(table.get(f, -0.5) for f in tx.features_of(w)) for w in words((text or "").encode())]
+        assert found.tolist() == expected
+
+
 def test_held_out_is_the_crc(spark):
     ids = spark.range(200).select(F.col("id").alias("doc_id"), held_out(5, 0).alias("out"), held_out(4, 2).alias("two"))
     for r in ids.collect():
