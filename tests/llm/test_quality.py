@@ -23,6 +23,62 @@ def test_ranking_separates_a_shifted_feature():
     assert (scores >= 0.7).sum() == pytest.approx(good.sum(), abs=1)
 
 
+def all_pairs(x, good):
+    """Weights by the sum over every pair, one by one."""
+    plain = ql.Model(x.mean(axis=0), x.std(axis=0) + 1e-6, np.zeros(36), 0, 0.7)
+    z = plain.expanded(x)
+    d = (z[good][:, None] - z[~good]).reshape(-1, 36)
+    w = np.zeros(36)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(d @ w))
+        step = np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + 1e-3 * np.eye(36), d.T @ p / len(d) - 1e-3 * w)
+        w = w + step / max(1, np.abs(step).max())
+        if np.abs(step).max() < 1e-9:
+            break
+    return w
+
+
+def test_every_pair_counts():
+    draw = np.random.default_rng(5)
+    good = draw.random(500) < 0.7
+    x = np.round(draw.normal(0, 1, (500, 18)), 1) + 0.5 * good[:, None] * (np.arange(18) < 4)
+    model = ql.rank(x, good, 0.7, 1_000)
+    assert model.weights == pytest.approx(all_pairs(x, good), abs=1e-5)
+    one = ql.rank(x[:2], np.array([True, False]), 0.7, 1)
+    assert one.weights == pytest.approx(all_pairs(x[:2], np.array([True, False])), abs=1e-5)
+
+
+def test_every_labelled_document_teaches(spark):
+    draw = np.random.default_rng(6)
+    good = np.arange(6_100) % 61 > 0
+    texts = [" ".join(draw.choice(["a", "of", "word", "longer-word", "Upper!", "7"], 12, p=[0.2] * 3 + ([0.3, 0.05, 0.05] if g else [0.1, 0.15, 0.15]))) for g in good]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(good)], "doc_id long, quality int")
+    x = np.array([ql.features(t.encode()) for t in texts])
+    model = ql.fit(docs, labels, F.lit(True))
+    assert model.middle == pytest.approx(x.mean(axis=0))
+    assert model.weights == pytest.approx(all_pairs(x, good), abs=1e-5)
+    raw = np.sort(model.raw(x))
+    at = int((~good).sum())
+    assert model.shift + np.log(0.7 / 0.3) == pytest.approx((raw[at - 1] + raw[at]) / 2)
+    for given in (docs, ql.vectors(docs)):
+        scored = {r.doc_id: r.score for r in ql.score(given, model).collect()}
+        assert [scored[i] for i in range(len(texts))] == pytest.approx(model(x))
+
+
+def test_the_cut_follows_the_share_of_labels():
+    draw = np.random.default_rng(7)
+    x, good = np.round(draw.normal(0, 1, (200, 18))), draw.random(200) < 0.5
+    model = ql.rank(x, good, 0.7, 4_000)
+    raw, n = model.raw(x), (int((~good).sum()), int(good.sum()))
+    for known in ((1, 3), (3, 1), (10, 0.5), n):
+        known = tuple(int(k * 10) for k in known)
+        weight = np.where(good, known[1] / n[1], known[0] / n[0])
+        cut = ql._cut(model, lambda work, ufunc=None: work(x, good), n, known)
+        assert weight[raw < cut].sum() <= known[0] + 1e-6
+        assert weight[raw <= np.min(raw[raw >= cut])].sum() >= known[0] - 1e-6
+
+
 def test_held_out_documents(data):
     docs, labels = data
     out = held_out(4, 2)
