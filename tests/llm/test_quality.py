@@ -60,23 +60,25 @@ def test_every_labelled_document_teaches(spark):
     assert model.weights == pytest.approx(all_pairs(x, good), abs=1e-5)
     raw = np.sort(model.raw(x))
     at = int((~good).sum())
-    assert model.shift + np.log(0.7 / 0.3) == pytest.approx((raw[at - 1] + raw[at]) / 2)
+    assert model.shift + np.log(0.7 / 0.3) == pytest.approx((raw[at - 2] + raw[at - 1]) / 2)
     for given in (docs, ql.vectors(docs)):
         scored = {r.doc_id: r.score for r in ql.score(given, model).collect()}
         assert [scored[i] for i in range(len(texts))] == pytest.approx(model(x))
 
 
-def test_the_cut_follows_the_share_of_labels():
+def test_the_cut_is_the_quantile_of_all_scores():
     draw = np.random.default_rng(7)
     x, good = np.round(draw.normal(0, 1, (200, 18))), draw.random(200) < 0.5
     model = ql.rank(x, good, 0.7, 4_000)
     raw, n = model.raw(x), (int((~good).sum()), int(good.sum()))
-    for known in ((1, 3), (3, 1), (10, 0.5), n):
-        known = tuple(int(k * 10) for k in known)
+    order = np.lexsort((good, raw))
+    for known in ((10, 31), (31, 10), (103, 5), (1, 1_000), (1_000, 1), n):
         weight = np.where(good, known[1] / n[1], known[0] / n[0])
-        cut = ql._cut(model, lambda work, ufunc=None: work(x, good), n, known)
-        assert weight[raw < cut].sum() <= known[0] + 1e-6
-        assert weight[raw <= np.min(raw[raw >= cut])].sum() >= known[0] - 1e-6
+        at = np.searchsorted(np.cumsum(weight[order]), known[0] - 1e-9)
+        expected = (raw[order][max(at - 1, 0)] + raw[order][at]) / 2
+        assert ql._cut(model, lambda work, ufunc=None: work(x, good), n, known) == pytest.approx(expected, abs=1e-12)
+    tied = ql.rank(np.repeat(x[:20], 10, axis=0), np.repeat(good[:20], 10), 0.7, 4_000)
+    assert np.abs(tied.raw(x[:20]) - tied.shift - np.log(0.7 / 0.3)).min() < 1e-9  # equal scores on both sides
 
 
 def test_held_out_documents(data):
